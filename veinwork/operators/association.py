@@ -50,10 +50,15 @@ def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson's r of each pair i<j over the rows where both are present; one aggregate."""
     pairs = list(combinations(range(len(columns)), 2))
     v = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns]
-    one = df.agg(*[F.corr(v[i], v[j]).alias(f"_{i}_{j}") for i, j in pairs])
-    r = lambda i, j: F.when(~F.isnan(f"_{i}_{j}"), F.round(F.col(f"_{i}_{j}"), 6))
+
+    def r(i, j):
+        # Spark's corr() fails on a constant column under ANSI mode, so divide safely.
+        spread = F.var_pop(F.when(v[j].isNotNull(), v[i])) * F.var_pop(F.when(v[i].isNotNull(), v[j]))
+        return F.round(F.try_divide(F.covar_pop(v[i], v[j]), F.sqrt(spread)), 6)
+
+    one = df.agg(*[r(i, j).alias(f"_{i}_{j}") for i, j in pairs])
     return rows_from(one, [
-        F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), r(i, j).alias("r"))
+        F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.col(f"_{i}_{j}").alias("r"))
         for i, j in pairs
     ])
 

@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from veinwork.plans import (  # noqa: F401  imported for their registrations
+    association_queries,
+    cleaning_queries,
+    encoding_queries,
+    feature_queries,
     profiling_queries,
+    sampling_queries,
     typing_queries,
 )
 from veinwork.plans.registry import QUERIES, SQL
