@@ -5,10 +5,14 @@ from __future__ import annotations
 from veinwork.plans import (  # noqa: F401  imported for their registrations
     association_queries,
     cleaning_queries,
+    clustering_queries,
     encoding_queries,
     feature_queries,
+    outlier_queries,
     profiling_queries,
     sampling_queries,
+    stop_queries,
+    tree_queries,
     typing_queries,
 )
 from veinwork.plans.registry import QUERIES, SQL
