@@ -8,10 +8,11 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from veinwork.functions.hashing import DEFAULT_SEED
 from veinwork.operators.neighbours import BLOCK_ROWS, SLICE_ROWS, matrix, rough_squares
 from veinwork.operators.outliers import flag_above_quantile
 from veinwork.operators.shape import col
+from veinwork.session import durable
 
 MAX_ITERATIONS = 300
+TOLERANCE = 1e-4
 RESTARTS = 10
 CLUSTERS = 5
 REGIONS = 8
@@ -30,6 +33,12 @@ SWEEP = tuple(range(2, 11))
 MAX_CLUSTERS = 1_000
 
 
+def _mean_variance(vectors: DataFrame, weight: str | None) -> float:
+    weights = [F.col(weight)] if weight else []
+    row = vectors.select(Summarizer.variance(F.col("vector"), *weights)).first()
+    return float(np.mean(row[0].toArray())) if row[0] is not None else 0.0
+
+
 def _fit_all(
     vectors: DataFrame,
     tasks: Sequence[tuple[int, int]],
@@ -37,20 +46,25 @@ def _fit_all(
     parallelism: int,
     weight: str | None = None,
 ) -> dict[int, KMeansModel]:
-    """Best model of each k over its seeds. The fits are independent Spark jobs on one cached
-    table, submitted side by side as cross validation does."""
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    """Best model of each k over its seeds. The fits are independent Spark jobs on one stored
+    table, submitted side by side as cross validation does. Each fit caches its own decoded
+    rows, which is faster over many iterations than a cached table; lower `parallelism`
+    where that does not fit in memory."""
+    vectors = durable(vectors)
+    options = {"weightCol": weight} if weight else {}
+    # The centers may still move by a share of the mean variance of the features, all taken
+    # together, so that the stop does not depend on the unit of the features.
+    still = TOLERANCE * _mean_variance(vectors, weight)
 
     def fit(task: tuple[int, int]):
         k, seed = task
-        model = KMeans(k=k, seed=seed, maxIter=max_iterations, featuresCol="vector", weightCol=weight).fit(vectors)
+        model = KMeans(
+            k=k, seed=seed, maxIter=max_iterations, tol=sqrt(still / k), featuresCol="vector", **options
+        ).fit(vectors)
         return k, model.summary.trainingCost, seed, model
 
-    try:
-        with ThreadPool(min(parallelism, len(tasks))) as pool:
-            fitted = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), tasks)
-    finally:
-        vectors.unpersist()
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        fitted = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), tasks)
     best: dict[int, tuple] = {}
     for k, cost, seed, model in fitted:
         if k not in best or (cost, seed) < best[k][:2]:
@@ -305,24 +319,19 @@ def k_sweep(
     """`(k, inertia, silhouette, davies_bouldin)` with the rank of k by each, and the models."""
     tasks = [(k, seed + i) for k in sorted(ks, reverse=True) for i in range(restarts)]
     models = _fit_all(_vectors(df, features), tasks, max_iterations, parallelism)
-    labelled = df.select(col(id), col(features)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        named = labelled
-        for k in sorted(ks):
-            named = assign_clusters(named, models[k], features, f"k{k}")
-        named = named.persist(StorageLevel.MEMORY_AND_DISK)
-        scores = {
-            r["labeling"]: r["silhouette"]
-            for r in silhouette(named, id, features, [f"k{k}" for k in sorted(ks)]).collect()
-        }
-        rows = [
-            (k, float(models[k].summary.trainingCost), scores[f"k{k}"],
-             davies_bouldin_value(named, features, f"k{k}"))
-            for k in sorted(ks)
-        ]
-        named.unpersist()
-    finally:
-        labelled.unpersist()
+    named = df.select(col(id), col(features))
+    for k in sorted(ks):
+        named = assign_clusters(named, models[k], features, f"k{k}")
+    named = durable(named)
+    scores = {
+        r["labeling"]: r["silhouette"]
+        for r in silhouette(named, id, features, [f"k{k}" for k in sorted(ks)]).collect()
+    }
+    rows = [
+        (k, float(models[k].summary.trainingCost), scores[f"k{k}"],
+         davies_bouldin_value(named, features, f"k{k}"))
+        for k in sorted(ks)
+    ]
     by_silhouette = sorted(rows, key=lambda r: -r[2])
     by_db = sorted(rows, key=lambda r: r[3])
     ranked = [
