@@ -47,13 +47,20 @@ def association_rules(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 
 def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson's r of each pair i<j over the rows where both are present; one aggregate."""
+    """Pearson's r of each pair i<j over the rows where both are present; one aggregate, after
+    one that finds out which columns have gaps."""
     pairs = list(combinations(range(len(columns)), 2))
     v = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns]
 
+    gaps = df.agg(*[F.count_if(x.isNull()) for x in v]).first()
+
+    def variance(i, j):
+        # Without gaps in j every pair of i shares one variance, which Spark computes once.
+        return F.var_pop(F.when(v[j].isNotNull(), v[i]) if gaps[j] else v[i])
+
     def r(i, j):
         # Spark's corr() fails on a constant column under ANSI mode, so divide safely.
-        spread = F.var_pop(F.when(v[j].isNotNull(), v[i])) * F.var_pop(F.when(v[i].isNotNull(), v[j]))
+        spread = variance(i, j) * variance(j, i)
         return F.round(F.try_divide(F.covar_pop(v[i], v[j]), F.sqrt(spread)), 6)
 
     one = df.agg(*[r(i, j).alias(f"_{i}_{j}") for i, j in pairs])

@@ -81,26 +81,23 @@ def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def cleaning_report(
-    raw: DataFrame,
-    stages: Sequence[tuple[str, Column]],
-    dedup: tuple[Sequence[str], Sequence[str]] | None = None,
+    df: DataFrame, stages: Sequence[tuple[str, Column]], raw: DataFrame | None = None
 ) -> DataFrame:
     """`(step_no, step, rows_before, removed, rows_after)` per cleaning step.
 
     Each row is charged to the first step it fails, so all filters are accounted for in one
-    pass. `dedup` = (key, order) puts a keep-first step ahead of them.
+    pass. `raw` is the table that `df` was de-duplicated from; it adds that step in front.
     """
-    kept = keep_first(raw, *dedup) if dedup else raw
     failed = F
     for i, (_, keep) in enumerate(stages):
         failed = failed.when(~F.coalesce(keep, F.lit(False)), i)
-    one = kept.select(failed.otherwise(len(stages)).alias("_step")).agg(
+    one = df.select(failed.otherwise(len(stages)).alias("_step")).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(F.col("_step") == i).alias(f"_{i}") for i in range(len(stages))],
     )
     names, removed = [s for s, _ in stages], [F.col(f"_{i}") for i in range(len(stages))]
     before = F.col("_rows")
-    if dedup:
+    if raw is not None:
         one = one.withColumn("_raw", raw.agg(F.count(F.lit(1)).alias("c")).scalar())
         names, removed = ["duplicates", *names], [F.col("_raw") - F.col("_rows"), *removed]
         before = F.col("_raw")

@@ -40,7 +40,7 @@ numbers as (select l_quantity, l_extendedprice, l_discount, l_tax, l_extendedpri
 
 
 def _numbers(spark, folder):
-    return table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem", widen=True).select(
         *LINE_NUMBERS, (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
         F.when(F.col("l_discount") != 0, F.col("l_discount")).alias("discount_gap"),
         F.lit(1.0).alias("one"))

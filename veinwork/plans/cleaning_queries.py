@@ -164,8 +164,8 @@ union all select 3, 'oversized', kept - a, b, kept - a - b from c
 def cleaning_report(spark, folder):
     order = [c for c in LINE_ORDER if c not in ("l_orderkey", "l_linenumber")]
     stages = [("untaxed", F.col("l_tax") != 0), ("oversized", F.col("l_quantity") <= 45)]
-    return C.cleaning_report(
-        table(spark, folder, "lineitem"), stages, dedup=(["l_orderkey", "l_linenumber"], order))
+    lines = table(spark, folder, "lineitem")
+    return C.cleaning_report(C.keep_first(lines, ["l_orderkey", "l_linenumber"], order), stages, raw=lines)
 
 
 @query(f"with {FLAGGED_LINES_SQL} select l_orderkey, l_quantity, big, returned from flagged")

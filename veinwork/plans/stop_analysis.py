@@ -80,15 +80,16 @@ def classify(
     numbers = [*CALENDAR, "Latitude", "Longitude", "VehicleAge"]
     labelled = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLASSIFY_FLAGS, *CATEGORIES])]).na.drop(subset=[TARGET])
     frequent = cleaning.frequent_classes(labelled, TARGET, min_class_rows)
-    featured = with_calendar(frequent).withColumn(
-        "VehicleAge", temporal.years_since(col("Year"), 2024, missing="zero"))
+    # Written once: the label fit and the sampling passes each read a few of its columns.
+    featured = durable(with_calendar(frequent).withColumn(
+        "VehicleAge", temporal.years_since(col("Year"), 2024, missing="zero")))
     # Codes come from all rows, then only the sample is encoded.
     labels = encoding.fit_labels(featured, CATEGORIES)
     sample = sampling.stratified_sample(featured, [TARGET], keys, size, seed)
     coded = encoding.apply_labels(sample, labels, CATEGORIES, unseen=0)
     names = [*numbers, *CLASSIFY_FLAGS, *_encoded(CATEGORIES)]
     rows = durable(encoding.feature_matrix(coded, [*keys, TARGET], numbers, CLASSIFY_FLAGS, _encoded(CATEGORIES)))
-    parts = sampling.train_test_split(rows, [TARGET], keys, seed=seed)
+    parts = durable(sampling.train_test_split(rows, [TARGET], keys, seed=seed))
     tree = trees.fit_tree(parts.filter("split = 'train'"), TARGET, names, seed=seed)
     predicted = parts.withColumn("predicted", tree.predict())
     test = predicted.filter("split = 'test'")
@@ -121,9 +122,9 @@ def cluster(
     numbers = [*CALENDAR, "region", "VehicleAge"]
     placed = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLUSTER_FLAGS, *CATEGORIES])]).na.drop(
         subset=["Latitude", "Longitude"])
-    featured = with_calendar(placed).withColumn(
-        "VehicleAge", temporal.years_since(col("Year"), 2025, missing="zero"))
-    regions = clustering.fit_regions(placed, "Latitude", "Longitude", restarts=restarts, seed=seed)
+    featured = durable(with_calendar(placed).withColumn(
+        "VehicleAge", temporal.years_since(col("Year"), 2025, missing="zero")))
+    regions = clustering.fit_regions(featured, "Latitude", "Longitude", restarts=restarts, seed=seed)
     featured = clustering.assign_regions(featured, regions, "Latitude", "Longitude")
     labels = encoding.fit_labels(featured, CATEGORIES)
     strata = sampling.with_stratum(featured, [TARGET, "Accident"], ["Hour", "IsWeekend"])
@@ -167,12 +168,13 @@ def clean_for_outliers(stops: DataFrame, order: Sequence[str]) -> tuple[DataFram
     """First row of each stop that meets every rule, and the accounts of the cleaning."""
     wanted = [*LABELS, *BASES, *OUTLIER_FLAGS, *[c for c in CATEGORIES if c != "TimeOfDay"]]
     chosen = project(stops, [*dict.fromkeys([*wanted, *order])])
-    first = cleaning.keep_first(chosen, ["SeqID"], order)
+    # The de-duplicated rows feed every count below and all passes of the sampling.
+    first = durable(cleaning.keep_first(chosen, ["SeqID"], order))
     rules = stop_rules()
     stages = [(r.name, r.met) for r in rules]
     reports = {
         "violations": cleaning.violation_counts(first, rules),
-        "cleaning": cleaning.cleaning_report(chosen, stages, (["SeqID"], order)),
+        "cleaning": cleaning.cleaning_report(first, stages, raw=chosen),
         "missing": profiling.missing_report(first),
     }
     return cleaning.valid_rows(first, rules), reports

@@ -49,7 +49,7 @@ _NUMBERS = {
 
 def raw_stops(spark, folder: str) -> DataFrame:
     """A stop table as a CSV would bring it, all text."""
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem", widen=True)
     seconds = F.expr("(l_partkey * 37 + l_suppkey * 61) % 86400")
     clock = F.concat_ws(
         ":", *[F.lpad(part.cast("long").cast("string"), 2, "0")

@@ -8,6 +8,7 @@ from veinwork.operators import trees as M
 from veinwork.operators.sampling import train_test_split
 from veinwork.plans.fixtures import LINE_NUMBERS
 from veinwork.plans.registry import query
+from veinwork.session import durable
 from veinwork.sources.readers import table
 
 _KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -74,7 +75,7 @@ def gini_split(spark, folder):
 
 def _labelled_lines(spark, folder):
     """Line items whose class depends on two numbers, with a tenth of the labels scrambled."""
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem", widen=True)
     price = F.col("l_extendedprice") / F.col("l_quantity")
     truth = F.when(F.col("l_quantity") <= 15, "small").when(price <= 2000, "cheap").otherwise("dear")
     scrambled = F.element_at(
@@ -88,7 +89,7 @@ _FEATURES = [*LINE_NUMBERS, "unit_price"]
 
 @query()
 def tree_fit_predict(spark, folder):
-    parts = train_test_split(_labelled_lines(spark, folder), ["class"], _KEYS)
+    parts = durable(train_test_split(_labelled_lines(spark, folder), ["class"], _KEYS))
     tree = M.fit_tree(parts.filter("split = 'train'"), "class", _FEATURES)
     predicted = parts.withColumn("predicted", tree.predict())
     return predicted.groupBy("split").agg(

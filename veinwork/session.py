@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,29 +29,35 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "12g
     return session
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can read, as the session names it in spark.checkpoint.dir.
+    """This application's place in the folder that spark.checkpoint.dir names, which every
+    executor can read. It may be deleted once the application is done.
 
     Without that setting only a local master may fall back to a temporary folder.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="veinwork-")
+    application = spark.sparkContext.applicationId
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="veinwork-")
+        folder = _local_folders[application]
+    return f"{folder.rstrip('/')}/veinwork-{application}"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write an expensive result out reliably so that its many uses do not recompute it.
+    """Write a result out once as a table in the shared folder and go on from there.
 
-    The files outlive a lost executor, which a cached copy would not.
+    For results that several later steps read: they scan columns of a file instead of
+    recomputing, and the files outlive a lost executor, which a cached copy would not.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -24,6 +24,14 @@ def read_parquet(spark: SparkSession, path: str, specs: Sequence[FieldSpec] = ()
     return coerce(df, specs) if specs else df
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the parquet tables of a data folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, widen: bool = False) -> DataFrame:
+    """One of the parquet tables of a data folder.
+
+    `widen` is for costly work per row: a table in fewer files than there are cores is dealt
+    out first, one in many files is left as it is.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if widen and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
