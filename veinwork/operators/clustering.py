@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from math import ceil, sqrt
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -26,6 +27,7 @@ from veinwork.session import durable
 
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4
+SEED_ROWS = 10_000
 RESTARTS = 10
 CLUSTERS = 5
 REGIONS = 8
@@ -33,47 +35,149 @@ SWEEP = tuple(range(2, 11))
 MAX_CLUSTERS = 1_000
 
 
-def _mean_variance(vectors: DataFrame, weight: str | None) -> float:
-    weights = [F.col(weight)] if weight else []
-    row = vectors.select(Summarizer.variance(F.col("vector"), *weights)).first()
-    return float(np.mean(row[0].toArray())) if row[0] is not None else 0.0
+@dataclass(frozen=True)
+class Clusters:
+    """Fitted centers, and the sum of squared distances to the nearest of them."""
+
+    centers: list[list[float]]
+    inertia: float
+
+    def by_id(self) -> dict[int, list[float]]:
+        return dict(enumerate(self.centers))
+
+
+def _mean_variance(df: DataFrame, vector: Column, *weight: Column) -> float:
+    row = df.select(Summarizer.variance(vector, *weight)).first()
+    return float(np.mean(row[0].toArray())) if row and row[0] is not None else 0.0
+
+
+def _seed_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ (Arthur and Vassilvitskii, 2007). Its first j centers are a start for j."""
+    random = np.random.default_rng(seed)
+    centers = [sample[random.integers(len(sample))]]
+    gaps = ((sample - centers[0]) ** 2).sum(axis=1)
+    while len(centers) < k:
+        total = gaps.sum()
+        share = gaps / total if total > 0 else None
+        centers.append(sample[random.choice(len(sample), p=share)])
+        gaps = np.minimum(gaps, ((sample - centers[-1]) ** 2).sum(axis=1))
+    return np.array(centers)
+
+
+def _partial_sums(models: dict[int, np.ndarray]):
+    """Per task and center: rows won, their sum, their squared distances. All models share
+    one read of the rows and one matrix product."""
+    names, stacked = list(models), np.concatenate(list(models.values()))
+    starts = np.cumsum([0] + [len(models[m]) for m in names])
+    center_squares = (stacked * stacked).sum(axis=1)
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, costs = np.zeros(len(stacked)), np.zeros(len(stacked))
+        sums = np.zeros_like(stacked)
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = matrix(batch["x"])
+            row_squares = (x * x).sum(axis=1)
+            partial = center_squares[None, :] - 2.0 * (x @ stacked.T)
+            for lo, hi in zip(starts, starts[1:]):
+                won = partial[:, lo:hi].argmin(axis=1)
+                cost = np.maximum(partial[np.arange(len(x)), lo + won] + row_squares, 0.0)
+                member = np.zeros((len(x), hi - lo))
+                member[np.arange(len(x)), won] = 1.0
+                counts[lo:hi] += member.sum(axis=0)
+                costs[lo:hi] += cost @ member
+                sums[lo:hi] += member.T @ x
+        yield pd.DataFrame({
+            "model": np.repeat(names, np.diff(starts)), "center": np.arange(len(stacked)) - np.repeat(starts[:-1], np.diff(starts)),
+            "n": counts, "cost": costs, "total": list(sums),
+        })
+
+    return add_up
+
 
+def _one_pass(rows: DataFrame, models: dict[int, np.ndarray]):
+    """Mean of the rows each center wins, and the inertia of each model before the move."""
+    sums = rows.mapInPandas(
+        _partial_sums(models), "model int, center int, n double, cost double, total array<double>"
+    ).groupBy("model", "center").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+        Summarizer.sum(array_to_vector("total")).alias("total"),
+    ).collect()  # one row per model and center
+    moved = {m: c.copy() for m, c in models.items()}
+    inertia = dict.fromkeys(models, 0.0)
+    for r in sums:
+        inertia[r["model"]] += r["cost"]
+        if r["n"]:
+            moved[r["model"]][r["center"]] = r["total"].toArray() / r["n"]
+    return moved, inertia
 
-def _fit_all(
-    vectors: DataFrame,
-    tasks: Sequence[tuple[int, int]],
-    max_iterations: int,
-    parallelism: int,
+
+def fit_many(
+    df: DataFrame,
+    features: str,
+    ks: Sequence[int],
+    restarts: int = RESTARTS,
+    max_iterations: int = MAX_ITERATIONS,
+    seed: int = DEFAULT_SEED,
+) -> dict[int, Clusters]:
+    """k-means of lowest inertia over `restarts` starts, for each k.
+
+    A sweep fits many models. Fitted one by one they would read the rows once per model and
+    iteration; here every pass moves the centers of all models that still move. The starts
+    come from a bounded sample in hash order, all passes read all rows.
+    """
+    rows = durable(df.select(col(features).cast(T.ArrayType(T.DoubleType())).alias("x")))
+    sample = np.array([
+        r["x"] for r in rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(SEED_ROWS).collect()
+    ])
+    if not len(sample):
+        return {}
+    starts = [_seed_centers(sample, max(ks), seed + i) for i in range(restarts)]
+    models = {
+        i: (k, start[:k]) for i, (k, start) in enumerate((k, s) for k in ks for s in starts)
+    }
+    centers = {m: c for m, (_, c) in models.items()}
+    still = TOLERANCE * _mean_variance(rows, array_to_vector("x"))
+    moving = dict(centers)
+    for _ in range(max_iterations):
+        if not moving:
+            break
+        moved, _cost = _one_pass(rows, moving)
+        centers |= moved
+        moving = {m: c for m, c in moved.items() if ((c - moving[m]) ** 2).sum() > still}
+    _, inertia = _one_pass(rows, centers)
+    best: dict[int, int] = {}
+    for m, (k, _) in models.items():
+        if k not in best or inertia[m] < inertia[best[k]]:
+            best[k] = m
+    return {k: Clusters(centers[m].tolist(), float(inertia[m])) for k, m in best.items()}
+
+
+def _fit_restarts(
+    vectors: DataFrame, k: int, restarts: int, max_iterations: int, seed: int, parallelism: int,
     weight: str | None = None,
-) -> dict[int, KMeansModel]:
-    """Best model of each k over its seeds. The fits are independent Spark jobs on one stored
-    table, submitted side by side as cross validation does. Each fit caches its own decoded
-    rows, which is faster over many iterations than a cached table; lower `parallelism`
-    where that does not fit in memory."""
+) -> Clusters:
+    """Best MLlib model over its seeds. The restarts are independent jobs on one stored table,
+    submitted side by side as cross validation does; each caches its own decoded rows, so
+    lower `parallelism` where that does not fit in memory."""
     vectors = durable(vectors)
     options = {"weightCol": weight} if weight else {}
     # The centers may still move by a share of the mean variance of the features, all taken
     # together, so that the stop does not depend on the unit of the features.
-    still = TOLERANCE * _mean_variance(vectors, weight)
+    still = TOLERANCE * _mean_variance(vectors, F.col("vector"), *([F.col(weight)] if weight else []))
 
-    def fit(task: tuple[int, int]):
-        k, seed = task
+    def fit(start: int) -> tuple[float, int, list[list[float]]]:
         model = KMeans(
-            k=k, seed=seed, maxIter=max_iterations, tol=sqrt(still / k), featuresCol="vector", **options
+            k=k, seed=start, maxIter=max_iterations, tol=sqrt(still / k), featuresCol="vector", **options
         ).fit(vectors)
-        return k, model.summary.trainingCost, seed, model
-
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
-        fitted = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), tasks)
-    best: dict[int, tuple] = {}
-    for k, cost, seed, model in fitted:
-        if k not in best or (cost, seed) < best[k][:2]:
-            best[k] = (cost, seed, model)
-    return {k: b[2] for k, b in best.items()}
+        return model.summary.trainingCost, start, [[float(v) for v in c] for c in model.clusterCenters()]
 
-
-def _vectors(df: DataFrame, features: str) -> DataFrame:
-    return df.select(array_to_vector(col(features)).alias("vector"))
+    with ThreadPool(min(parallelism, restarts)) as pool:
+        fitted = pool.map(
+            inheritable_thread_target(vectors.sparkSession)(fit), [seed + i for i in range(restarts)])
+    cost, _, centers = min(fitted)
+    return Clusters(centers, cost)
 
 
 def fit_kmeans(
@@ -84,43 +188,54 @@ def fit_kmeans(
     max_iterations: int = MAX_ITERATIONS,
     seed: int = DEFAULT_SEED,
     parallelism: int = 8,
-) -> KMeansModel:
+) -> Clusters:
     """k-means of lowest inertia over `restarts` seeds."""
-    tasks = [(k, seed + i) for i in range(restarts)]
-    return _fit_all(_vectors(df, features), tasks, max_iterations, parallelism)[k]
+    vectors = df.select(array_to_vector(col(features)).alias("vector"))
+    return _fit_restarts(vectors, k, restarts, max_iterations, seed, parallelism)
 
 
 def fit_regions(
     df: DataFrame, latitude: str, longitude: str, regions: int = REGIONS,
     restarts: int = RESTARTS, seed: int = DEFAULT_SEED, parallelism: int = 8,
-) -> KMeansModel:
-    """k-means over coordinates alone. Places repeat, so each is counted once and then weighs
-    as many rows as it has; all restarts read the counted places."""
+) -> Clusters:
+    """k-means over coordinates alone, on all rows. Places repeat, so each is counted once and
+    then weighs as many rows as it has; all restarts read the counted places."""
     places = (
         df.select(col(latitude).cast("double").alias("a"), col(longitude).cast("double").alias("b"))
         .na.drop().groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("weight"))
         .select(array_to_vector(F.array("a", "b")).alias("vector"), "weight")
     )
-    tasks = [(regions, seed + i) for i in range(restarts)]
-    return _fit_all(places, tasks, MAX_ITERATIONS, parallelism, "weight")[regions]
+    return _fit_restarts(places, regions, restarts, MAX_ITERATIONS, seed, parallelism, "weight")
 
 
 def assign_regions(
-    df: DataFrame, model: KMeansModel, latitude: str, longitude: str, out: str = "region"
+    df: DataFrame, regions: Clusters, latitude: str, longitude: str, out: str = "region"
 ) -> DataFrame:
     """Region of each row; null coordinates have none."""
     a, b = col(latitude).cast("double"), col(longitude).cast("double")
     near = F.array_min(F.array(*[
-        F.struct(((a - F.lit(float(x))) * (a - F.lit(float(x))) + (b - F.lit(float(y))) * (b - F.lit(float(y)))).alias("d"),
+        F.struct(((a - F.lit(x)) * (a - F.lit(x)) + (b - F.lit(y)) * (b - F.lit(y))).alias("d"),
                  F.lit(i).alias("region"))
-        for i, (x, y) in enumerate(model.clusterCenters())
+        for i, (x, y) in enumerate(regions.centers)
     ]))
     return df.withColumn(out, F.when(a.isNotNull() & b.isNotNull(), near["region"]))
 
 
-def assign_clusters(df: DataFrame, model: KMeansModel, features: str, out: str = "cluster") -> DataFrame:
-    vectored = df.withColumn("vector", array_to_vector(col(features)))
-    return model.transform(vectored).withColumnRenamed("prediction", out).drop("vector")
+def assign_many(df: DataFrame, features: str, models: dict[int, Clusters]) -> DataFrame:
+    """Add `k<k>`, the cluster under each model, all from one read of the features."""
+    names = sorted(models)
+    tables = [np.array(models[k].centers) for k in names]
+
+    @F.pandas_udf("array<int>")
+    def codes(x: pd.Series) -> pd.Series:
+        points = matrix(x) if len(x) else np.zeros((0, tables[0].shape[1]))
+        found = [rough_squares(points, t)[0].argmin(axis=1) for t in tables] if len(x) else []
+        return pd.Series(list(np.stack(found, axis=1).astype(np.int32)) if len(x) else [])
+
+    array = col(features).cast(T.ArrayType(T.DoubleType()))
+    coded = df.withColumn("_codes", codes(array))
+    return coded.select(
+        *[col(c) for c in df.columns], *[F.col("_codes")[i].alias(f"k{k}") for i, k in enumerate(names)])
 
 
 def _nearest_udf(ids: Sequence[int], centroids: np.ndarray):
@@ -148,10 +263,6 @@ def nearest_centroid(df: DataFrame, features: str, centroids: dict[int, Sequence
     )
 
 
-def model_centroids(model: KMeansModel) -> dict[int, Sequence[float]]:
-    return {i: list(c) for i, c in enumerate(model.clusterCenters())}
-
-
 def label_centroids(df: DataFrame, features: str, label: str) -> dict[int, list[float]]:
     """Mean vector of each label. One aggregate; a row per label reaches the driver."""
     width = df.select(F.size(col(features))).first()
@@ -314,22 +425,16 @@ def k_sweep(
     restarts: int = RESTARTS,
     max_iterations: int = MAX_ITERATIONS,
     seed: int = DEFAULT_SEED,
-    parallelism: int = 8,
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
+) -> tuple[DataFrame, dict[int, Clusters]]:
     """`(k, inertia, silhouette, davies_bouldin)` with the rank of k by each, and the models."""
-    tasks = [(k, seed + i) for k in sorted(ks, reverse=True) for i in range(restarts)]
-    models = _fit_all(_vectors(df, features), tasks, max_iterations, parallelism)
-    named = df.select(col(id), col(features))
-    for k in sorted(ks):
-        named = assign_clusters(named, models[k], features, f"k{k}")
-    named = durable(named)
+    models = fit_many(df, features, ks, restarts, max_iterations, seed)
+    named = durable(assign_many(df.select(col(id), col(features)), features, models))
     scores = {
         r["labeling"]: r["silhouette"]
         for r in silhouette(named, id, features, [f"k{k}" for k in sorted(ks)]).collect()
     }
     rows = [
-        (k, float(models[k].summary.trainingCost), scores[f"k{k}"],
-         davies_bouldin_value(named, features, f"k{k}"))
+        (k, models[k].inertia, scores[f"k{k}"], davies_bouldin_value(named, features, f"k{k}"))
         for k in sorted(ks)
     ]
     by_silhouette = sorted(rows, key=lambda r: -r[2])

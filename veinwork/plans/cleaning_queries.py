@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from veinwork.functions.parsing import flag_from_words, timestamp_from_text
+from veinwork.functions.parsing import timestamp_from_text
 from veinwork.functions.temporal import hour_of_clock
 from veinwork.operators import cleaning as C
 from veinwork.operators.shape import project

@@ -137,7 +137,7 @@ def cluster(
         encoding.fit_standard(filled, names).transform(filled).select("row", feature_array(names).alias("features")))
     sweep, models = clustering.k_sweep(scaled, "row", "features", ks, restarts, seed=seed)
     marked = durable(clustering.centroid_outliers(
-        scaled, "features", clustering.model_centroids(models[k]), rows=scaled.count()))
+        scaled, "features", models[k].by_id(), rows=scaled.count()))
     described = marked.drop("features").join(coded, "row")
     projected, ratios = clustering.project(scaled, "row", "features")
     return {

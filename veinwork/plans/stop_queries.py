@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veinwork.operators import profiling
 from veinwork.plans import stop_analysis as S
 from veinwork.plans.registry import query
 from veinwork.sources.readers import table
