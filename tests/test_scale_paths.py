@@ -11,6 +11,7 @@ from veinwork.operators import encoding, ranking, sampling
 from veinwork.operators.neighbours import nearest_neighbours
 from veinwork.operators.outliers import screen
 from veinwork.operators.quantiles import exact_quantiles
+from veinwork.operators.skew import join_skewed
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -157,3 +158,16 @@ def test_text_ids(spark):
     edges = nearest_neighbours(df, "id", "x", 3, cell_rows=20).collect()
     want = {(f"id-{a}", f"id-{b}") for a, b, _, _ in _brute(np.arange(60), x, 3)}
     assert {(r["id"], r["neighbor"]) for r in edges} == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_skewed_join(spark, how):
+    big = spark.range(1000).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 40).alias("key"))
+    small = spark.range(0, 30).select(F.col("id").cast("int").alias("key"), (F.col("id") * 2).alias("twice"))
+    big = big.withColumn("key", F.col("key").cast("int"))
+    found = join_skewed(big, small, "key", how, hot_rows=50)
+    plain = big.join(small, "key", how)
+    assert found.columns == plain.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    assert "Union" in found._jdf.queryExecution().toString()

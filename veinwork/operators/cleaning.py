@@ -15,6 +15,7 @@ from veinwork.functions.parsing import known_flag_word
 from veinwork.operators.profiling import value_counts
 from veinwork.operators.quantiles import exact_quantiles
 from veinwork.operators.shape import col, columns_by_kind, rows_from
+from veinwork.operators.skew import join_skewed
 from veinwork.session import small_side
 
 UNKNOWN = "Unknown"
@@ -24,7 +25,10 @@ SPARSE_SHARE = 0.5
 def frequent_classes(df: DataFrame, column: str, min_rows: int = 1000) -> DataFrame:
     """Keep the rows whose class has at least `min_rows` rows."""
     counts = df.groupBy(col(column)).agg(F.count(F.lit(1)).alias("_n"))
-    keep = small_side(counts.filter(F.col("_n") >= min_rows).select(col(column)))
+    frequent = counts.filter(F.col("_n") >= min_rows).select(col(column))
+    keep = small_side(frequent)
+    if keep is frequent:  # too many classes to broadcast
+        return join_skewed(df, frequent, column, "left_semi")
     return df.join(keep, column, "left_semi")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from veinwork.operators.cleaning import UNKNOWN
 from veinwork.operators.shape import col, rows_from
+from veinwork.operators.skew import join_skewed
 from veinwork.session import BROADCAST_ROWS
 
 _SPLITTERS = 256
@@ -79,18 +80,20 @@ def apply_labels(
     head = labels.select("column", "value", "code").take(limit + 1)
     out = df
     for c in columns:
+        keyed = out.withColumn("_text", _text(c))
         if len(head) > limit:
             part = labels.filter(F.col("column") == c)
+            part = part.select(F.col("value").alias("_text"), F.col("code").alias("_code"))
+            joined = join_skewed(keyed, part, "_text", "left")
         else:
             mine = [(r["value"], r["code"]) for r in head if r["column"] == c]
-            part = F.broadcast(df.sparkSession.createDataFrame(mine, "value string, code int"))
-        part = part.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-        joined = out.withColumn("_text", _text(c)).join(part, F.col("_text") == F.col("_value"), "left")
+            part = F.broadcast(df.sparkSession.createDataFrame(mine, "_text string, _code int"))
+            joined = keyed.join(part, "_text", "left")
         code = F.col("_code") if unseen is None else F.coalesce("_code", F.lit(unseen))
         out = joined.withColumn(f"{c}{suffix}", code)
         if mark_unseen:
             out = out.withColumn(f"{c}_unseen", F.col("_code").isNull())
-        out = out.drop("_text", "_value", "_code")
+        out = out.drop("_text", "_code")
     return out
 
 

@@ -1,0 +1,36 @@
+"""Joins on keys of which some may hold a large part of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from veinwork.operators.shape import col
+from veinwork.session import BROADCAST_ROWS
+
+HOT_ROWS = 1_000_000
+
+
+def join_skewed(
+    big: DataFrame, small: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join `big` to `small`, which has each key at most once, on one column.
+
+    The rows of keys with more than `hot_rows` rows stay where they are and meet a broadcast
+    of just those keys; the others take a shuffle join. There are at most rows / hot_rows hot
+    keys; should they outnumber what may be broadcast, the rest are shuffled like the others,
+    where adaptive execution still splits them. `how` is inner, left or left_semi.
+    """
+    counts = big.groupBy(col(key)).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = [r[0] for r in counts.orderBy(F.desc("_n")).limit(BROADCAST_ROWS).collect()]
+    if not hot:
+        return big.join(small, key, how)
+    schema = big.select(col(key)).schema
+    # At most BROADCAST_ROWS keys; null matches nothing, so it may stay with the hot ones.
+    keys = F.broadcast(big.sparkSession.createDataFrame([(h,) for h in hot if h is not None], schema))
+    hot_small = F.broadcast(small.join(keys, key, "left_semi"))
+    is_hot = big.join(keys.withColumn("_hot", F.lit(True)), key, "left")
+    columns = [col(c) for c in big.columns]
+    is_hot = is_hot.withColumn("_hot", F.coalesce("_hot", col(key).isNull()))
+    rest = is_hot.filter("not _hot").select(*columns).join(small, key, how)
+    return is_hot.filter("_hot").select(*columns).join(hot_small, key, how).unionByName(rest)
