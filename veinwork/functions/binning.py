@@ -39,9 +39,3 @@ def interval_code(value: Column, edges: Sequence[float]) -> Column:
     for edge in inner:
         code = code + (value > F.lit(edge)).cast("int")
     return F.when((value >= F.lit(edges[0])) & (value <= F.lit(edges[-1])), code)
-
-
-def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column:
-    """Bin number 1..bins; the last bin also holds its upper edge."""
-    step = F.floor((value - F.lit(low)) * F.lit(float(bins)) / F.lit(high - low)) + 1
-    return F.least(step, F.lit(bins)).cast("int")

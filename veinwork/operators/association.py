@@ -46,12 +46,11 @@ def association_rules(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     )
 
 
-def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson's r of each pair i<j over the rows where both are present; one aggregate, after
-    one that finds out which columns have gaps."""
+def _correlated(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """One row with `_i_j` for each pair i<j and `_i_i` for each column, from one aggregate
+    after one that finds out which columns have gaps."""
     pairs = list(combinations(range(len(columns)), 2))
     v = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns]
-
     gaps = df.agg(*[F.count_if(x.isNull()) for x in v]).first()
 
     def variance(i, j):
@@ -63,24 +62,34 @@ def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         spread = variance(i, j) * variance(j, i)
         return F.round(F.try_divide(F.covar_pop(v[i], v[j]), F.sqrt(spread)), 6)
 
-    one = df.agg(*[r(i, j).alias(f"_{i}_{j}") for i, j in pairs])
+    one = df.agg(
+        *[r(i, j).alias(f"_{i}_{j}") for i, j in pairs],
+        *[F.when(F.max(x) > F.min(x), 1.0).alias(f"_{i}_{i}") for i, x in enumerate(v)],
+    )
+    return one, pairs
+
+
+def _pair_rows(one: DataFrame, columns: Sequence[str], wanted: Sequence[tuple[int, int]]) -> DataFrame:
     return rows_from(one, [
-        F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.col(f"_{i}_{j}").alias("r"))
-        for i, j in pairs
+        F.struct(
+            F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"),
+            F.col(f"_{min(i, j)}_{max(i, j)}").alias("r"),
+        )
+        for i, j in wanted
     ])
 
 
+def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson's r of each pair i<j over the rows where both are present."""
+    one, pairs = _correlated(df, columns)
+    return _pair_rows(one, columns, pairs)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`(a, b, r)` for all ordered pairs, the diagonal included (null for a constant)."""
-    half = pair_correlations(df, columns)
-    v = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns]
-    spread = df.agg(*[(F.max(x) > F.min(x)).alias(f"_{i}") for i, x in enumerate(v)])
-    diagonal = rows_from(spread, [
-        F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.when(F.col(f"_{i}"), 1.0).alias("r"))
-        for i, c in enumerate(columns)
-    ])
-    mirrored = half.select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
-    return half.unionByName(mirrored).unionByName(diagonal)
+    one, _ = _correlated(df, columns)
+    every = range(len(columns))
+    return _pair_rows(one, columns, [(i, j) for i in every for j in every])
 
 
 def strong_pairs(df: DataFrame, columns: Sequence[str], above: float = STRONG_CORRELATION) -> DataFrame:

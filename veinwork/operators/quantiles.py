@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veinwork.functions.binning import interval_code
 from veinwork.operators.shape import col
 from veinwork.session import small_side
 
@@ -118,3 +119,19 @@ def quantile_value(df: DataFrame, column: str, prob: float, rows: int | None = N
     """One quantile of one column as a number."""
     found = exact_quantiles(df, [column], [prob], rows=rows).first()
     return found["quantiles"][0] if found and found["quantiles"] else None
+
+
+def quantile_bins(
+    df: DataFrame, columns: dict[str, str], bins: int = 5, rows: int | None = None
+) -> DataFrame:
+    """Add the integer code of each column's quantile interval under the given name.
+
+    Intervals are right-closed with the lowest edge included; equal edges collapse into one.
+    """
+    probs = [i / bins for i in range(bins + 1)]
+    found = exact_quantiles(df, list(columns), probs, rows=rows).collect()  # one row per column
+    edges = {r["column"]: sorted(set(r["quantiles"] or [])) for r in found}
+    return df.select("*", *[
+        interval_code(col(c), edges[c]).alias(out) if edges.get(c) else F.lit(None).cast("int").alias(out)
+        for c, out in columns.items()
+    ])

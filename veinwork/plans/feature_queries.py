@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from veinwork.functions import binning as B
 from veinwork.functions import temporal as T
-from veinwork.operators.quantiles import exact_quantiles
+from veinwork.operators.quantiles import quantile_bins as quantile_bins_
 from veinwork.plans.fixtures import DIRTY_EVENTS_SQL, dirty_events
 from veinwork.plans.registry import query
 from veinwork.sources.readers import table
@@ -135,13 +135,6 @@ def cut_bins(spark, folder):
         "p_partkey", B.cut_label(age, B.AGE_EDGES, B.AGE_LABELS).alias("band"))
 
 
-def quantile_code(df, column: str, bins: int, out: str):
-    """Integer code of the quantile interval; equal edges collapse into one."""
-    probs = [i / bins for i in range(bins + 1)]
-    edges = exact_quantiles(df, [column], probs).first()["quantiles"]
-    return df.withColumn(out, B.interval_code(F.col(column), sorted(set(edges))))
-
-
 @query("""
 with e as (select quantile_cont(l_extendedprice, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) as p,
                   list_sort(list_distinct(quantile_cont(l_discount, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) as d,
@@ -159,7 +152,7 @@ def quantile_bins(spark, folder):
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_extendedprice", "l_discount",
         (F.col("l_linenumber") * (F.col("l_linenumber") % 2)).cast("double").alias("odd"))
-    for column, name in (("l_extendedprice", "price_bin"), ("l_discount", "discount_bin"), ("odd", "odd_bin")):
-        lines = quantile_code(lines, column, 5, name).withColumn(name, F.col(name).cast("long"))
-    return lines.groupBy("price_bin", "discount_bin", "odd_bin").agg(
+    names = {"l_extendedprice": "price_bin", "l_discount": "discount_bin", "odd": "odd_bin"}
+    binned = quantile_bins_(lines, names, 5)
+    return binned.groupBy(*[F.col(n).cast("long").alias(n) for n in names.values()]).agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum"))
