@@ -120,6 +120,30 @@ def test_stop_analyses(spark, folder):
     assert clustered["profile"].count() == 3
 
 
+def test_stop_preparation(spark, folder):
+    typed = stops(spark, folder)
+    result = S.prepare(typed)
+    steps = {r["column"]: r["action"] for r in result["imputation"].collect()}
+    assert steps == {}  # the recast table has no gaps among these columns
+    built = result["constructed"]
+    bands = {r["LatitudeBand"] for r in built.select("LatitudeBand").distinct().collect()}
+    assert bands == {0, 1, 2, 3, 4}
+    encoded = result["encoded"]
+    assert encoded.count() == built.count() and "Race_encoded" in encoded.columns and "Race" not in encoded.columns
+    gone = result["replaced"].filter("split = 'train'").agg(F.sum("replaced")).first()[0]
+    assert gone == 0
+
+
+def test_centroid_screen(spark):
+    with pytest.raises(ValueError):
+        S.centroid_screen(stops(spark, "/root/testdata/sf0.001").filter("false"), STOP_ORDER)
+    result = S.centroid_screen(stops(spark, "/root/testdata/sf0.01"), STOP_ORDER, restarts=2)
+    marked = result["marked"].toPandas()
+    assert len(marked) and marked["cluster"].nunique() == 5
+    limit = np.percentile(marked["distance"], 95)
+    assert (marked["is_outlier"] == (marked["distance"] > limit)).all()
+
+
 def test_entry(spark):
     found = entry.entry(spark)
     assert found.count() > 0 and "common_outlier" in found.columns

@@ -15,7 +15,7 @@ PYTHON_QUERIES = {
     "outlier_screening", "outlier_screening_groups", "silhouette", "nearest_centroid", "inertia",
     "centroid_outliers", "kmeans_fit", "kmeans_k_sweep", "stop_clustering", "stop_classification",
     "davies_bouldin", "geo_regions", "pca_projection",
-    "tree_fit_predict", "tree_cross_validation", "feature_importance", "tree_rules",
+    "stop_centroid_outliers", "tree_fit_predict", "tree_cross_validation", "feature_importance", "tree_rules",
 }
 
 

@@ -132,7 +132,7 @@ def fit_many(
         r["x"] for r in rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(SEED_ROWS).collect()
     ])
     if not len(sample):
-        return {}
+        raise ValueError("no rows to cluster")
     starts = [_seed_centers(sample, max(ks), seed + i) for i in range(restarts)]
     models = {
         i: (k, start[:k]) for i, (k, start) in enumerate((k, s) for k in ks for s in starts)
@@ -162,6 +162,8 @@ def _fit_restarts(
     submitted side by side as cross validation does; each caches its own decoded rows, so
     lower `parallelism` where that does not fit in memory."""
     vectors = durable(vectors)
+    if vectors.isEmpty():
+        raise ValueError("no rows to cluster")
     options = {"weightCol": weight} if weight else {}
     # The centers may still move by a share of the mean variance of the features, all taken
     # together, so that the stop does not depend on the unit of the features.

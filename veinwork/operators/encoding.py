@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from veinwork.operators.cleaning import UNKNOWN
 from veinwork.operators.shape import col, rows_from
 from veinwork.operators.skew import join_skewed
-from veinwork.session import BROADCAST_ROWS
+from veinwork.session import BROADCAST_ROWS, durable
 
 _SPLITTERS = 256
 ONE_HOT_LIMIT = 1_000
@@ -59,7 +59,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_ROW
     values = distinct_values(df, columns)
     head = values.take(limit + 1)
     if len(head) > limit:
-        return _codes_by_splitters(values)
+        return durable(_codes_by_splitters(values))
     ordered = W.partitionBy("column").orderBy("value")
     return df.sparkSession.createDataFrame(head, values.schema).withColumn(
         "code", (F.row_number().over(ordered) - 1).cast("int")
@@ -77,18 +77,22 @@ def apply_labels(
 ) -> DataFrame:
     """Add the code of each column. A value without a code gets `unseen` (null by default);
     `mark_unseen` also adds a boolean column per encoded one."""
-    head = labels.select("column", "value", "code").take(limit + 1)
+    wanted = labels.filter(F.col("column").isin(list(columns)))
+    sizes = {r["column"]: r["count"] for r in wanted.groupBy("column").count().collect()}  # a row per column
+    few = [c for c in columns if sizes.get(c, 0) <= limit]
+    # At most `limit` labels for each of these columns.
+    head = wanted.filter(F.col("column").isin(few)).select("column", "value", "code").collect() if few else []
     out = df
     for c in columns:
         keyed = out.withColumn("_text", _text(c))
-        if len(head) > limit:
-            part = labels.filter(F.col("column") == c)
-            part = part.select(F.col("value").alias("_text"), F.col("code").alias("_code"))
-            joined = join_skewed(keyed, part, "_text", "left")
-        else:
+        if c in few:
             mine = [(r["value"], r["code"]) for r in head if r["column"] == c]
             part = F.broadcast(df.sparkSession.createDataFrame(mine, "_text string, _code int"))
             joined = keyed.join(part, "_text", "left")
+        else:
+            part = wanted.filter(F.col("column") == c)
+            part = part.select(F.col("value").alias("_text"), F.col("code").alias("_code"))
+            joined = join_skewed(keyed, part, "_text", "left")
         code = F.col("_code") if unseen is None else F.coalesce("_code", F.lit(unseen))
         out = joined.withColumn(f"{c}{suffix}", code)
         if mark_unseen:

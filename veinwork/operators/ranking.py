@@ -67,8 +67,9 @@ def stratum_cuts(
     `cut_0`, `cut_1`, ... as (hash, keys) structs, null where the quota is 0. It needs one
     counting pass and one pass that shuffles only the rows of the buckets a quota falls in.
     """
-    hashed = df.select(*{c: col(c) for c in [*by, *keys]}.values(), hash_key(keys, seed).alias("_hash"))
-    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, _digits(rows)))
+    hashed = df.withColumn("_hash", hash_key(keys, seed)).select(
+        *[col(b) for b in by], F.substring("_hash", 1, _digits(rows)).alias("_bucket"), _order(keys).alias("_at")
+    )
     ranks = [q.cast("long") for q in quotas(F.col("_total"))]
     hits = small_side(
         _spans(hashed, by)
@@ -80,7 +81,7 @@ def stratum_cuts(
         .select(*[col(b) for b in by], "_bucket", "_cut", (F.col("_rank") - F.col("_before")).alias("_place"))
     )
     inside = hashed.join(hits, _same(hashed, hits, [*by, "_bucket"])).select(
-        *[hits[f"`{b}`"] for b in by], "_cut", "_place", _order(keys).alias("_at")
+        *[hits[f"`{b}`"] for b in by], "_cut", "_place", "_at"
     )
     place = W.partitionBy(*[col(b) for b in by], "_cut").orderBy("_at")
     return (

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from veinwork.functions import binning, temporal
 from veinwork.functions.hashing import DEFAULT_SEED
-from veinwork.operators import association, cleaning, clustering, encoding, outliers, profiling, sampling, trees
+from veinwork.operators import (
+    association, cleaning, clustering, encoding, outliers, profiling, quantiles, sampling, trees,
+)
 from veinwork.operators.shape import col, columns_by_kind, feature_array, project
 from veinwork.session import durable
 
@@ -41,6 +43,16 @@ OUTLIER_NUMBERS = ("Latitude", "Longitude", *CALENDAR, "VehicleAge")
 BASES = ("Date Of Stop", "Time Of Stop", "Latitude", "Longitude", "Year")
 LABELS = ("SeqID", "Location", TARGET)
 MIN_CLASS_ROWS = 1000
+ONE_HOT = (*CATEGORIES, "VehicleAge_Binned", "Hour_Binned")
+PREPARED = (
+    "Date Of Stop", "Time Of Stop", "Violation Type", "Charge", "VehicleType", "Year", "Make", "Color",
+    "Race", "Gender", "Driver State", "Belts", "Alcohol", "Work Zone", "Property Damage",
+    "Personal Injury", "Search Outcome", "Latitude", "Longitude", "State", "Agency",
+)
+UNKNOWN_FILLED = (
+    "Make", "Color", "Model", "Driver State", "State", "DL State", "VehicleType", "Race", "Gender",
+    "Violation Type", "Charge", "Location", "Search Outcome",
+)
 
 
 def _encoded(names: Sequence[str]) -> list[str]:
@@ -129,8 +141,9 @@ def cluster(
     labels = encoding.fit_labels(featured, CATEGORIES)
     strata = sampling.with_stratum(featured, [TARGET, "Accident"], ["Hour", "IsWeekend"])
     sample = sampling.stratified_sample(strata, ["stratum"], keys, size, seed).drop("stratum")
-    coded = durable(encoding.apply_labels(sample, labels, CATEGORIES, unseen=0)).withColumn(
-        "row", F.sha2(F.concat_ws("|", *[col(key).cast("string") for key in keys]), 256))
+    # The number is fixed by writing it out.
+    coded = durable(encoding.apply_labels(sample, labels, CATEGORIES, unseen=0).withColumn(
+        "row", F.monotonically_increasing_id()))
     names = [*numbers, *CLUSTER_FLAGS, *_encoded(CATEGORIES)]
     filled = encoding.feature_matrix(coded, ["row"], numbers, CLUSTER_FLAGS, _encoded(CATEGORIES))
     scaled = durable(
@@ -151,26 +164,28 @@ def cluster(
     }
 
 
-def stop_rules() -> list[cleaning.Rule]:
+def stop_rules(first_year: int = 1900) -> list[cleaning.Rule]:
     """Validity of coordinates, vehicle year, date and clock."""
     day = col("Date Of Stop")
     return [
         cleaning.range_rule("latitude", col("Latitude"), -90.0, 90.0),
         cleaning.range_rule("longitude", col("Longitude"), -180.0, 180.0),
-        cleaning.range_rule("year", col("Year"), 1900, 2025),
+        cleaning.range_rule("year", col("Year"), first_year, 2025),
         cleaning.present_rule("date_missing", day),
         cleaning.range_rule("date_range", day, dt.datetime(2015, 1, 1), dt.datetime(2025, 12, 31)),
         cleaning.present_rule("clock", temporal.hour_of_clock(col("Time Of Stop"))),
     ]
 
 
-def clean_for_outliers(stops: DataFrame, order: Sequence[str]) -> tuple[DataFrame, dict[str, DataFrame]]:
+def clean_for_outliers(
+    stops: DataFrame, order: Sequence[str], first_year: int = 1900
+) -> tuple[DataFrame, dict[str, DataFrame]]:
     """First row of each stop that meets every rule, and the accounts of the cleaning."""
     wanted = [*LABELS, *BASES, *OUTLIER_FLAGS, *[c for c in CATEGORIES if c != "TimeOfDay"]]
     chosen = project(stops, [*dict.fromkeys([*wanted, *order])])
     # The de-duplicated rows feed every count below and all passes of the sampling.
     first = durable(cleaning.keep_first(chosen, ["SeqID"], order))
-    rules = stop_rules()
+    rules = stop_rules(first_year)
     stages = [(r.name, r.met) for r in rules]
     reports = {
         "violations": cleaning.violation_counts(first, rules),
@@ -227,3 +242,72 @@ def screen_outliers(
         "comparison": outliers.compare_groups(marked, "common_outlier", ["Accident", "Alcohol"], ["VehicleAge"]),
         "outlier_classes": profiling.class_distribution(marked.filter("common_outlier"), TARGET),
     }
+
+
+def prepare(stops: DataFrame, seed: int = DEFAULT_SEED) -> dict[str, DataFrame]:
+    """Impute, de-duplicate, split 60/20/20 by accident and encode on the training rows.
+
+    Text values that the training rows lack take the code of their first class.
+    """
+    chosen = project(stops, [*PREPARED, "Location", "Accident"])
+    imputed, log = cleaning.impute(chosen, UNKNOWN_FILLED, exclude=["Accident"])
+    day, hour = col("Date Of Stop"), temporal.hour_before_colon(col("Time Of Stop"))
+    age = temporal.years_since(col("Year"), 2025, clip=(0, 50))
+    # Unique rows are their own keys from here on.
+    unique = durable(imputed.dropDuplicates())
+    keys = unique.columns
+    built = unique.select(
+        "*", temporal.day_of_week(day).alias("Weekday"), temporal.weekday_name(day).alias("WeekdayName"),
+        temporal.weekend_flag(day).alias("IsWeekend"), F.month(day).alias("Month"),
+        temporal.season(day).alias("Season"), hour.alias("Hour"),
+        temporal.day_band(hour, "late_evening").alias("TimeOfDay"), age.alias("VehicleAge"),
+        binning.cut_label(age, binning.AGE_EDGES, binning.AGE_LABELS).alias("VehicleAgeBand"),
+    )
+    built = quantiles.quantile_bins(built, {"Latitude": "LatitudeBand", "Longitude": "LongitudeBand"})
+    parts = durable(sampling.train_validation_test_split(unique, ["Accident"], keys, seed=seed))
+    # Columns of few values first, so that the one shuffle of a long list comes last.
+    words = [c for c in columns_by_kind(parts)["categorical"] if c in PREPARED and c != "Charge"]
+    words += [c for c in ("Charge",) if c in parts.columns]
+    labels = encoding.fit_labels(parts.filter("split = 'train'"), words)
+    coded = encoding.apply_labels(parts, labels, words, unseen=0, mark_unseen=True)
+    return {
+        "imputation": log,
+        "constructed": built,
+        "imbalance": profiling.imbalance_ratio(unique, "Accident"),
+        "distribution": profiling.class_distribution(parts, "Accident", "split"),
+        "encoded": coded.drop(*words, *[f"{w}_unseen" for w in words]),
+        "replaced": encoding.unseen_report(coded, words, "split"),
+    }
+
+
+def centroid_screen(
+    stops: DataFrame,
+    order: Sequence[str],
+    k: int = clustering.CLUSTERS,
+    share: float = 0.05,
+    restarts: int = clustering.RESTARTS,
+    seed: int = DEFAULT_SEED,
+) -> dict[str, DataFrame]:
+    """k-means over one-hot categories and min-max numbers of all valid stops, and the rows
+    farthest from their center."""
+    valid, reports = clean_for_outliers(stops, order, first_year=2015)
+    age = temporal.years_since(col("Year"), F.year(col("Date Of Stop")), negative_to_null=True)
+    calendar = with_calendar(valid).withColumn("TimeOfDay", temporal.day_band(F.col("Hour"), "early_evening"))
+    featured = calendar.select(
+        "*", age.alias("VehicleAge"), binning.step_label(age, *binning.AGE_STEPS).alias("VehicleAge_Binned"),
+        binning.step_label(F.col("Hour"), *binning.HOUR_STEPS).alias("Hour_Binned"))
+    rows = durable(featured.na.drop("any"))
+    scaled = encoding.fit_minmax(rows, OUTLIER_NUMBERS).transform(rows)
+    hot = encoding.one_hot(scaled, ONE_HOT)
+    added = [c for c in hot.columns if c not in scaled.columns]
+    vectors = durable(hot.select("SeqID", TARGET, feature_array([*OUTLIER_NUMBERS, *added]).alias("features")))
+    model = clustering.fit_kmeans(vectors, "features", k, restarts, seed=seed)
+    marked = durable(clustering.centroid_outliers(
+        vectors, "features", model.by_id(), share, rows=vectors.count())).drop("features")
+    return {
+        **reports,
+        "strong_pairs": association.strong_pairs(rows, OUTLIER_NUMBERS),
+        "marked": marked,
+        "sizes": clustering.cluster_sizes(marked),
+        "outliers_by_class": profiling.class_distribution(marked.filter("is_outlier"), TARGET),
+    }

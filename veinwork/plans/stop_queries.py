@@ -114,3 +114,23 @@ def outlier_screening(spark, folder):
 @query()
 def outlier_screening_groups(spark, folder):
     return S.screen_outliers(stops(spark, folder), STOP_ORDER)["comparison"]
+
+
+@query("""
+with c as (select l_discount >= 0.09 as accident, count(distinct (l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)) as n from lineitem group by 1),
+q as (select *, round_even(n * 0.2::double, 0) as test from c),
+p as (select *, round_even((n - test) * 0.25::double, 0) as validation from q)
+select accident as "Accident", 'test' as split, test::bigint as n from p
+union all select accident, 'validation', validation::bigint from p
+union all select accident, 'train', (n - test - validation)::bigint from p
+""")
+def stop_preparation(spark, folder):
+    # The charge names the line item, so that only equal line items are duplicates.
+    typed = stops(spark, folder).withColumn("Charge", F.concat_ws(" ", "SeqID", "Geolocation"))
+    return S.prepare(typed)["distribution"]
+
+
+@query()
+def stop_centroid_outliers(spark, folder):
+    return S.centroid_screen(stops(spark, folder), STOP_ORDER)["marked"]
