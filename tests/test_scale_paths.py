@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veinwork.functions.hashing import hash_key
-from veinwork.operators import encoding, ranking, sampling
+from veinwork.operators import encoding, neighbours, ranking, sampling
 from veinwork.operators.neighbours import nearest_neighbours
 from veinwork.operators.outliers import screen
 from veinwork.operators.quantiles import exact_quantiles
@@ -126,7 +126,8 @@ def _frame(spark, ids, x, partitions=4):
 
 @pytest.mark.parametrize("cloud", sorted(_CLOUDS))
 @pytest.mark.parametrize("sizes", [{}, {"cell_rows": 60, "block_rows": 40, "slice_rows": 50}])
-def test_neighbours_are_exact(spark, cloud, sizes):
+def test_neighbours_are_exact(spark, monkeypatch, cloud, sizes):
+    monkeypatch.setattr(neighbours, "_PIECE_CELLS", 700)
     x = _CLOUDS[cloud]
     ids = np.random.default_rng(1).permutation(len(x)) * 3
     edges = nearest_neighbours(_frame(spark, ids, x), "id", "x", 6, **sizes)

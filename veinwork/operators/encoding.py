@@ -59,7 +59,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_ROW
     values = distinct_values(df, columns)
     head = values.take(limit + 1)
     if len(head) > limit:
-        return durable(_codes_by_splitters(values))
+        return durable(_codes_by_splitters(durable(values)))
     ordered = W.partitionBy("column").orderBy("value")
     return df.sparkSession.createDataFrame(head, values.schema).withColumn(
         "code", (F.row_number().over(ordered) - 1).cast("int")

@@ -30,6 +30,7 @@ SLICE_ROWS = 2048
 CELL_ROWS = 8192
 MAX_PIVOTS = 4096
 _MIN_SLICE = 256
+_PIECE_CELLS = 2_000_000
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -110,15 +111,20 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= k).drop("_r")
 
 
+def _pieces(batch: pd.DataFrame, width: int) -> Iterator[pd.DataFrame]:
+    """Runs of rows whose distances to all pivots fit in a few dozen megabytes."""
+    step = max(1, _PIECE_CELLS // width)
+    for start in range(0, len(batch), step):
+        yield batch.iloc[start:start + step].reset_index(drop=True)
+
+
 def _cells(pivots: np.ndarray):
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            squares, _ = rough_squares(matrix(batch["x"]), pivots)
-            batch["cell"] = squares.argmin(axis=1).astype(np.int32)
-            batch["reach"] = np.sqrt(squares.min(axis=1))
-            yield batch
+            for piece in _pieces(batch, len(pivots)):
+                squares, _ = rough_squares(matrix(piece["x"]), pivots)
+                yield piece.assign(
+                    cell=squares.argmin(axis=1).astype(np.int32), reach=np.sqrt(squares.min(axis=1)))
 
     return assign
 
@@ -128,16 +134,15 @@ class _Pruner:
 
     def __init__(self, pivots: np.ndarray, near: np.ndarray, far: np.ndarray):
         self.pivots, self.near, self.far = pivots, near, far
-        squares, _ = rough_squares(pivots, pivots)
-        self.gaps = np.sqrt(squares)
 
-    def open_cells(self, batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        squares, slack = rough_squares(matrix(batch["x"]), self.pivots)
-        cell, bound = batch["cell"].to_numpy(), batch["bound"].to_numpy()
+    def open_cells(self, piece: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        squares, slack = rough_squares(matrix(piece["x"]), self.pivots)
+        cell, bound = piece["cell"].to_numpy(), piece["bound"].to_numpy()
         to_pivot = np.sqrt(squares)
         ring = np.maximum(to_pivot - self.far[None, :], self.near[None, :] - to_pivot)
         own = squares[np.arange(len(cell)), cell]
-        gap = np.maximum(2.0 * self.gaps[cell], 1e-300)
+        between, _ = rough_squares(self.pivots[cell], self.pivots)
+        gap = np.maximum(2.0 * np.sqrt(between), 1e-300)
         plane = (squares - own[:, None]) / gap
         # The rough squares carry an error; widen the bound by what it can amount to.
         error = np.sqrt(slack)[:, None] + 4.0 * slack[:, None] / gap
@@ -148,16 +153,15 @@ class _Pruner:
 
     def visits(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not batch.empty:
-                rows, cells = self.open_cells(batch)
-                out = batch[["p", "x", "bound"]].iloc[rows].reset_index(drop=True)
-                out["cell"] = cells.astype(np.int32)
-                yield out
+            for piece in _pieces(batch, len(self.pivots)):
+                rows, cells = self.open_cells(piece)
+                out = piece[["p", "x", "bound"]].iloc[rows].reset_index(drop=True)
+                yield out.assign(cell=cells.astype(np.int32))
 
     def counts(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not batch.empty:
-                cells, n = np.unique(self.open_cells(batch)[1], return_counts=True)
+            for piece in _pieces(batch, len(self.pivots)):
+                cells, n = np.unique(self.open_cells(piece)[1], return_counts=True)
                 yield pd.DataFrame({"cell": cells.astype(np.int32), "n": n.astype(np.int64)})
 
 
