@@ -28,6 +28,7 @@ from veinwork.session import durable, small_side
 BLOCK_ROWS = 4096
 SLICE_ROWS = 2048
 CELL_ROWS = 8192
+PLAIN_CELLS = 4
 MAX_PIVOTS = 4096
 _MIN_SLICE = 256
 _PIECE_CELLS = 2_000_000
@@ -216,7 +217,8 @@ def nearest_neighbours(
     parallel = spark.sparkContext.defaultParallelism
     slice_rows = max(1, min(slice_rows, max(_MIN_SLICE, ceil(total / parallel))))
 
-    n_cells = min(MAX_PIVOTS, ceil(total / cell_rows))
+    # A few cells' worth of points is compared outright, in blocks, sooner than it is pruned.
+    n_cells = 1 if total <= PLAIN_CELLS * cell_rows else min(MAX_PIVOTS, ceil(total / cell_rows))
     infinite = F.lit(float("inf"))
     if n_cells == 1:
         placed = points.withColumn("cell", F.lit(0)).withColumn("reach", F.lit(0.0))
