@@ -18,7 +18,7 @@ STOP_ORDER = ("Location", "Geolocation")
 _WORDS = {
     "SeqID": "concat(l_orderkey, '-', l_linenumber)",
     "Location": "concat(l_partkey, ' ', l_suppkey)",
-    "Agency": "'MCP'",
+    "Agency": "'Police'",
     "SubAgency": "concat('District ', l_suppkey % 9)",
     "Violation Type": "case l_returnflag when 'A' then 'Warning' when 'R' then 'Citation' else 'ESERO' end",
     "VehicleType": "concat('Type ', l_linenumber)",
