@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from veinwork.operators import cleaning, association, sampling
+from veinwork.operators import association, cleaning, profiling, sampling
+from veinwork.operators.shape import drop_null
 from veinwork.sources.readers import table
 
 PYTHON_QUERIES = {
@@ -59,3 +60,14 @@ def test_split_labels_rows_without_shuffling_them(spark, folder):
     parts = sampling.train_test_split(
         table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderstatus"], ["o_orderkey"])
     assert "hashpartitioning" not in plan(parts)
+
+
+def test_null_drop_reaches_the_scan(spark, folder):
+    kept = drop_null(table(spark, folder, "orders").select("o_orderstatus", "o_totalprice"), ["o_orderstatus"])
+    assert "IsNotNull(o_orderstatus)" in plan(kept)
+
+
+def test_summary_counts_once(spark, folder):
+    found = profiling.categorical_summary(table(spark, folder, "part"), ["p_brand", "p_type"])
+    found.collect()
+    assert "ReusedExchange" in plan(found)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from veinwork.functions.hashing import DEFAULT_SEED
 from veinwork.operators.neighbours import BLOCK_ROWS, SLICE_ROWS, matrix, rough_squares
 from veinwork.operators.outliers import flag_above_quantile
-from veinwork.operators.shape import col
+from veinwork.operators.shape import col, drop_null
 from veinwork.session import durable
 
 MAX_ITERATIONS = 300
@@ -202,9 +202,9 @@ def fit_regions(
 ) -> Clusters:
     """k-means over coordinates alone, on all rows. Places repeat, so each is counted once and
     then weighs as many rows as it has; all restarts read the counted places."""
+    coordinates = df.select(col(latitude).cast("double").alias("a"), col(longitude).cast("double").alias("b"))
     places = (
-        df.select(col(latitude).cast("double").alias("a"), col(longitude).cast("double").alias("b"))
-        .na.drop().groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        drop_null(coordinates).groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("weight"))
         .select(array_to_vector(F.array("a", "b")).alias("vector"), "weight")
     )
     return _fit_restarts(places, regions, restarts, MAX_ITERATIONS, seed, parallelism, "weight")

@@ -61,11 +61,11 @@ def high_cardinality_columns(df: DataFrame, columns: Sequence[str], above: int =
 def _ranked(counts: DataFrame, most: int) -> DataFrame:
     """The `most` frequent non-null values of each column. The constant bound lets Spark cut
     each column's values before the shuffle."""
-    order = W.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return (
-        counts.filter("value is not null")
-        .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
-    )
+    # Nulls are ranked last rather than filtered before, so that the totals can reuse the
+    # counts' shuffle.
+    order = W.partitionBy("column").orderBy(F.col("value").isNull(), F.desc("n"), F.asc("value"))
+    ranked = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    return ranked.filter("value is not null")
 
 
 def _per_column(counts: DataFrame) -> DataFrame:

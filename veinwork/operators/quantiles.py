@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veinwork.functions.binning import interval_code
-from veinwork.operators.shape import col
+from veinwork.operators.shape import col, drop_null
 from veinwork.session import small_side
 
 EXACT_BUFFER_ROWS = 4_000_000
@@ -24,7 +24,7 @@ _BINS = 4096
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     pairs = [F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("v")) for c in columns]
     long = df.select(*[col(b) for b in by], F.inline(F.array(*pairs)))
-    return long.filter("v is not null and not isnan(v)").na.drop(subset=list(by) or None)
+    return drop_null(long, ["v", *by])
 
 
 def _buffered(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
@@ -32,7 +32,7 @@ def _buffered(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
     clean = [
         F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns
     ]
-    kept = df.na.drop(subset=list(by)) if by else df
+    kept = drop_null(df, by)
     one = kept.groupBy(*[col(b) for b in by]).agg(
         *[F.percentile(v, wanted).alias(f"_q{i}") for i, v in enumerate(clean)]
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veinwork.functions.hashing import DEFAULT_SEED
 from veinwork.operators.ranking import label_by_cuts, stratified_rank, stratum_cuts
-from veinwork.operators.shape import col
+from veinwork.operators.shape import col, drop_null
 
 SAMPLE_ROWS = 10_000
 
@@ -31,7 +31,7 @@ def stratified_sample(
     if rows == 0 or (only_if_larger and rows <= size):
         return df
     fraction = size / rows
-    kept = df.na.drop(subset=list(by))
+    kept = drop_null(df, by)
     cuts = stratum_cuts(kept, by, keys, lambda n: [F.rint(n * F.lit(fraction))], rows, seed)
     marked = label_by_cuts(kept, cuts, by, keys, ["in"], "out", "_part", seed)
     return marked.filter("_part = 'in'").drop("_part")

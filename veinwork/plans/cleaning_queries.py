@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from veinwork.functions.parsing import timestamp_from_text
 from veinwork.functions.temporal import hour_of_clock
 from veinwork.operators import cleaning as C
-from veinwork.operators.shape import project
+from veinwork.operators.shape import drop_null, project
 from veinwork.plans.fixtures import (
     DIRTY_EVENTS_SQL, FLAGGED_LINES_SQL, GAPPY_ORDERS_SQL, LINE_ORDER,
     dirty_events, flagged_lines, gappy_orders,
@@ -21,8 +21,8 @@ from veinwork.sources.readers import table
 @query(f"with {GAPPY_ORDERS_SQL} select o_orderkey, priority, state from gappy "
        "where priority is not null and state is not null")
 def drop_null_subset(spark, folder):
-    return gappy_orders(spark, folder).select("o_orderkey", "priority", "state").na.drop(
-        subset=["priority", "state"])
+    orders = gappy_orders(spark, folder).select("o_orderkey", "priority", "state")
+    return drop_null(orders, ["priority", "state"])
 
 
 @query("""
@@ -148,7 +148,7 @@ with {GAPPY_ORDERS_SQL}
 select * from gappy where priority is not null and state is not null and price is not null
 """)
 def drop_any_null(spark, folder):
-    return gappy_orders(spark, folder).na.drop("any")
+    return drop_null(gappy_orders(spark, folder))
 
 
 @query(f"""

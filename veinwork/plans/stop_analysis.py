@@ -16,7 +16,7 @@ from veinwork.functions.hashing import DEFAULT_SEED
 from veinwork.operators import (
     association, cleaning, clustering, encoding, outliers, profiling, quantiles, sampling, trees,
 )
-from veinwork.operators.shape import col, columns_by_kind, feature_array, project
+from veinwork.operators.shape import col, columns_by_kind, drop_null, feature_array, project
 from veinwork.session import durable
 
 # The columns each analysis reads and models.
@@ -90,7 +90,8 @@ def classify(
 ) -> dict[str, DataFrame]:
     """Decision tree for the violation type. `keys` name a row uniquely."""
     numbers = [*CALENDAR, "Latitude", "Longitude", "VehicleAge"]
-    labelled = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLASSIFY_FLAGS, *CATEGORIES])]).na.drop(subset=[TARGET])
+    chosen = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLASSIFY_FLAGS, *CATEGORIES])])
+    labelled = drop_null(chosen, [TARGET])
     frequent = cleaning.frequent_classes(labelled, TARGET, min_class_rows)
     # Written once: the label fit and the sampling passes each read a few of its columns.
     featured = durable(with_calendar(frequent).withColumn(
@@ -132,8 +133,8 @@ def cluster(
     if k not in ks:
         raise ValueError(f"k={k} is not among the swept {list(ks)}")
     numbers = [*CALENDAR, "region", "VehicleAge"]
-    placed = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLUSTER_FLAGS, *CATEGORIES])]).na.drop(
-        subset=["Latitude", "Longitude"])
+    chosen = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLUSTER_FLAGS, *CATEGORIES])])
+    placed = drop_null(chosen, ["Latitude", "Longitude"])
     featured = durable(with_calendar(placed).withColumn(
         "VehicleAge", temporal.years_since(col("Year"), 2025, missing="zero")))
     regions = clustering.fit_regions(featured, "Latitude", "Longitude", restarts=restarts, seed=seed)
@@ -222,7 +223,7 @@ def screen_outliers(
     order that decides which row of a repeated stop comes first."""
     valid, reports = clean_for_outliers(stops, order)
     sample = sampling.stratified_sample(valid, ["Accident"], ["SeqID"], size, seed)
-    rows = durable(outlier_features(sample).na.drop("any"))
+    rows = durable(drop_null(outlier_features(sample)))
     labels = encoding.fit_labels(rows, CATEGORIES)
     coded = encoding.apply_labels(rows, labels, CATEGORIES)
     names = [*OUTLIER_NUMBERS, *OUTLIER_FLAGS, *_encoded(CATEGORIES)]
@@ -296,7 +297,7 @@ def centroid_screen(
     featured = calendar.select(
         "*", age.alias("VehicleAge"), binning.step_label(age, *binning.AGE_STEPS).alias("VehicleAge_Binned"),
         binning.step_label(F.col("Hour"), *binning.HOUR_STEPS).alias("Hour_Binned"))
-    rows = durable(featured.na.drop("any"))
+    rows = durable(drop_null(featured))
     scaled = encoding.fit_minmax(rows, OUTLIER_NUMBERS).transform(rows)
     hot = encoding.one_hot(scaled, ONE_HOT)
     added = [c for c in hot.columns if c not in scaled.columns]
