@@ -35,7 +35,7 @@ def _truth_scores(x, labels):
 
 
 def test_kmeans_finds_blobs(spark, blobs):
-    df, x = blobs
+    df, _ = blobs
     for model in (C.fit_kmeans(df, "x", 3, restarts=3), C.fit_many(df, "x", [2, 3], restarts=3)[3]):
         near = C.nearest_centroid(df, "x", model.by_id())
         pairs = near.groupBy("truth").agg(F.count_distinct("cluster").alias("c")).collect()

@@ -1,4 +1,4 @@
-"""The three analyses of a traffic-stop table: classify, cluster, and screen for outliers.
+"""The analyses of a traffic-stop table: profile, prepare, classify, cluster, screen for outliers.
 
 Each takes the typed table (see `veinwork.sources.stops`) and returns named result tables.
 """
