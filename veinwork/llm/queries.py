@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veinwork.llm import byte_bpe
+from veinwork.llm import byte_bpe, hilbert_shards
 from veinwork.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,19 @@ def query(function: Query) -> Query:
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = byte_bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     return byte_bpe.round_trip(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op2_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    utf8 = F.encode("text", "UTF-8")
+    rows = read(spark, folder, "documents").select(
+        "doc_id", "lang", "source",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce(utf8, F.encode(F.lit(""), "UTF-8"))).alias("text_crc32"),
+    )
+    order = ["doc_id", "text_crc32", "size", "lang", "source"]
+    sharded = hilbert_shards.assign_shards(rows, ["source", "lang", "size"], 8, order)
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
