@@ -48,8 +48,11 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Vocabulary:
     """Token bytes, and the rank of every pair of tokens that merges, as sorted arrays."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], **built):
         self.ranks = ranks
+        if built:
+            self.__dict__.update(built)
+            return
         pairs = [
             (ranks[token[:cut]] << 32 | ranks[token[cut:]], rank)
             for token, rank in ranks.items()
@@ -225,12 +228,12 @@ def _at_spaces(text: str) -> list[str]:
 
 def _with_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str) -> Callable[[], TextEncoder]:
     """The vocabulary, whose size is that of its file, goes to each executor once."""
-    shared = spark.sparkContext.broadcast(Vocabulary(ranks))
+    shared = spark.sparkContext.broadcast(vars(Vocabulary(ranks)))
     held: list[TextEncoder] = []
 
     def encoder() -> TextEncoder:
         if not held:
-            held.append(TextEncoder(shared.value, pattern))
+            held.append(TextEncoder(Vocabulary(**shared.value), pattern))
         return held[0]
 
     return encoder

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinwork.llm import byte_bpe, hilbert_shards
+from veinwork.llm import byte_bpe, hilbert_shards, nbsvm
 from veinwork.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,21 @@ def op2_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _fold(column: str = "doc_id"):
+    return F.crc32(F.col(column).cast("string")) % 5
+
+
+# Documents that score below this are rejected.
+QUALITY_CUT = 0.3
+
+
+@query
+def op6_nbsvm_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    model = nbsvm.fit(docs, labels.filter(_fold() != 0))
+    return nbsvm.score(docs, model).select(
+        "doc_id", F.coalesce(_fold() == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
+    )
