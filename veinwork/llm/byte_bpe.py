@@ -23,7 +23,6 @@ from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -249,7 +248,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc
         for row, part in encoder().encoded(texts):
             ids[row].extend(map(int, part.split(",")))
         return {"__key": columns["__key"], "n_tokens": [len(x) for x in ids],
-                "ids": pa.array(ids, pa.list_(pa.int32()))}
+                "ids": ids}
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
@@ -263,7 +262,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", ids: str
     def block(columns: dict) -> dict:
         look = shared.value.__getitem__
         return {"__key": columns["__key"],
-                "decoded": pa.array([b"".join(map(look, x or ())) for x in columns["__ids"].to_pylist()], pa.binary())}
+                "decoded": [b"".join(map(look, x or ())) for x in columns["__ids"].to_pylist()]}
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("__key"), F.col(ids).alias("__ids"))

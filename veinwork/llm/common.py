@@ -9,6 +9,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Rows that one Arrow batch may hold. A batch of very long texts stays small this way.
 BATCH_ROWS = 512
@@ -25,35 +27,34 @@ def digest_order(column: str):
 
 def arrow_map(df: DataFrame, function: Callable[[dict], dict | None], schema: str,
               rows: int = BATCH_ROWS) -> DataFrame:
-    """Apply `function` to the columns of small row blocks, as lists by name.
+    """Apply `function` to the columns of small row blocks, as Arrow arrays by name.
 
-    The function returns lists by name; a block is a slice of at most `rows` rows, so that
-    what a task holds does not depend on the Arrow batch size of the session.
+    The function returns lists or arrays by name, or None for no rows. A block is a slice of at
+    most `rows` rows, so that what a task holds does not depend on the session's Arrow batches.
     """
-    names = [part.strip().split(" ")[0] for part in _split_schema(schema)]
+    fields = [(f.name, to_arrow_type(f.dataType)) for f in T.StructType.fromDDL(schema)]
+    names = [name for name, _ in fields]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 piece = batch.slice(start, rows)
-                out = function({n: c for n, c in zip(piece.schema.names, piece.columns, strict=True)})
+                out = function(dict(zip(piece.schema.names, piece.columns, strict=True)))
                 if out is not None:
-                    yield pa.RecordBatch.from_arrays(
-                        [x if isinstance(x, pa.Array) else pa.array(x) for x in (out[n] for n in names)],
-                        names=names,
-                    )
+                    yield pa.RecordBatch.from_arrays([_typed(out[n], kind) for n, kind in fields], names=names)
 
     return df.mapInArrow(run, schema)
 
 
-def _split_schema(schema: str) -> list[str]:
-    parts, depth, begin = [], 0, 0
-    for i, letter in enumerate(schema):
-        depth += (letter in "<(") - (letter in ">)")
-        if letter == "," and depth == 0:
-            parts.append(schema[begin:i])
-            begin = i + 1
-    return [*parts, schema[begin:]]
+def _typed(values: object, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, kind)
+
+
+def ddl(df: DataFrame) -> str:
+    """The columns of `df` as a schema text for `arrow_map`."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
 class WordHashes(dict):

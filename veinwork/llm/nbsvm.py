@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def block(columns: dict) -> dict:
         found = [features(t, known, seen).tobytes() for t in columns["__text"].to_pylist()]
         return {"__key": columns["__key"].cast(pa.string()), "__label": columns["__label"],
-                "__found": pa.array(found, pa.binary())}
+                "__found": found}
 
     gathered = arrow_map(sampled, block, "__key string, __label int, __found binary").toPandas()
     gathered = gathered.sort_values(["__key", "__label", "__found"], kind="stable").iloc[:rows]
@@ -182,7 +182,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def block(columns: dict) -> dict:
         fitted = Model(**shared.value)
         scores = [fitted.score(features(t, known, seen)) for t in columns["__text"].to_pylist()]
-        return {**{name: columns[name] for name in kept}, "__score": pa.array(scores, pa.float64())}
+        return {**{name: columns[name] for name in kept}, "__score": scores}
 
     kept = [f"__{i}" for i in range(len(keep) + 1)]
     names = [key, *keep]

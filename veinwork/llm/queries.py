@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinwork.llm import byte_bpe, hilbert_shards, nbsvm
+from veinwork.llm import byte_bpe, hilbert_shards, nbsvm, simhash_windows
 from veinwork.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,8 @@ def op6_nbsvm_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(_fold() == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
     )
+
+
+@query
+def op10_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_windows.find_leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
