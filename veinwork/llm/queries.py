@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinwork.llm import byte_bpe, hilbert_shards, nbsvm, simhash_windows
+from veinwork.llm import byte_bpe, hilbert_shards, nbsvm, pii_crf, simhash_windows
 from veinwork.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,9 @@ def op6_nbsvm_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_windows.find_leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query
+def op3_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return pii_crf.find(docs, pii_crf.fit(docs))
