@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinwork.llm import byte_bpe, chat_tree, hilbert_shards, nbsvm, pii_crf, simhash_windows
+from veinwork.llm import byte_bpe, chat_tree, hilbert_shards, html_region, nbsvm, pii_crf, simhash_windows
 from veinwork.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,9 @@ select conv_id, n_turns, sha256(spelled) as turns_sha256, length(loss) as loss_c
        cast(chars as bigint) as formatted_chars
 from whole
 """
+
+
+@query
+def op4_html_region(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    return html_region.extract(pages, html_region.fit(pages))
