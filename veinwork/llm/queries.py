@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinwork.llm import byte_bpe, chat_tree, hilbert_shards, html_region, nbsvm, pii_crf, simhash_windows
+from veinwork.llm import byte_bpe, chat_tree, hilbert_shards, html_region, nbsvm, pii_crf, recompression, simhash_windows
 from veinwork.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,8 @@ from whole
 def op4_html_region(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages")
     return html_region.extract(pages, html_region.fit(pages))
+
+
+@query
+def op7_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.repeat_report(read(spark, folder, "documents"))
