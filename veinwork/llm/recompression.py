@@ -10,8 +10,10 @@ decides (in round 0 every word is one): the one whose name has the least hash, t
 equals. So equal windows have the same anchor at the same place, and neighbouring windows
 mostly share theirs.
 
-Windows of a document that share an anchor are one row with two names: the narrow one (the
-anchor's) and the wide one (all words that these windows cover). Then
+Windows of a document that share an anchor, and whose distances to it fall into one stretch of
+STRETCH words, are one row with two names: the narrow one (the anchor and the words around it
+that every window at such a distance holds) and the wide one (all words that the row's windows
+cover). Then
 
 * rows whose wide name an earlier document holds are covered as a whole;
 * rows that are first with their wide name, but not alone with their narrow one, have their
@@ -41,6 +43,7 @@ from veinwork.session import durable
 
 WINDOW = 50
 ROUNDS = 3
+STRETCH = 16
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 OTHER_BASE = np.uint64(0xD1342543DE82EF95 | 1)
 FAR = np.int64(1) << np.int64(40)
@@ -186,15 +189,20 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
         owner = np.repeat(np.arange(len(long_)), count)
         windows = begin[owner] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         level, low, high, name = anchors(words, begin, windows)
+        stretch = (low - windows) // STRETCH
         new = np.ones(len(windows), dtype=bool)
-        new[1:] = (np.diff(owner) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0) | (np.diff(level) != 0)
+        new[1:] = np.any([np.diff(x) != 0 for x in (owner, low, high, level, stretch)], axis=0)
         first = np.flatnonzero(new)
         run = np.diff(np.append(first, len(windows)))
         start = windows[first]
+        level, low, high, name, stretch = (x[first] for x in (level, low, high, name, stretch))
+        sums = Sums(mixed(words), BASE)
+        near = low - stretch * STRETCH
+        far = np.maximum(near - STRETCH + 1 + WINDOW, high)
         with np.errstate(over="ignore"):
-            narrow = mixed(name[first] * np.uint64(31) + level[first].astype(np.uint64))
-            shape = mixed((low[first] - start + 128).astype(np.uint64) * np.uint64(1024) + run.astype(np.uint64))
-            wide = mixed(Sums(mixed(words), BASE).between(start, start + run + WINDOW - 1) + shape)
+            narrow = mixed(mixed(name + level.astype(np.uint64)) + sums.between(near, far) + stretch.astype(np.uint64))
+            shape = mixed((low - start).astype(np.uint64) * np.uint64(1024) + run.astype(np.uint64))
+            wide = mixed(sums.between(start, start + run + WINDOW - 1) + shape)
         row = np.array(long_)[owner[first]]
         return {"narrow": _signed(narrow), "wide": _signed(wide), "key": columns["key"].take(row),
                 "text_id": columns["text_id"].take(row), "at": start - begin[owner[first]], "count": run}
