@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veinwork.llm import byte_bpe, chat_tree, hilbert_shards, html_region, nbsvm, pii_crf, recompression, simhash_windows, token_groups
+from veinwork.llm import byte_bpe, chat_tree, hilbert_shards, html_region, nbsvm, pii_crf, recompression, rotation_codes, simhash_windows, token_groups
 from veinwork.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +127,8 @@ def op7_recompression_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_token_group_join(spark: SparkSession, folder: str) -> DataFrame:
     return token_groups.link_components(read(spark, folder, "documents"))
+
+
+@query
+def op8_rotation_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return rotation_codes.near_duplicates(read(spark, folder, "embeddings"))
