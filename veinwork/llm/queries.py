@@ -46,7 +46,7 @@ def op2_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _fold(column: str = "doc_id"):
+def training_fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 5
 
 
@@ -57,9 +57,9 @@ QUALITY_CUT = 0.3
 @query
 def op6_nbsvm_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
-    model = nbsvm.fit(docs, labels.filter(_fold() != 0))
+    model = nbsvm.fit(docs, labels.filter(training_fold() != 0))
     return nbsvm.score(docs, model).select(
-        "doc_id", F.coalesce(_fold() == 0, F.lit(False)).alias("held_out"), "score",
+        "doc_id", F.coalesce(training_fold() == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
     )
 
