@@ -1,11 +1,16 @@
 """Invariants of fitted models, which SQL cannot state."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from veinwork.operators import association as A
+from veinwork.operators import cleaning as K
 from veinwork.operators import clustering as C
+from veinwork.operators import outliers as O
 from veinwork.operators import trees as M
 from veinwork.plans import stop_analysis as S
 from veinwork.plans.stop_queries import STOP_KEYS, STOP_ORDER, stops
@@ -36,7 +41,7 @@ def _truth_scores(x, labels):
 
 def test_kmeans_finds_blobs(spark, blobs):
     df, _ = blobs
-    for model in (C.fit_kmeans(df, "x", 3, restarts=3), C.fit_many(df, "x", [2, 3], restarts=3)[3]):
+    for model in (C.fit_kmeans(df, "x", 3, restarts=3), C.k_sweep(df, "id", "x", [2, 3], restarts=3)[1][3]):
         near = C.nearest_centroid(df, "x", model.by_id())
         pairs = near.groupBy("truth").agg(F.count_distinct("cluster").alias("c")).collect()
         assert all(r["c"] == 1 for r in pairs)
@@ -103,21 +108,75 @@ def test_cross_validation(spark, folder):
 
 def test_stop_analyses(spark, folder):
     typed = stops(spark, folder)
-    result = S.screen_outliers(typed, STOP_ORDER, size=600)
+    result = S.screen_outliers(typed, STOP_ORDER, fit_rows=600)
     flags = result["flags"].toPandas()
-    assert flags["SeqID"].is_unique and 570 <= len(flags) <= 601
+    valid, _ = S.clean_for_outliers(typed, STOP_ORDER)
+    assert flags["SeqID"].is_unique and len(flags) == valid.count()  # every valid row, not the sample
     steps = result["cleaning"].orderBy("step_no").collect()
     assert steps[0]["rows_before"] == 6000 and [r["step"] for r in steps][0] == "duplicates"
     assert all(a["rows_after"] == b["rows_before"] for a, b in zip(steps, steps[1:]))
     quality = result["matrix"].first()
     assert quality["nan_cells"] == quality["inf_cells"] == 0 and abs(quality["mean_of_means"]) < 1e-6
     assert sum(r["n"] for r in result["comparison"].collect()) == len(flags)
-    classified = S.classify(typed, STOP_KEYS, size=1500, min_class_rows=500)
+    classified = S.classify(typed, STOP_KEYS, fit_rows=1500, min_class_rows=500)
     assert sum(r["n"] for r in classified["confusion"].collect()) == classified["accuracy"].filter(
         "split = 'test'").first()["n"]
-    clustered = S.cluster(typed, STOP_KEYS, size=600, k=3, ks=[2, 3], restarts=2)
+    clustered = S.cluster(typed, STOP_KEYS, fit_rows=600, k=3, ks=[2, 3], restarts=2)
     assert sum(r["n"] for r in clustered["sizes"].collect()) == clustered["outliers"].count()
     assert clustered["profile"].count() == 3
+    assert clustered["outliers"].count() == 6000
+
+
+def test_sample_screen_is_the_whole_screen_for_a_whole_sample(spark):
+    x = np.random.default_rng(3).normal(size=(120, 3))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, x array<double>")
+    whole = O.screen(df, "id", "x", 5, 0.05).orderBy("id").toPandas()
+    sampled = O.screen_by_sample(df, df, "id", "x", 5, 0.05).orderBy("id").toPandas()
+    assert np.allclose(whole[["distance_score", "lof_score"]], sampled[["distance_score", "lof_score"]])
+    assert (whole["common_outlier"] == sampled["common_outlier"]).all()
+    part = O.screen_by_sample(df, df.filter("id < 60"), "id", "x", 5, 0.05).toPandas()
+    assert len(part) == 120 and np.isfinite(part["lof_score"]).all()
+
+
+def test_sweep_of_constant_rows(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(100)], "id long, x array<double>")
+    table, _ = C.k_sweep(df, "id", "x", ks=[2, 3], restarts=1)
+    rows = table.collect()
+    assert [r["davies_bouldin"] for r in rows] == [None, None] and {r["davies_bouldin_rank"] for r in rows} == {1, 2}
+
+
+def test_sweep_of_repeated_vectors(spark):
+    rows = [(i, [0.0, 0.0]) for i in range(400)] + [(400 + i, [float(i % 20), 5.0]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    found = {r["k"]: r["inertia"] for r in C.k_sweep(df, "id", "x", ks=[2, 6], restarts=2)[0].collect()}
+    assert found[6] < found[2]
+
+
+def test_silhouette_of_text_and_missing_labels(spark):
+    rows = [(0, [0.0], "a"), (1, [1.0], "a"), (2, [9.0], "b"), (3, [8.0], "b"), (4, [5.0], None)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, l string")
+    want = _truth_scores(np.array([[0.0], [1], [9], [8]]), np.array([0, 0, 1, 1]))
+    assert np.isclose(C.silhouette(df, "id", "x", ["l"]).first()["silhouette"], want, atol=1e-6)
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 4, 17])
+def test_correlation_with_a_constant_is_null(spark, partitions):
+    rows = [(float(i % 7) / 10, 1.0, 1.1, float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, one double, other double, b double").repartition(partitions)
+    found = {(r["a"], r["b"]): r["r"] for r in A.correlation_matrix(df, ["a", "one", "other", "b"]).collect()}
+    assert all(v is None for (x, y), v in found.items() if {"one", "other"} & {x, y})
+    assert found["a", "b"] is not None and found["a", "a"] == 1.0
+    assert A.strong_pairs(df, ["a", "one", "other"]).count() == 0
+
+
+def test_imputation_of_times_and_flags(spark):
+    days = [dt.datetime(2024, 1, d) for d in (1, 2, 4)]
+    df = spark.createDataFrame(
+        [(days[0], True), (days[1], True), (days[2], False), (None, None)], "at timestamp, yes boolean")
+    filled, log = K.impute(df)
+    assert filled.filter("at is null or yes is null").count() == 0
+    assert filled.filter("at = timestamp '2024-01-02' and yes").count() == 2
+    assert {r["column"]: r["missing"] for r in log.collect()} == {"at": 1, "yes": 1}
 
 
 def test_stop_preparation(spark, folder):

@@ -53,14 +53,16 @@ def _correlated(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[
     v = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns]
     gaps = df.agg(*[F.count_if(x.isNull()) for x in v]).first()
 
-    def variance(i, j):
-        # Without gaps in j every pair of i shares one variance, which Spark computes once.
-        return F.var_pop(F.when(v[j].isNotNull(), v[i]) if gaps[j] else v[i])
+    def beside(i, j):
+        # Without gaps in j every pair of i shares its moments, which Spark computes once.
+        return F.when(v[j].isNotNull(), v[i]) if gaps[j] else v[i]
 
     def r(i, j):
-        # Spark's corr() fails on a constant column under ANSI mode, so divide safely.
-        spread = variance(i, j) * variance(j, i)
-        return F.round(F.try_divide(F.covar_pop(v[i], v[j]), F.sqrt(spread)), 6)
+        # Merged moments of a constant come out as noise, not 0; so extremes tell a constant.
+        a, b = beside(i, j), beside(j, i)
+        vary = (F.max(a) > F.min(a)) & (F.max(b) > F.min(b))
+        spread = F.var_pop(a) * F.var_pop(b)
+        return F.when(vary, F.round(F.try_divide(F.covar_pop(v[i], v[j]), F.sqrt(spread)), 6))
 
     one = df.agg(
         *[r(i, j).alias(f"_{i}_{j}") for i, j in pairs],

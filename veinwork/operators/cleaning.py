@@ -10,6 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veinwork.functions.parsing import known_flag_word
 from veinwork.operators.profiling import value_counts
@@ -166,8 +167,9 @@ def impute(
     """Impute every column that misses values and log what was done.
 
     Columns null in more than `max_share` of the rows are dropped. Text takes `Unknown` if
-    listed in `constant`, else its mode; numbers take their median. The log is
-    `(column, action, missing, missing_pct)`, worst first.
+    listed in `constant`, else its mode; numbers and times take their median, flags the value of
+    more than half of the rows (false on ties). The log is `(column, action, missing,
+    missing_pct)`, worst first.
     """
     columns = [c for c in df.columns if c not in set(exclude)]
     rows, missing = missing_counts(df, columns)
@@ -181,13 +183,37 @@ def impute(
     values: dict = {c: UNKNOWN for c in words if c in set(constant)}
     values |= mode_values(df, by_mode) if by_mode else {}
     medians = median_values(df, numbers, rows) if numbers else {}
+    times, flags = [c for c in todo if c in kinds["date"]], [c for c in todo if c in kinds["boolean"]]
+    seen = df.select(*[_as_number(df, c).alias(c) for c in times + flags])
+    middles = median_values(seen, times + flags, rows) if times + flags else {}
+    moments = {c: _from_number(df, c, middles[c]) for c in times if c in middles}
+    majority = {c: middles[c] > 0.5 for c in flags if c in middles}
     actions = {c: "dropped" for c in sparse}
     actions |= {c: f"filled with '{v}'" for c, v in values.items()}
     actions |= {c: f"filled with median ({v:.2f})" for c, v in medians.items()}
+    actions |= {c: f"filled with median ({v[0]})" for c, v in moments.items()}
+    actions |= {c: f"filled with {v}" for c, v in majority.items()}
     log = [
         (c, a, missing[c], round(missing[c] * 100.0 / rows, 6)) for c, a in actions.items()
     ]
     log_df = df.sparkSession.createDataFrame(
         log, "column string, action string, missing bigint, missing_pct double"
     ).orderBy(F.desc("missing"), "column")
-    return fill(df, values | medians).drop(*sparse), log_df
+    filled = fill(df, values | medians | majority)
+    filled = filled.withColumns({c: F.coalesce(col(c), F.lit(v[0]).cast(v[1])) for c, v in moments.items()})
+    return filled.drop(*sparse), log_df
+
+
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A time as microseconds, a flag as 0 or 1."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.BooleanType):
+        return col(name).cast("int")
+    return F.unix_micros(col(name).cast("timestamp")).cast("double")
+
+
+def _from_number(df: DataFrame, name: str, micros: float) -> tuple[str, T.DataType]:
+    """A time in microseconds as text in the session's zone, and the column's type."""
+    spark, kind = df.sparkSession, df.schema[name].dataType
+    moment = spark.range(1).select(F.timestamp_micros(F.lit(int(micros))).cast(kind).cast("string")).first()
+    return moment[0], kind

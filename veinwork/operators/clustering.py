@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil, sqrt
 from multiprocessing.pool import ThreadPool
@@ -27,12 +27,13 @@ from veinwork.session import durable
 
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4
-SEED_ROWS = 10_000
-RESTARTS = 10
+# Starts of one fit (each by MLlib's k-means||), of each k of a sweep, and how many run at once.
+RESTARTS = 4
+SWEEP_RESTARTS = 2
+AT_ONCE = 2
 CLUSTERS = 5
 REGIONS = 8
 SWEEP = tuple(range(2, 11))
-MAX_CLUSTERS = 1_000
 
 
 @dataclass(frozen=True)
@@ -51,117 +52,13 @@ def _mean_variance(df: DataFrame, vector: Column, *weight: Column) -> float:
     return float(np.mean(row[0].toArray())) if row and row[0] is not None else 0.0
 
 
-def _seed_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ (Arthur and Vassilvitskii, 2007). Its first j centers are a start for j."""
-    random = np.random.default_rng(seed)
-    centers = [sample[random.integers(len(sample))]]
-    gaps = ((sample - centers[0]) ** 2).sum(axis=1)
-    while len(centers) < k:
-        total = gaps.sum()
-        share = gaps / total if total > 0 else None
-        centers.append(sample[random.choice(len(sample), p=share)])
-        gaps = np.minimum(gaps, ((sample - centers[-1]) ** 2).sum(axis=1))
-    return np.array(centers)
-
-
-def _partial_sums(models: dict[int, np.ndarray]):
-    """Per task and center: rows won, their sum, their squared distances. All models share
-    one read of the rows and one matrix product."""
-    names, stacked = list(models), np.concatenate(list(models.values()))
-    starts = np.cumsum([0] + [len(models[m]) for m in names])
-    center_squares = (stacked * stacked).sum(axis=1)
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, costs = np.zeros(len(stacked)), np.zeros(len(stacked))
-        sums = np.zeros_like(stacked)
-        for batch in batches:
-            if batch.empty:
-                continue
-            x = matrix(batch["x"])
-            row_squares = (x * x).sum(axis=1)
-            partial = center_squares[None, :] - 2.0 * (x @ stacked.T)
-            for lo, hi in zip(starts, starts[1:]):
-                won = partial[:, lo:hi].argmin(axis=1)
-                cost = np.maximum(partial[np.arange(len(x)), lo + won] + row_squares, 0.0)
-                member = np.zeros((len(x), hi - lo))
-                member[np.arange(len(x)), won] = 1.0
-                counts[lo:hi] += member.sum(axis=0)
-                costs[lo:hi] += cost @ member
-                sums[lo:hi] += member.T @ x
-        yield pd.DataFrame({
-            "model": np.repeat(names, np.diff(starts)), "center": np.arange(len(stacked)) - np.repeat(starts[:-1], np.diff(starts)),
-            "n": counts, "cost": costs, "total": list(sums),
-        })
-
-    return add_up
-
-
-def _one_pass(rows: DataFrame, models: dict[int, np.ndarray]):
-    """Mean of the rows each center wins, and the inertia of each model before the move."""
-    sums = rows.mapInPandas(
-        _partial_sums(models), "model int, center int, n double, cost double, total array<double>"
-    ).groupBy("model", "center").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-        Summarizer.sum(array_to_vector("total")).alias("total"),
-    ).collect()  # one row per model and center
-    moved = {m: c.copy() for m, c in models.items()}
-    inertia = dict.fromkeys(models, 0.0)
-    for r in sums:
-        inertia[r["model"]] += r["cost"]
-        if r["n"]:
-            moved[r["model"]][r["center"]] = r["total"].toArray() / r["n"]
-    return moved, inertia
-
-
-def fit_many(
-    df: DataFrame,
-    features: str,
-    ks: Sequence[int],
-    restarts: int = RESTARTS,
-    max_iterations: int = MAX_ITERATIONS,
-    seed: int = DEFAULT_SEED,
-) -> dict[int, Clusters]:
-    """k-means of lowest inertia over `restarts` starts, for each k.
-
-    A sweep fits many models. Fitted one by one they would read the rows once per model and
-    iteration; here every pass moves the centers of all models that still move. The starts
-    come from a bounded sample in hash order, all passes read all rows.
-    """
-    rows = durable(df.select(col(features).cast(T.ArrayType(T.DoubleType())).alias("x")))
-    sample = np.array([
-        r["x"] for r in rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(SEED_ROWS).collect()
-    ])
-    if not len(sample):
-        raise ValueError("no rows to cluster")
-    starts = [_seed_centers(sample, max(ks), seed + i) for i in range(restarts)]
-    models = {
-        i: (k, start[:k]) for i, (k, start) in enumerate((k, s) for k in ks for s in starts)
-    }
-    centers = {m: c for m, (_, c) in models.items()}
-    still = TOLERANCE * _mean_variance(rows, array_to_vector("x"))
-    moving = dict(centers)
-    for _ in range(max_iterations):
-        if not moving:
-            break
-        moved, _cost = _one_pass(rows, moving)
-        centers |= moved
-        moving = {m: c for m, c in moved.items() if ((c - moving[m]) ** 2).sum() > still}
-    _, inertia = _one_pass(rows, centers)
-    best: dict[int, int] = {}
-    for m, (k, _) in models.items():
-        if k not in best or inertia[m] < inertia[best[k]]:
-            best[k] = m
-    return {k: Clusters(centers[m].tolist(), float(inertia[m])) for k, m in best.items()}
-
-
 def _fit_restarts(
     vectors: DataFrame, k: int, restarts: int, max_iterations: int, seed: int, parallelism: int,
-    weight: str | None = None,
+    weight: str | None = None, stored: bool = False,
 ) -> Clusters:
     """Best MLlib model over its seeds. The restarts are independent jobs on one stored table,
-    submitted side by side as cross validation does; each caches its own decoded rows, so
-    lower `parallelism` where that does not fit in memory."""
-    vectors = durable(vectors)
+    `parallelism` of them at once, each of which caches its own decoded rows."""
+    vectors = vectors if stored else durable(vectors)
     if vectors.isEmpty():
         raise ValueError("no rows to cluster")
     options = {"weightCol": weight} if weight else {}
@@ -189,7 +86,7 @@ def fit_kmeans(
     restarts: int = RESTARTS,
     max_iterations: int = MAX_ITERATIONS,
     seed: int = DEFAULT_SEED,
-    parallelism: int = 8,
+    parallelism: int = AT_ONCE,
 ) -> Clusters:
     """k-means of lowest inertia over `restarts` seeds."""
     vectors = df.select(array_to_vector(col(features)).alias("vector"))
@@ -198,7 +95,7 @@ def fit_kmeans(
 
 def fit_regions(
     df: DataFrame, latitude: str, longitude: str, regions: int = REGIONS,
-    restarts: int = RESTARTS, seed: int = DEFAULT_SEED, parallelism: int = 8,
+    restarts: int = RESTARTS, seed: int = DEFAULT_SEED, parallelism: int = AT_ONCE,
 ) -> Clusters:
     """k-means over coordinates alone, on all rows. Places repeat, so each is counted once and
     then weighs as many rows as it has; all restarts read the counted places."""
@@ -265,17 +162,12 @@ def nearest_centroid(df: DataFrame, features: str, centroids: dict[int, Sequence
     )
 
 
-def label_centroids(df: DataFrame, features: str, label: str) -> dict[int, list[float]]:
+def label_centroids(df: DataFrame, features: str, label: str) -> dict:
     """Mean vector of each label. One aggregate; a row per label reaches the driver."""
-    width = df.select(F.size(col(features))).first()
-    if width is None:
-        return {}
-    rows = df.groupBy(col(label)).agg(
-        *[F.avg(col(features)[i].cast("double")) for i in range(width[0])]
-    ).limit(MAX_CLUSTERS + 1).collect()
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} labels are no clustering")
-    return {r[0]: list(r[1:]) for r in rows if r[0] is not None}
+    vector = array_to_vector(col(features).cast(T.ArrayType(T.DoubleType())))
+    rows = df.filter(col(label).isNotNull()).select(col(label).alias("label"), vector.alias("x")).groupBy("label").agg(
+        Summarizer.mean(F.col("x")).alias("mean")).collect()
+    return {r["label"]: r["mean"].toArray().tolist() for r in rows}
 
 
 def inertia(df: DataFrame, features: str, centroids: dict[int, Sequence[float]]) -> DataFrame:
@@ -294,14 +186,16 @@ def centroid_outliers(
     return flag_above_quantile(near, "distance", share, "is_outlier", rows)
 
 
-def _own_distance(centroids: dict[int, Sequence[float]], label: Column, x: Column) -> Column:
-    table = {i: np.asarray(c, dtype=float) for i, c in centroids.items()}
+def _own_distance(centroids: dict, label: Column, x: Column) -> Column:
+    """Distance of each row to the centroid of its label."""
+    labels = pd.Index(list(centroids))
+    table = np.array(list(centroids.values()), dtype=float)
 
     @F.pandas_udf("double")
-    def distance(labels: pd.Series, points: pd.Series) -> pd.Series:
+    def distance(own: pd.Series, points: pd.Series) -> pd.Series:
         if not len(points):
             return pd.Series([], dtype=float)
-        gaps = matrix(points) - np.stack([table[i] for i in labels])
+        gaps = matrix(points) - table[labels.get_indexer(own)]
         return pd.Series(np.sqrt((gaps * gaps).sum(axis=1)))
 
     return distance(label, x)
@@ -359,16 +253,17 @@ def silhouette_rows(df: DataFrame, id: str, features: str, labels: Sequence[str]
 
     Every row needs its mean distance to every cluster, so the work is quadratic in the rows:
     meant for a sample. Blocks of rows meet slices of rows; what leaves a task is one sum per
-    row and cluster. A row alone in its cluster scores 0.
+    row and cluster. A row alone in its cluster scores 0, as does every row of a labeling with
+    one cluster. Labels may be of any type that has a text form; a row that lacks one of the
+    labels is left out.
     """
     spark = df.sparkSession
     id_type = dict(df.dtypes)[id]
+    df = df.select(col(id), col(features), *[col(label).cast("string") for label in labels]).dropna(subset=list(labels))
     counts = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), col(label).cast("long").alias("label")) for i, label in enumerate(labels)
-    ]))).groupBy("i", "label").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLUSTERS * len(labels) + 1).collect()
-    if len(counts) > MAX_CLUSTERS * len(labels):
-        raise ValueError(f"more than {MAX_CLUSTERS} labels are no clustering")
-    sizes: list[dict[int, int]] = [{} for _ in labels]
+        F.struct(F.lit(i).alias("i"), col(label).alias("label")) for i, label in enumerate(labels)
+    ]))).groupBy("i", "label").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per cluster
+    sizes: list[dict[str, int]] = [{} for _ in labels]
     for r in sorted(counts, key=lambda r: (r["i"], r["label"])):
         sizes[r["i"]][r["label"]] = r["n"]
     offsets = [sum(len(s) for s in sizes[:i]) for i in range(len(labels))]
@@ -376,7 +271,7 @@ def silhouette_rows(df: DataFrame, id: str, features: str, labels: Sequence[str]
     total = sum(sizes[0].values())
 
     code = lambda i: F.array_position(
-        F.array(*[F.lit(v) for v in sizes[i]]), col(labels[i]).cast("long")).cast("int") - 1
+        F.array(*[F.lit(v) for v in sizes[i]]), col(labels[i])).cast("int") - 1
     n_blocks = max(1, ceil(total / BLOCK_ROWS))
     parallel = spark.sparkContext.defaultParallelism
     n_slices = max(ceil(total / SLICE_ROWS), min(parallel, ceil(total / 256)), 1)
@@ -404,10 +299,10 @@ def silhouette_rows(df: DataFrame, id: str, features: str, labels: Sequence[str]
         mine = F.col("codes")[i]
         part = F.slice("sums", offsets[i] + 1, len(sizes[i]))
         means = F.zip_with(part, n, lambda s, m: s / m)
-        own = part[mine] / (n[mine] - 1)
+        own = F.try_divide(part[mine], n[mine] - 1)
         other = F.array_min(F.filter(means, lambda m, j: j != mine))
         wide = F.greatest(own, other)
-        score = F.when((n[mine] > 1) & (wide > 0), (other - own) / wide).otherwise(F.lit(0.0))
+        score = F.when((n[mine] > 1) & other.isNotNull() & (wide > 0), (other - own) / wide).otherwise(F.lit(0.0))
         records.append(F.struct(F.lit(label).alias("labeling"), score.alias("silhouette")))
     return sums.select("id", F.inline(F.array(*records)))
 
@@ -424,12 +319,16 @@ def k_sweep(
     id: str,
     features: str,
     ks: Sequence[int] = SWEEP,
-    restarts: int = RESTARTS,
+    restarts: int = SWEEP_RESTARTS,
     max_iterations: int = MAX_ITERATIONS,
     seed: int = DEFAULT_SEED,
 ) -> tuple[DataFrame, dict[int, Clusters]]:
-    """`(k, inertia, silhouette, davies_bouldin)` with the rank of k by each, and the models."""
-    models = fit_many(df, features, ks, restarts, max_iterations, seed)
+    """`(k, inertia, silhouette, davies_bouldin)` with the rank of k by each, and the models.
+
+    A score that does not exist (all rows in one cluster) is null and ranks last.
+    """
+    vectors = durable(df.select(array_to_vector(col(features)).alias("vector")))
+    models = {k: _fit_restarts(vectors, k, restarts, max_iterations, seed, AT_ONCE, stored=True) for k in ks}
     named = durable(assign_many(df.select(col(id), col(features)), features, models))
     scores = {
         r["labeling"]: r["silhouette"]
@@ -439,8 +338,8 @@ def k_sweep(
         (k, models[k].inertia, scores[f"k{k}"], davies_bouldin_value(named, features, f"k{k}"))
         for k in sorted(ks)
     ]
-    by_silhouette = sorted(rows, key=lambda r: -r[2])
-    by_db = sorted(rows, key=lambda r: r[3])
+    by_silhouette = sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0.0)))
+    by_db = sorted(rows, key=lambda r: (r[3] is None, r[3] or 0.0))
     ranked = [
         (*r, by_silhouette.index(r) + 1, by_db.index(r) + 1) for r in rows
     ]
@@ -454,8 +353,7 @@ def k_sweep(
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     counts = df.groupBy(col(cluster)).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("t")).scalar()
-    return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 6))
+    return counts.withColumn("pct", F.round(F.col("n") * 100.0 / F.sum("n").over(W.partitionBy()), 6))
 
 
 def cluster_profile(
@@ -475,8 +373,7 @@ def cluster_profile(
         *[F.round(F.avg(col(r).cast("int")) * 100.0, 6).alias(f"{r}_pct") for r in rates],
         *[F.round(F.avg(col(m)), 6).alias(f"{m}_mean") for m in means],
     )
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    return one.withColumn("pct", F.round(F.col("size") * 100.0 / total, 6))
+    return one.withColumn("pct", F.round(F.col("size") * 100.0 / F.sum("size").over(W.partitionBy()), 6))
 
 
 def cluster_top_classes(df: DataFrame, cluster: str, label: str, n: int = 3) -> DataFrame:

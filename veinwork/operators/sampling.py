@@ -20,18 +20,17 @@ def stratified_sample(
     keys: Sequence[str],
     size: int = SAMPLE_ROWS,
     seed: int = DEFAULT_SEED,
-    only_if_larger: bool = True,
 ) -> DataFrame:
     """About `size` rows, each stratum giving its share rounded half to even.
 
-    A row whose stratum is null belongs to no stratum and is left out. A table of at most
-    `size` rows comes back whole unless `only_if_larger` is off.
+    A row whose stratum is null belongs to no stratum and is left out, at any size. Where
+    `size` is no less than the table, every row that has a stratum is in the sample.
     """
     rows = df.count()
-    if rows == 0 or (only_if_larger and rows <= size):
-        return df
-    fraction = size / rows
     kept = drop_null(df, by)
+    if rows == 0:
+        return kept
+    fraction = min(1.0, size / rows)
     cuts = stratum_cuts(kept, by, keys, lambda n: [F.rint(n * F.lit(fraction))], rows, seed)
     marked = label_by_cuts(kept, cuts, by, keys, ["in"], "out", "_part", seed)
     return marked.filter("_part = 'in'").drop("_part")

@@ -20,13 +20,12 @@ select d.event_id, hour({_HOUR_SQL}) as hour, try_cast(split_part(clock, ':', 1)
   month(ts) as month, isodow(ts) - 1 as day_of_week,
   case when try_strptime(day, '%m/%d/%Y') is null then 0
        when isodow(try_strptime(day, '%m/%d/%Y')) >= 6 then 1 else 0 end::bigint as is_weekend
-from dirty d join events e on d.event_id = e.event_id
+from dirty d
 """)
 def temporal_features(spark, folder):
     dirty = dirty_events(spark, folder)
     day = F.try_to_timestamp("day", F.lit("MM/dd/yyyy"))
-    events = table(spark, folder, "events").select("event_id", "ts")
-    return dirty.join(events, "event_id").select(
+    return dirty.select(
         "event_id",
         T.hour_of_clock(F.col("clock")).cast("long").alias("hour"),
         T.hour_before_colon(F.col("clock")).cast("long").alias("hour_text"),

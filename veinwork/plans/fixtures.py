@@ -31,7 +31,7 @@ def dirty_events(spark: SparkSession, folder: str) -> DataFrame:
         bad_date.alias("day"),
         F.expr("case when event_id % 13 = 0 then '25:00:00' else date_format(ts, 'HH:mm:ss') end").alias("clock"),
         F.expr("case when event_id % 17 = 0 then value + 1000 else value end").alias("reading"),
-        "event_type",
+        "event_type", "ts",
     )
 
 
@@ -46,7 +46,7 @@ dirty as (
     case when event_id % 19 = 0 then 'not a date' else strftime(ts, '%m/%d/%Y') end as day,
     case when event_id % 13 = 0 then '25:00:00' else strftime(ts, '%H:%M:%S') end as clock,
     case when event_id % 17 = 0 then value + 1000 else value end as reading,
-    event_type
+    event_type, ts
   from events)
 """
 

@@ -84,11 +84,15 @@ def profile(stops: DataFrame) -> dict[str, DataFrame]:
 def classify(
     stops: DataFrame,
     keys: Sequence[str],
-    size: int = sampling.SAMPLE_ROWS,
+    fit_rows: int = sampling.SAMPLE_ROWS,
     min_class_rows: int = MIN_CLASS_ROWS,
     seed: int = DEFAULT_SEED,
 ) -> dict[str, DataFrame]:
-    """Decision tree for the violation type. `keys` name a row uniquely."""
+    """Decision tree for the violation type. `keys` name a row uniquely.
+
+    The tree is fitted on a stratified sample of about `fit_rows` of the training rows, and
+    cross-validation works on that sample; accuracy and confusion are of all rows.
+    """
     numbers = [*CALENDAR, "Latitude", "Longitude", "VehicleAge"]
     chosen = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLASSIFY_FLAGS, *CATEGORIES])])
     labelled = drop_null(chosen, [TARGET])
@@ -96,17 +100,16 @@ def classify(
     # Written once: the label fit and the sampling passes each read a few of its columns.
     featured = durable(with_calendar(frequent).withColumn(
         "VehicleAge", temporal.years_since(col("Year"), 2024, missing="zero")))
-    # Codes come from all rows, then only the sample is encoded.
     labels = encoding.fit_labels(featured, CATEGORIES)
-    sample = sampling.stratified_sample(featured, [TARGET], keys, size, seed)
-    coded = encoding.apply_labels(sample, labels, CATEGORIES, unseen=0)
+    coded = encoding.apply_labels(featured, labels, CATEGORIES, unseen=0)
     names = [*numbers, *CLASSIFY_FLAGS, *_encoded(CATEGORIES)]
     rows = durable(encoding.feature_matrix(coded, [*keys, TARGET], numbers, CLASSIFY_FLAGS, _encoded(CATEGORIES)))
     parts = durable(sampling.train_test_split(rows, [TARGET], keys, seed=seed))
-    tree = trees.fit_tree(parts.filter("split = 'train'"), TARGET, names, seed=seed)
+    fitted = durable(sampling.stratified_sample(parts.filter("split = 'train'").drop("split"), [TARGET], keys, fit_rows, seed))
+    tree = trees.fit_tree(fitted, TARGET, names, seed=seed)
     predicted = parts.withColumn("predicted", tree.predict())
     test = predicted.filter("split = 'test'")
-    folds = trees.cross_validate(rows, TARGET, names, keys, seed=seed)
+    folds = trees.cross_validate(fitted, TARGET, names, keys, seed=seed)
     hit = (col(TARGET) == F.col("predicted")).cast("double")
     return {
         "classes": profiling.class_distribution(parts, TARGET, "split"),
@@ -123,13 +126,15 @@ def classify(
 def cluster(
     stops: DataFrame,
     keys: Sequence[str],
-    size: int = sampling.SAMPLE_ROWS,
+    fit_rows: int = sampling.SAMPLE_ROWS,
     k: int = clustering.CLUSTERS,
     ks: Sequence[int] = clustering.SWEEP,
-    restarts: int = clustering.RESTARTS,
+    restarts: int = clustering.SWEEP_RESTARTS,
     seed: int = DEFAULT_SEED,
 ) -> dict[str, DataFrame]:
-    """k-means over a stratified sample. `ks` must hold the chosen `k`."""
+    """k-means of all rows. The models are fitted, and the numbers of clusters compared, on a
+    stratified sample of about `fit_rows`; clusters, profile, outliers and projection are of
+    every row. `ks` must hold the chosen `k`."""
     if k not in ks:
         raise ValueError(f"k={k} is not among the swept {list(ks)}")
     numbers = [*CALENDAR, "region", "VehicleAge"]
@@ -141,15 +146,16 @@ def cluster(
     featured = clustering.assign_regions(featured, regions, "Latitude", "Longitude")
     labels = encoding.fit_labels(featured, CATEGORIES)
     strata = sampling.with_stratum(featured, [TARGET, "Accident"], ["Hour", "IsWeekend"])
-    sample = sampling.stratified_sample(strata, ["stratum"], keys, size, seed).drop("stratum")
     # The number is fixed by writing it out.
-    coded = durable(encoding.apply_labels(sample, labels, CATEGORIES, unseen=0).withColumn(
+    coded = durable(encoding.apply_labels(strata, labels, CATEGORIES, unseen=0).withColumn(
         "row", F.monotonically_increasing_id()))
     names = [*numbers, *CLUSTER_FLAGS, *_encoded(CATEGORIES)]
     filled = encoding.feature_matrix(coded, ["row"], numbers, CLUSTER_FLAGS, _encoded(CATEGORIES))
     scaled = durable(
         encoding.fit_standard(filled, names).transform(filled).select("row", feature_array(names).alias("features")))
-    sweep, models = clustering.k_sweep(scaled, "row", "features", ks, restarts, seed=seed)
+    sample = sampling.stratified_sample(coded, ["stratum"], ["row"], fit_rows, seed).select("row")
+    sweep, models = clustering.k_sweep(
+        durable(scaled.join(sample, "row")), "row", "features", ks, restarts, seed=seed)
     marked = durable(clustering.centroid_outliers(
         scaled, "features", models[k].by_id(), rows=scaled.count()))
     described = marked.drop("features").join(coded, "row")
@@ -214,23 +220,24 @@ def outlier_features(valid: DataFrame) -> DataFrame:
 def screen_outliers(
     stops: DataFrame,
     order: Sequence[str],
-    size: int = sampling.SAMPLE_ROWS,
+    fit_rows: int = sampling.SAMPLE_ROWS,
     k: int = outliers.NEIGHBOURS,
     contamination: float = outliers.CONTAMINATION,
     seed: int = DEFAULT_SEED,
 ) -> dict[str, DataFrame]:
-    """Two outlier methods over a stratified sample of the valid stops. `order` is the total
-    order that decides which row of a repeated stop comes first."""
+    """Two outlier methods over all valid stops, whose neighbours come from a stratified sample
+    of about `fit_rows` of them. `order` is the total order that decides which row of a repeated
+    stop comes first."""
     valid, reports = clean_for_outliers(stops, order)
-    sample = sampling.stratified_sample(valid, ["Accident"], ["SeqID"], size, seed)
-    rows = durable(drop_null(outlier_features(sample)))
+    rows = durable(drop_null(outlier_features(valid)))
     labels = encoding.fit_labels(rows, CATEGORIES)
     coded = encoding.apply_labels(rows, labels, CATEGORIES)
     names = [*OUTLIER_NUMBERS, *OUTLIER_FLAGS, *_encoded(CATEGORIES)]
     filled = durable(encoding.feature_matrix(coded, ["SeqID"], OUTLIER_NUMBERS, OUTLIER_FLAGS, _encoded(CATEGORIES)))
     scaled = encoding.fit_standard(filled, names).transform(filled)
-    vectors = scaled.select("SeqID", feature_array(names).alias("features"))
-    flags = outliers.screen(vectors, "SeqID", "features", k, contamination)
+    vectors = durable(scaled.select("SeqID", "Accident", feature_array(names).alias("features")))
+    sample = sampling.stratified_sample(vectors, ["Accident"], ["SeqID"], fit_rows, seed)
+    flags = durable(outliers.screen_by_sample(vectors, sample, "SeqID", "features", k, contamination))
     marked = rows.join(flags, "SeqID")
     return {
         **reports,

@@ -48,7 +48,7 @@ _NUMBERS = {
 
 def raw_stops(spark, folder: str) -> DataFrame:
     """A stop table as a CSV would bring it, all text."""
-    lines = table(spark, folder, "lineitem", widen=True)
+    lines = table(spark, folder, "lineitem")
     seconds = F.expr("(l_partkey * 37 + l_suppkey * 61) % 86400")
     clock = F.concat_ws(
         ":", *[F.lpad(part.cast("long").cast("string"), 2, "0")
@@ -68,8 +68,8 @@ def stops(spark, folder: str) -> DataFrame:
     return coerce(raw_stops(spark, folder), STOP_FIELDS)
 
 
-@query("""
-with s as (select concat(l_orderkey, '-', l_linenumber) as id, l_discount >= 0.09 as accident,
+@query(f"""
+with s as (select concat(l_orderkey, '-', l_linenumber) as id, l_suppkey % 9 as district, l_discount >= 0.09 as accident,
   l_discount >= 0.09 and l_partkey % 5 = 0 as contributed,
   case when l_partkey % 53 = 0 then 1850 else 1990 + l_suppkey % 36 end as year from lineitem)
 select 'rows' as metric, count(*)::double as value from s
@@ -77,19 +77,31 @@ union all select 'ids', count(distinct id)::double from s
 union all select 'accident_pct', round(avg(accident::int) * 100.0::double, 6) from s
 union all select 'contributed_pct', round(avg(contributed::int) * 100.0::double, 6) from s
 union all select 'median_year', quantile_cont(year, 0.5)::double from s
+union all select 'n_rows', count(*)::double from s
+union all select 'n_columns', {len(_WORDS) + len(_FLAGS) + len(_NUMBERS) + 3}::double
+union all select 'sub_agencies', count(distinct district)::double from s
+union all select 'missing', (5 * count(*) - count(id) - count(accident) - count(contributed) - count(year) - count(district))::double from s
 """)
 def stop_profile(spark, folder):
     typed = stops(spark, folder)
-    report = S.profile(typed.select("SeqID", "Accident", "Contributed To Accident", "Year", "Gender"))
+    report = S.profile(typed)
     duplicates = report["duplicates"].select(
         F.inline(F.array(
             F.struct(F.lit("rows").alias("metric"), F.col("n_rows").cast("double").alias("value")),
             F.struct(F.lit("ids").alias("metric"), F.col("n_keys").cast("double").alias("value")))))
     names = F.create_map(F.lit("Accident"), F.lit("accident_pct"),
                          F.lit("Contributed To Accident"), F.lit("contributed_pct"))
-    flags = report["flags"].filter("value").select(names[F.col("column")].alias("metric"), F.col("pct").alias("value"))
-    year = report["numbers"].select(F.lit("median_year").alias("metric"), F.col("median").alias("value"))
-    return duplicates.unionByName(flags).unionByName(year)
+    named = F.col("column").isin("Accident", "Contributed To Accident")
+    flags = report["flags"].filter("value").filter(named).select(names[F.col("column")].alias("metric"), F.col("pct").alias("value"))
+    year = report["numbers"].filter(F.col("column") == "Year").select(
+        F.lit("median_year").alias("metric"), F.col("median").alias("value"))
+    shape = report["shape"].select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in ("n_rows", "n_columns")])))
+    kinds = report["categories"].filter(F.col("column") == "SubAgency").groupBy().agg(
+        F.max("n_distinct").cast("double").alias("value")).select(F.lit("sub_agencies").alias("metric"), "value")
+    gaps = report["missing"].agg(F.coalesce(F.sum("missing"), F.lit(0)).cast("double").alias("value")).select(
+        F.lit("missing").alias("metric"), "value")
+    return duplicates.unionByName(flags).unionByName(year).unionByName(shape).unionByName(kinds).unionByName(gaps)
 
 
 @query()

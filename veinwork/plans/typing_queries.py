@@ -30,7 +30,7 @@ _TYPED = """
 
 @query(f"with {DIRTY_EVENTS_SQL} select event_id, {_TYPED}, clock, reading, event_type from dirty")
 def coerce_schema(spark, folder):
-    return coerce(dirty_events(spark, folder), EVENT_FIELDS)
+    return coerce(dirty_events(spark, folder).drop("ts"), EVENT_FIELDS)
 
 
 @query("select count(*) as n_rows, 11 as n_columns from lineitem")
