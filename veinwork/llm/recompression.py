@@ -235,22 +235,25 @@ def covered_runs(docs: DataFrame) -> DataFrame:
     `docs` holds key (long, never null), text_id (tells texts of one key apart) and text.
     """
     rows = _anchor_rows(docs)
-    names = rows.groupBy("narrow").agg(
+    # Stored, as are the owners below, so that the joins on a name read plain exchanges, whose
+    # large partitions adaptive execution splits.
+    names = durable(rows.groupBy("narrow").agg(
         F.min("key").alias("first"), F.max("key").alias("last"), (F.min("wide") != F.max("wide")).alias("several")
-    ).filter("first < last").drop("last")
+    ).filter("first < last").drop("last"))
     shared = durable(rows.join(names, "narrow"))
     alike = shared.filter("not several and key > first").select("key", "text_id", "at", "count")
     several = shared.filter("several").drop("first", "several")
-    owners = several.groupBy("narrow", "wide").agg(F.min("key").alias("owner"))
+    owners = durable(several.groupBy("narrow", "wide").agg(F.min("key").alias("owner")))
     several = durable(several.join(owners, ["narrow", "wide"]).select(
         "key", "text_id", "at", "count", (F.col("key") > F.col("owner")).alias("covered")
     ))
     run = F.struct("at", "count")
     open_ = several.filter("not covered").groupBy("key", "text_id").agg(F.collect_list(run).alias("runs"))
     windows = durable(_window_rows(docs.join(open_, ["key", "text_id"]).select("key", "text_id", "text", "runs")))
-    earlier = windows.groupBy("one", "two").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter(
-        "first < last"
-    ).drop("last")
+    earlier = durable(
+        windows.groupBy("one", "two").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+        .filter("first < last").drop("last")
+    )
     single = windows.join(earlier, ["one", "two"]).filter("key > first").select(
         "key", "text_id", "at", F.lit(1).alias("count")
     )
