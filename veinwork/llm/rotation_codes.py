@@ -168,7 +168,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     bits, tables = plan_tables(classes.count(), threshold)
     placed = _placed(classes, bits, tables)
     bucketed = placed.select("class", F.posexplode("keys").alias("number", "bucket"))
-    sizes = bucketed.groupBy("number", "bucket").count().filter("count > 1")
+    sizes = durable(bucketed.groupBy("number", "bucket").count().filter("count > 1"))
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
     spread = bucketed.join(sizes, ["number", "bucket"]).select(
         "class", "number", "bucket", F.pmod(F.xxhash64("class"), blocks).cast("int").alias("block"),
