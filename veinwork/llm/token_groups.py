@@ -7,10 +7,11 @@ group, the union of its members' index tokens: the first tokens of each set in a
 The number of a query's tokens in a group's union bounds its overlap with every member:
 
 1. groups whose unions share too few tokens are never compared;
-2. members are linked to their group's head, and heads of qualifying groups to each other;
+2. members are compared with their group's head, and heads of qualifying groups with each other;
 3. where that leaves open whether two groups connect, or a member is not linked to its head,
    the bound is taken for the single query, and only groups that it cannot rule out are opened:
-   the query is compared with their members.
+   the query is compared with the head, then with those members that the head's intersections
+   with both do not exclude.
 
 Comparisons are exact: intersection and union of the whole sets. Pairs that are already in one
 component are not compared, since they cannot change it; no link between different components
@@ -57,15 +58,16 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def group_keys(tokens: np.ndarray) -> list[int]:
-    out = []
+    """KEYS hashes, each of JOINED minima of the set under multiplicative hashing."""
     with np.errstate(over="ignore"):
-        for band in range(KEYS):
-            key = np.full(1, band, dtype=np.uint64)
-            for i in range(JOINED):
-                salt = mixed(np.full(1, band * JOINED + i + 1, dtype=np.uint64))
-                key = mixed(key * np.uint64(31) + mixed(tokens ^ salt).min())
-            out.append(int(key.view(np.int64)[0]))
-    return out
+        least = np.array([(tokens * factor).min() for factor in _FACTORS], dtype=np.uint64).reshape(KEYS, JOINED)
+        key = np.arange(KEYS, dtype=np.uint64)
+        for i in range(JOINED):
+            key = mixed(key * np.uint64(31) + least[:, i])
+    return key.view(np.int64).tolist()
+
+
+_FACTORS = mixed(np.arange(1, KEYS * JOINED + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def short(tokens: np.ndarray) -> np.ndarray:
@@ -88,17 +90,25 @@ def _sizes_fit(one: str, other: str, percent: int) -> Column:
     return F.col(one) * percent <= F.col(other) * 100
 
 
-def index_tokens(tokens: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
-    """The first tokens of a set in the global order: rare ones by hash, then frequent ones, rarest first."""
+def index_tokens(tokens: np.ndarray, percent: int, frequent: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The first tokens of a set in the global order: rare ones by hash, then frequent ones, rarest first.
+
+    `frequent` holds the frequent tokens in ascending order, `place` where each comes (from 1).
+    """
     few = short(tokens)
     size = len(few)
     count = min(size, size - -(-percent * size // 100) + needed(size))
-    order = np.argsort(frequent, kind="stable")
-    at = np.searchsorted(frequent[order], few)
-    at[at == len(frequent)] = 0
-    known = frequent[order][at] == few if len(frequent) else np.zeros(size, dtype=bool)
-    place = np.where(known, order[at] + 1 if len(frequent) else 0, 0)
-    return np.unique(few[np.lexsort((few, place))[:count]])
+    rank = np.zeros(size, dtype=np.int64)
+    if len(frequent):
+        at = np.searchsorted(frequent, few)
+        at[at == len(frequent)] = 0
+        rank = np.where(frequent[at] == few, place[at], 0)
+    return np.unique(few[np.lexsort((few, rank))[:count]])
+
+
+def _enough(overlap: str, one: str, other: str, percent: int) -> Column:
+    """Whether so large an intersection makes sets of these sizes similar enough."""
+    return F.expr(overlap) * (100 + percent) >= (F.col(one) + F.col(other)) * percent
 
 
 def _alike(pairs: DataFrame, percent: int) -> DataFrame:
@@ -116,6 +126,28 @@ def _alike(pairs: DataFrame, percent: int) -> DataFrame:
     return arrow_map(pairs.select("a", "b", "one", "two"), block, "a long, b long")
 
 
+def _against_heads(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For (class, g, head): n, both (size of the intersection with the head), linked, and the tokens
+    that the head lacks; a stored table."""
+
+    def block(columns: dict) -> dict:
+        out: dict = {"class": columns["class"], "g": columns["g"], "n": [], "both": [], "linked": [], "outside": []}
+        for x, y in zip(columns["one"], columns["two"], strict=True):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            outside = np.setdiff1d(x, y, assume_unique=True)
+            both = len(x) - len(outside)
+            out["n"].append(len(x))
+            out["both"].append(both)
+            out["linked"].append(100 * both >= percent * (len(y) + len(outside)))
+            out["outside"].append(outside.view(np.int64))
+        return out
+
+    one = sets.withColumnRenamed("tokens", "one")
+    two = sets.select(F.col("class").alias("head"), F.col("tokens").alias("two"))
+    joined = pairs.join(one, "class").join(two, "head").select("class", "g", "one", "two")
+    return durable(arrow_map(joined, block, "class long, g long, n long, both long, linked boolean, outside array<long>"))
+
+
 def classes(docs: DataFrame, width: int) -> DataFrame:
     """Per row of `docs` (key, text): key, n, the class id (two longs) and the group keys; a stored table."""
     known = WordHashes()
@@ -129,8 +161,8 @@ def classes(docs: DataFrame, width: int) -> DataFrame:
     return durable(arrow_map(docs, block, "key long, n long, one long, two long, bands array<long>"))
 
 
-def _frequent(docs: DataFrame, width: int) -> np.ndarray:
-    """The most frequent index tokens of a sample, rarest first."""
+def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, places): the most frequent index tokens of a sample, ascending, and their places, the rarest first."""
     known = WordHashes()
 
     def block(columns: dict) -> dict:
@@ -138,7 +170,9 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
 
     counted = arrow_map(docs.filter(F.xxhash64("text") % SAMPLE == 0), block, "token int").groupBy("token").count()
     top = counted.filter(F.col("count") >= FREQUENT_FROM).orderBy(F.desc("count"), "token").limit(FREQUENT)
-    return np.array([r["token"] for r in top.collect()][::-1], dtype=np.int32)
+    tokens = np.array([r["token"] for r in top.collect()][::-1], dtype=np.int32)
+    order = np.argsort(tokens)
+    return tokens[order], order + 1
 
 
 def _index(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -151,12 +185,15 @@ def _index(docs: DataFrame, width: int, percent: int) -> DataFrame:
         for text in columns["text"].to_pylist():
             tokens = token_set(text, width, known)
             if len(tokens):
-                parts.append(index_tokens(tokens, percent, shared.value))
+                parts.append(index_tokens(tokens, percent, *shared.value))
                 ids.append(np.full(len(parts[-1]), identity(tokens)[0]))
         return {"token": np.concatenate(parts), "class": np.concatenate(ids)} if parts else None
 
-    rows = arrow_map(docs, block, "token int, class long")
-    several = rows.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y").select("token")
+    rows = durable(arrow_map(docs, block, "token int, class long"))
+    # Stored, so that the join reads plain exchanges, whose large partitions are split.
+    several = durable(
+        rows.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y").select("token")
+    )
     return durable(rows.join(several, "token").distinct())
 
 
@@ -183,19 +220,20 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b) between classes: enough links for their components."""
     banded = firsts.select("class", F.posexplode("bands").alias("band", "value"))
-    leaders = banded.groupBy("band", "value").agg(F.min("class").alias("leader"))
+    leaders = durable(banded.groupBy("band", "value").agg(F.min("class").alias("leader")))
     led = banded.join(leaders, ["band", "value"]).groupBy("class").agg(F.min("leader").alias("g"))
-    members = durable(
-        firsts.join(led, "class").select("class", "key", "n", "g")
-    )
-    groups = durable(members.groupBy("g").agg(
-        F.min("class").alias("head"), F.count("*").alias("members"), F.min("n").alias("least"), F.max("n").alias("most")
-    ))
+    members = durable(firsts.join(led, "class").select("class", "key", "n", "g"))
     matrix = durable(_index(plain, width, percent).join(members.select("class", "n", "g"), "class"))
-    unions = durable(matrix.select("token", "g").distinct())
-    overlap = (
-        unions.join(unions.withColumnRenamed("g", "h"), "token").filter("g < h").groupBy("g", "h").count()
-    )
+    unions = durable(matrix.groupBy("g", "token").agg(F.count("*").alias("holders")))
+    # The head is the member whose tokens most others hold: an original rather than a copy.
+    shared = matrix.join(unions, ["g", "token"]).groupBy("class").agg(F.sum("holders").alias("shared"))
+    scored = members.join(shared, "class", "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
+    groups = durable(scored.groupBy("g").agg(
+        F.max_by("class", F.struct("shared", "class")).alias("head"), F.count("*").alias("members"),
+        F.min("n").alias("least"), F.max("n").alias("most"),
+    ))
+    tokens = unions.select("g", "token")
+    overlap = tokens.join(tokens.withColumnRenamed("g", "h"), "token").filter("g < h").groupBy("g", "h").count()
     other = groups.toDF("h", "other_head", "other_members", "other_least", "other_most")
     sized = overlap.join(groups, "g").join(other, "h").filter(
         (F.col("count") >= _bound("least", "other_least")) & _sizes_fit("least", "other_most", percent)
@@ -205,49 +243,62 @@ def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int)
     involved = groups.filter("members > 1").select("g").union(candidates.select("g")).union(candidates.select("h")).distinct()
     sets = _sets(plain, members.join(involved, "g"), width)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("one"))
-        two = sets.select(F.col("class").alias("b"), F.col("tokens").alias("two"))
-        return _alike(pairs.join(one, "a").join(two, "b"), percent)
-
-    heads = members.join(groups, "g").filter("`class` != head").select(F.col("class").alias("a"), F.col("head").alias("b"))
-    edges = durable(verified(heads.union(candidates.select("a", "b"))))
-    labels = components(edges)
+    # Members against their own head, heads of candidate groups against each other.
+    heads = groups.select("g", "head")
+    inside = members.join(involved, "g").join(heads, "g").select("class", "g", "head")
+    own = _against_heads(inside, sets, percent)
+    one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("one"))
+    two = sets.select(F.col("class").alias("b"), F.col("tokens").alias("two"))
+    between = durable(_alike(candidates.join(one, "a").join(two, "b"), percent))
+    to_head = lambda found: found.filter("linked").join(heads, "g").select(F.col("class").alias("a"), F.col("head").alias("b"))
+    edges = between.unionByName(to_head(own))
     now = durable(
-        members.join(labels.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("component", F.coalesce("component", "class"))
+        members.join(components(edges).withColumnRenamed("node", "class"), "class", "left")
+        .withColumn("component", F.coalesce("component", "class")).select("class", "g", "n", "component")
     )
-    headed = now.select(F.col("class").alias("head"), F.col("component").alias("of_head"))
-    # Queries left: members of candidate groups in other components, and members apart from their own head.
+
+    # Queries of the candidate groups that this leaves apart, as far as their own bound allows.
+    of_head = heads.join(now.select(F.col("class").alias("head"), F.col("component").alias("hc")), "head").select("g", "hc")
+    loose = own.filter("not linked").select("g").distinct().withColumn("loose", F.lit(True))
+    state = durable(groups.select("g").join(of_head, "g").join(loose, "g", "left").select(
+        "g", "hc", F.coalesce("loose", F.lit(False)).alias("loose")))
     both = candidates.select("g", "h").union(candidates.select(F.col("h").alias("g"), F.col("g").alias("h")))
-    apart = now.join(groups.select("g", "head"), "g").join(headed, "head").filter("component != of_head").select("g").distinct()
-    opened = both.join(groups.select("g", F.col("head").alias("ga")), "g").join(
-        groups.select(F.col("g").alias("h"), F.col("head").alias("ha")), "h"
-    )
-    parts = headed.select(F.col("head").alias("ga"), F.col("of_head").alias("gc"))
-    others = headed.select(F.col("head").alias("ha"), F.col("of_head").alias("hc"))
-    loose = apart.withColumn("loose", F.lit(True))
-    opened = (
-        opened.join(parts, "ga").join(others, "ha")
-        .join(loose, "g", "left").join(loose.select(F.col("g").alias("h"), F.col("loose").alias("loose2")), "h", "left")
-        .filter("gc != hc or loose or loose2").select("g", "h")
-        .union(apart.select("g", F.col("g").alias("h")))
-    )
-    queries = matrix.join(opened, "g").select("class", "n", "h", "token")
-    qualified = (
-        queries.join(unions.withColumnRenamed("g", "h"), ["h", "token"]).groupBy("class", "n", "h").count()
-        .join(groups.select(F.col("g").alias("h"), "least"), "h")
+    apart = both.join(state, "g").join(state.toDF("h", "other_hc", "other_loose"), "h").filter(
+        "hc != other_hc or loose or other_loose").select("g", "h")
+    queries = matrix.join(apart, "g").select("class", "n", "h", "token")
+    qualified = durable(
+        queries.join(tokens.withColumnRenamed("g", "h"), ["h", "token"]).groupBy("class", "n", "h").count()
+        .join(groups.select(F.col("g").alias("h"), "head", "least"), "h")
         .filter(F.col("count") >= _bound("n", "least"))
-        .select("class", "n", "h")
-    )
-    mine = now.select("class", "component")
-    theirs = now.select(F.col("class").alias("b"), F.col("g").alias("h"), F.col("n").alias("m"), F.col("component").alias("c"))
-    pairs = (
-        qualified.join(mine, "class").join(theirs, "h")
-        .filter((F.col("component") != F.col("c")) & _sizes_fit("n", "m", percent) & _sizes_fit("m", "n", percent))
-        .select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
+        .select("class", F.col("h").alias("g"), "head")
     )
-    return edges.unionByName(durable(verified(pairs)))
+    cross = _against_heads(qualified, sets, percent)
+    opened = _opened(own.filter("not linked").unionByName(cross.filter("not linked")), own, percent)
+    mine = now.select(F.col("class").alias("a"), F.col("component").alias("ca"))
+    theirs = now.select(F.col("class").alias("b"), F.col("component").alias("cb"))
+    pairs = durable(opened.join(mine, "a").join(theirs, "b").filter("ca != cb").select("a", "b"))
+    last = durable(_alike(pairs.join(one, "a").join(two, "b"), percent))
+    return edges.unionByName(to_head(cross)).unionByName(last)
+
+
+def _opened(queries: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """(a, b): queries and members of a group that its head does not rule out.
+
+    What two sets share is at most the smaller of what each shares with the head, plus what they
+    share outside it. So a pair qualifies by sizes alone, or shares a token that the head lacks.
+    """
+    query = queries.select(F.col("class").alias("a"), "g", F.col("n").alias("na"), F.col("both").alias("ba"), "outside")
+    member = own.select(F.col("class").alias("b"), "g", F.col("n").alias("nb"), F.col("both").alias("bb"), "outside")
+    # Sizes that a member may have, from 100 * both >= percent * union with no shared token outside.
+    low, high = F.ceil(F.col("na") * percent / 100), F.floor(F.col("ba") * (100 + percent) / percent) - F.col("na")
+    sized = query.filter(low <= high).select("a", "g", "na", "ba", F.explode(F.sequence(low, high)).alias("nb"))
+    by_size = sized.join(member.drop("outside"), ["g", "nb"]).filter(
+        _enough("least(ba, bb)", "na", "nb", percent)).select("a", "b")
+    by_token = query.select("a", "na", "g", F.explode("outside").alias("token")).join(
+        member.select("b", "nb", "g", F.explode("outside").alias("token")), ["g", "token"]
+    ).filter(_sizes_fit("na", "nb", percent) & _sizes_fit("nb", "na", percent)).select("a", "b")
+    found = by_size.union(by_token).filter("a != b")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _sets(plain: DataFrame, members: DataFrame, width: int) -> DataFrame:
