@@ -1,7 +1,8 @@
 """Quality classifier: naive Bayes support vectors.
 
-A text's features are indicators of the n-grams that it holds: words, pairs of adjacent words
-and byte triples, hashed into BUCKETS places. Each indicator is scaled by its class log-count
+A text's features are indicators of the n-grams that it holds: words, pairs of adjacent words,
+byte triples, and whether any two, three or five adjacent words are one word repeated, all
+hashed into BUCKETS places. Each indicator is scaled by its class log-count
 ratio, and a linear hinge-loss model over the scaled indicators is fitted by dual coordinate
 descent. A logistic curve fitted on rows left out of that fit turns margins into scores.
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from veinwork.llm.common import WordHashes, arrow_map, digest_order, hash_words, mixed
 
 BUCKETS = 1 << 18
+REPEATED = ((0, 2), (1, 3), (2, 5))  # places of the indicators of so many equal words in a row
 # Labelled rows that the model is fitted on, and the share of them kept for the score curve.
 FIT_ROWS = 8_000
 CURVE_SHARE = 0.2
@@ -47,6 +49,10 @@ def features(text: str | None, known: WordHashes, seen: np.ndarray) -> np.ndarra
             pairs = mixed(words[:-1] * np.uint64(3) + words[1:])
         seen[(words >> np.uint64(46)).astype(np.int64)] = True
         seen[(pairs >> np.uint64(46)).astype(np.int64)] = True
+        same = words[1:] == words[:-1]
+        for place, length in REPEATED:
+            run = np.convolve(same, np.ones(length - 1, dtype=np.int8)) if len(same) else same
+            seen[place] |= bool((run == length - 1).any())
         raw = np.frombuffer(part, dtype=np.uint8).astype(np.uint32)
         triples = raw[:-2] | raw[1:-1] << np.uint32(8) | raw[2:] << np.uint32(16)
         seen[(triples * np.uint32(2654435761)) >> np.uint32(14)] = True
@@ -74,10 +80,12 @@ class Model:
 
 
 def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    counts = np.full((2, BUCKETS), SMOOTHING)
+    """Smoothed in proportion to the classes' totals, so that an unseen n-gram tells nothing."""
+    counts = np.zeros((2, BUCKETS))
     for found, label in zip(rows, labels, strict=True):
         counts[int(label), found] += 1
-    shares = counts / counts.sum(axis=1, keepdims=True)
+    totals = counts.sum(axis=1, keepdims=True)
+    shares = counts / np.maximum(totals, 1) + SMOOTHING / max(totals.mean(), 1)
     return np.log(shares[1] / shares[0])
 
 
