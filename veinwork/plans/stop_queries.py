@@ -123,6 +123,26 @@ def outlier_screening(spark, folder):
     return S.screen_outliers(stops(spark, folder), STOP_ORDER)["flags"]
 
 
+@query("""
+with keyed as (select *, row_number() over (partition by l_orderkey, l_linenumber
+    order by concat(l_partkey, ' ', l_suppkey), concat_ws(' ', l_quantity, l_extendedprice, l_discount, l_tax,
+      l_returnflag, l_shipdate)) as r from lineitem),
+valid as (select l_orderkey, l_linenumber from keyed where r = 1 and l_partkey % 101 <> 0 and l_partkey % 53 <> 0
+  and l_partkey % 97 <> 0 and l_shipdate + interval 240 month between timestamp '2015-01-01' and timestamp '2025-12-31')
+select count(*) as n_rows, count(distinct (l_orderkey, l_linenumber)) as n_stops from valid
+""")
+def outlier_screening_rows(spark, folder):
+    """Every valid stop has its flags, once."""
+    flags = S.screen_outliers(stops(spark, folder), STOP_ORDER)["flags"]
+    return flags.agg(F.count("common_outlier").alias("n_rows"), F.count_distinct("SeqID").alias("n_stops"))
+
+
+@query("select count(*) as n_rows from lineitem where l_quantity is not null and l_extendedprice is not null")
+def stop_clustering_rows(spark, folder):
+    """Every stop that has coordinates is in a cluster."""
+    return S.cluster(stops(spark, folder), STOP_KEYS)["sizes"].agg(F.sum("n").alias("n_rows"))
+
+
 @query()
 def outlier_screening_groups(spark, folder):
     return S.screen_outliers(stops(spark, folder), STOP_ORDER)["comparison"]
