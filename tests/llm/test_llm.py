@@ -424,6 +424,23 @@ def test_pipeline_stages_against_plain_versions(spark):
     assert back == {r["doc_id"]: r["text"] for r in masked.collect()}
 
 
+def test_near_duplicates_stage_takes_five_words_and_four_fifths(spark):
+    given = []
+    for i in range(4):
+        words = [f"w{i}x{j}" for j in range(100)]
+        given.append((4 * i, " ".join(words)))
+        given.append((4 * i + 1, " ".join([*words, *[f"new{i}x{j}" for j in range(18 + 2 * i)]])))
+        given.append((4 * i + 2, " ".join(words[: 84 - 3 * i])))
+        given.append((4 * i + 3, " ".join("edit" if j in (30 + i, 60 + i) else w for j, w in enumerate(words))))
+    sets = [brute.shingles(t, 5) for _, t in given]
+    share = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    pairs = [share(4 * i, 4 * i + k) for i in range(4) for k in (1, 2, 3)]
+    assert sum(0.8 <= s < 0.85 for s in pairs) >= 8 and min(pairs) < 0.8
+    names = brute.components([k for k, _ in given], lambda i, j: share(i, j) >= 0.8)
+    df = spark.createDataFrame(given, DOCS)
+    assert [k for k, _ in rows(stages.near_duplicates(spark, df, FOLDER), "doc_id", "text")] == sorted(set(names))
+
+
 def test_pipeline_keeps_odd_texts(spark, ranks):
     odd = spark.createDataFrame(
         [(1, None, "en", None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (3, "x " * 60000, None, "s", 1)],

@@ -16,6 +16,9 @@ from veinwork.llm import byte_bpe, nbsvm, pii_crf, simhash_windows, token_groups
 from veinwork.llm.common import read
 from veinwork.llm.queries import QUALITY_CUT, VOCABULARY, training_fold
 
+# Near-duplicates share at least NEAR_PERCENT of their runs of NEAR_WORDS words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least QUALITY_CUT."""
@@ -27,7 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one whose id names the group."""
-    kept = token_groups.link_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = token_groups.link_components(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
+    kept = linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
 
