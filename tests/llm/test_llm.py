@@ -350,6 +350,48 @@ def test_components_against_brute_force(spark, seed, percent):
     assert rows(out) == ordered([(k, len(s), n) for (k, _), s, n in zip(given, sets, names)])
 
 
+def _with_groups(monkeypatch, given, group_of):
+    """Put each text into the group that `group_of` names, in place of its min-hash keys."""
+    identity = token_groups.identity
+    group = {identity(token_groups.token_set(t, 4, common.WordHashes()))[0]: g for (_, t), g in zip(given, group_of)}
+    monkeypatch.setattr(token_groups, "group_keys", lambda tokens: [group[identity(tokens)[0]]])
+
+
+def _span(first, last):
+    return " ".join(f"v0x{i}" for i in range(first, last))
+
+
+def test_crossed_chain_between_two_groups(spark, monkeypatch):
+    # A chain 1-2-3-4; 1 and 4 are the heads of their groups, as each has copies with two edits there.
+    given = [(1, _span(-8, 200)), (2, _span(12, 212)), (3, _span(24, 224)), (4, _span(36, 244))]
+    edited = lambda n, k: " ".join(f"edit{k}n{n}" if i in (60 + 30 * k, 75 + 30 * k) else w for i, w in enumerate(given[n - 1][1].split()))
+    given += [(10 * k + n, edited(n, k)) for n in (1, 4) for k in (1, 2, 3)]
+    sets = [brute.shingles(t, 4) for _, t in given]
+    linked = lambda i, j: 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    assert [(i + 1, j + 1) for i in range(4) for j in range(i) if linked(i, j)] == [(2, 1), (3, 2), (4, 3)]
+    assert not any(linked(i, j) for i in range(4, 10) for j in (1, 2))
+    _with_groups(monkeypatch, given, [0, 1, 0, 1, 0, 0, 0, 1, 1, 1])
+    out = token_groups.link_components(spark.createDataFrame(given, DOCS))
+    assert rows(out, "doc_id", "component_id") == [(k, 1) for k in sorted(k for k, _ in given)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_chains_of_edits_in_any_groups(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    given = []
+    for chain in range(25):
+        at = 1000 * chain
+        for _ in range(rng.randint(2, 7)):
+            given.append((len(given), _span(at - rng.randint(0, 8), at + 200 + rng.randint(0, 8))))
+            at += rng.randint(6, 18)
+    sets = [brute.shingles(t, 4) for _, t in given]
+    linked = lambda i, j: 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    names = brute.components([k for k, _ in given], linked)
+    _with_groups(monkeypatch, given, [rng.randrange(12) for _ in given])
+    out = token_groups.link_components(spark.createDataFrame(given, DOCS).repartition(4))
+    assert rows(out, "doc_id", "component_id") == [(k, n) for (k, _), n in zip(given, names)]
+
+
 def test_join_without_rows(none):
     assert token_groups.link_components(none).count() == 0
 

@@ -10,8 +10,9 @@ The number of a query's tokens in a group's union bounds its overlap with every
 2. members are compared with their group's head, and heads of qualifying groups with each other;
 3. where that leaves open whether two groups connect, or a member is not linked to its head,
    the bound is taken for the single query, and only groups that it cannot rule out are opened:
-   the query is compared with the head, then with those members that the head's intersections
-   with both do not exclude.
+   the query is compared with the head, then with those members of other components that the
+   head's intersections with both do not exclude; if it is linked to the head, only with members
+   that are not.
 
 Comparisons are exact: intersection and union of the whole sets. Pairs that are already in one
 component are not compared, since they cannot change it; no link between different components
@@ -273,31 +274,40 @@ def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int)
         .select("class", F.col("h").alias("g"), "head")
     )
     cross = _against_heads(qualified, sets, percent)
-    opened = _opened(own.filter("not linked").unionByName(cross.filter("not linked")), own, percent)
-    mine = now.select(F.col("class").alias("a"), F.col("component").alias("ca"))
-    theirs = now.select(F.col("class").alias("b"), F.col("component").alias("cb"))
-    pairs = durable(opened.join(mine, "a").join(theirs, "b").filter("ca != cb").select("a", "b"))
-    last = durable(_alike(pairs.join(one, "a").join(two, "b"), percent))
-    return edges.unionByName(to_head(cross)).unionByName(last)
+    edges = edges.unionByName(to_head(cross))
+    later = durable(
+        members.select("class").join(components(edges).withColumnRenamed("node", "class"), "class", "left")
+        .select("class", F.coalesce("component", "class").alias("component"))
+    )
+    # A query that is linked to the head can still lack the members that are not. If it is linked
+    # to its own head as well, such a member meets it as a query, or is in its component already.
+    loose_own = own.filter("not linked")
+    crossed = cross.filter("linked").join(loose_own.select("class"), "class", "left_semi")
+    opened = _opened(loose_own.unionByName(cross.filter("not linked")), own, later, percent)
+    opened = opened.union(_opened(crossed, loose_own, later, percent)).distinct()
+    last = durable(_alike(durable(opened).join(one, "a").join(two, "b"), percent))
+    return edges.unionByName(last)
 
 
-def _opened(queries: DataFrame, own: DataFrame, percent: int) -> DataFrame:
-    """(a, b): queries and members of a group that its head does not rule out.
+def _opened(queries: DataFrame, members: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """(a, b): queries and members of a group, in different components, that its head does not rule out.
 
     What two sets share is at most the smaller of what each shares with the head, plus what they
     share outside it. So a pair qualifies by sizes alone, or shares a token that the head lacks.
     """
-    query = queries.select(F.col("class").alias("a"), "g", F.col("n").alias("na"), F.col("both").alias("ba"), "outside")
-    member = own.select(F.col("class").alias("b"), "g", F.col("n").alias("nb"), F.col("both").alias("bb"), "outside")
+    query = queries.join(components, "class").select(
+        F.col("class").alias("a"), "g", F.col("n").alias("na"), F.col("both").alias("ba"), F.col("component").alias("ca"), "outside")
+    member = members.join(components, "class").select(
+        F.col("class").alias("b"), "g", F.col("n").alias("nb"), F.col("both").alias("bb"), F.col("component").alias("cb"), "outside")
     # Sizes that a member may have, from 100 * both >= percent * union with no shared token outside.
     low, high = F.ceil(F.col("na") * percent / 100), F.floor(F.col("ba") * (100 + percent) / percent) - F.col("na")
-    sized = query.filter(low <= high).select("a", "g", "na", "ba", F.explode(F.sequence(low, high)).alias("nb"))
+    sized = query.filter(low <= high).select("a", "g", "na", "ba", "ca", F.explode(F.sequence(low, high)).alias("nb"))
     by_size = sized.join(member.drop("outside"), ["g", "nb"]).filter(
-        _enough("least(ba, bb)", "na", "nb", percent)).select("a", "b")
-    by_token = query.select("a", "na", "g", F.explode("outside").alias("token")).join(
-        member.select("b", "nb", "g", F.explode("outside").alias("token")), ["g", "token"]
-    ).filter(_sizes_fit("na", "nb", percent) & _sizes_fit("nb", "na", percent)).select("a", "b")
-    found = by_size.union(by_token).filter("a != b")
+        (F.col("ca") != F.col("cb")) & _enough("least(ba, bb)", "na", "nb", percent)).select("a", "b")
+    by_token = query.select("a", "na", "g", "ca", F.explode("outside").alias("token")).join(
+        member.select("b", "nb", "g", "cb", F.explode("outside").alias("token")), ["g", "token"]
+    ).filter((F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent) & _sizes_fit("nb", "na", percent)).select("a", "b")
+    found = by_size.union(by_token)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
