@@ -127,6 +127,20 @@ def test_stop_analyses(spark, folder):
     assert clustered["outliers"].count() == 6000
 
 
+def test_screening_takes_neighbours_from_all_rows(spark, folder, monkeypatch):
+    given = []
+    screen = O.screen
+    monkeypatch.setattr(O, "screen", lambda df, *rest: given.append(df) or screen(df, *rest))
+    flags = S.screen_outliers(stops(spark, folder), STOP_ORDER)["flags"].toPandas().set_index("SeqID")
+    assert len(given) == 1  # not a sample, whatever the number of rows
+    rows = given[0].toPandas()
+    x = np.stack(rows["features"].to_numpy())
+    assert len(rows) == len(flags)
+    for i in range(0, len(rows), 97):
+        near = np.sort(np.sqrt(((x - x[i]) ** 2).sum(axis=1)))[1 : O.NEIGHBOURS + 1]
+        assert np.isclose(flags.loc[rows["SeqID"][i], "distance_score"], near.mean())
+
+
 def test_sample_screen_is_the_whole_screen_for_a_whole_sample(spark):
     x = np.random.default_rng(3).normal(size=(120, 3))
     df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, x array<double>")

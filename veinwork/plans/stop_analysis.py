@@ -220,14 +220,14 @@ def outlier_features(valid: DataFrame) -> DataFrame:
 def screen_outliers(
     stops: DataFrame,
     order: Sequence[str],
-    fit_rows: int = sampling.SAMPLE_ROWS,
+    fit_rows: int | None = None,
     k: int = outliers.NEIGHBOURS,
     contamination: float = outliers.CONTAMINATION,
     seed: int = DEFAULT_SEED,
 ) -> dict[str, DataFrame]:
-    """Two outlier methods over all valid stops, whose neighbours come from a stratified sample
-    of about `fit_rows` of them. `order` is the total order that decides which row of a repeated
-    stop comes first."""
+    """Two outlier methods over all valid stops. Neighbours come from all of them, or, if the
+    caller gives `fit_rows`, from a stratified sample of about so many. `order` is the total
+    order that decides which row of a repeated stop comes first."""
     valid, reports = clean_for_outliers(stops, order)
     rows = durable(drop_null(outlier_features(valid)))
     labels = encoding.fit_labels(rows, CATEGORIES)
@@ -236,8 +236,12 @@ def screen_outliers(
     filled = durable(encoding.feature_matrix(coded, ["SeqID"], OUTLIER_NUMBERS, OUTLIER_FLAGS, _encoded(CATEGORIES)))
     scaled = encoding.fit_standard(filled, names).transform(filled)
     vectors = durable(scaled.select("SeqID", "Accident", feature_array(names).alias("features")))
-    sample = sampling.stratified_sample(vectors, ["Accident"], ["SeqID"], fit_rows, seed)
-    flags = durable(outliers.screen_by_sample(vectors, sample, "SeqID", "features", k, contamination))
+    if fit_rows is None:
+        flags = outliers.screen(vectors, "SeqID", "features", k, contamination)
+    else:
+        sample = sampling.stratified_sample(vectors, ["Accident"], ["SeqID"], fit_rows, seed)
+        flags = outliers.screen_by_sample(vectors, sample, "SeqID", "features", k, contamination)
+    flags = durable(flags)
     marked = rows.join(flags, "SeqID")
     return {
         **reports,

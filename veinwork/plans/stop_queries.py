@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veinwork.operators.sampling import SAMPLE_ROWS
 from veinwork.plans import stop_analysis as S
 from veinwork.plans.registry import query
 from veinwork.sources.readers import table
@@ -123,6 +124,12 @@ def outlier_screening(spark, folder):
     return S.screen_outliers(stops(spark, folder), STOP_ORDER)["flags"]
 
 
+@query()
+def outlier_screening_sample(spark, folder):
+    """The screening with neighbours from a sample of SAMPLE_ROWS rows."""
+    return S.screen_outliers(stops(spark, folder), STOP_ORDER, fit_rows=SAMPLE_ROWS)["flags"]
+
+
 @query("""
 with keyed as (select *, row_number() over (partition by l_orderkey, l_linenumber
     order by concat(l_partkey, ' ', l_suppkey), concat_ws(' ', l_quantity, l_extendedprice, l_discount, l_tax,
