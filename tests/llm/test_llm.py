@@ -177,6 +177,35 @@ def test_main_text(spark):
     assert html_region.extract(df.limit(0), html_region.fit(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("opening,closing", [
+    ('<div class="has-sidebar">', "</div>"), ('<div class="layout-with-nav">', "</div>"),
+    ('<section class="social-policy">', "</section>"), ("<form id=f>", "</form>"), ('<div class="has-comments"><form>', "</form></div>"),
+])
+def test_wrappers_of_the_content_are_kept(opening, closing):
+    want = "A & B\nOne bold word here. Next\nTwo <tags> é and more words in it"
+    weights = html_region.weights_from(html_region.Page(PAGE).counts())
+    body = lambda page: page.replace("<nav>", opening + "<nav>", 1).replace("</footer>", "</footer>" + closing)
+    inner = lambda page: page.replace("<article>", "<article>" + opening).replace("</article>", closing + "</article>")
+    for page in (body(PAGE), inner(PAGE).replace('<div id="comments"', '<p></p><div id="comments"'), body(inner(PAGE))):
+        assert html_region.Page(page).main_text(weights) == want
+        assert html_region.Page(page).counts()["word", True] == html_region.Page(PAGE).counts()["word", True]
+    plain = PAGE.replace("article>", "div>")
+    assert html_region.Page(body(plain)).main_text(weights) == html_region.Page(plain).main_text(weights) != ""
+
+
+def test_blocks_of_a_page_builder_are_kept_and_comments_are_not():
+    weights = html_region.weights_from(html_region.Page(PAGE).counts())
+    blocks = "".join(f'<div class="elementor-widget"><p>Part {i} of the text in a block</p></div>' for i in range(5))
+    talk = "<div id='comments'>" + "<article class='comment'><p>I think that all of this is wrong</p></article>" * 9 + "</div>"
+    share = "<div class='share'><p>Share this with friends</p></div>"
+    page = f"<main><div class='elementor-widget-wrap'>{blocks}</div>{share}{talk}</main>"
+    want = "\n".join(f"Part {i} of the text in a block" for i in range(5))
+    assert html_region.Page(page).main_text(weights) == want
+    related = "<div class='related'><article><p>Another story</p></article></div>"
+    page = f"<div class='has-nav'><article>{blocks}</article>{related}</div>"
+    assert html_region.Page(page).main_text(weights) == want
+
+
 def test_best_run_is_the_maximum():
     page = html_region.Page(PAGE)
     weights = html_region.weights_from(page.counts())

@@ -4,8 +4,15 @@ A page is a sequence of words and tags. Words score positive and tags negative;
 log odds of standing in an article rather than outside it, counted over all pages that mark
 their article (`article` or `main` elements), which label themselves. One linear scan finds the
 contiguous run with the largest sum. The smallest element that holds the run is the content
-region; elements in it that are no part of an article (menus, adverts, forms, notices, reader
-comments and the like, by tag, role or class) are left out.
+region; elements in it that are no part of an article
+(menus, adverts, forms, notices, reader comments and the like, by tag, role or class) are left
+out.
+
+A role or class, or being a form, leaves out no wrapper of the content: no element that holds
+`main`, most words of the page's articles, or most words of what it stands in (its article, or
+else the page). Where such elements of one mark hold most of those words together, as the blocks
+of some page builders do, the mark says nothing there. Readers' comments may outweigh an article,
+so for their marks `most` is nine tenths.
 
 Inside a block, character references are decoded and white space becomes one space; blocks are
 joined in page order by one line feed. Nothing is capped: the whole page is scanned.
@@ -31,7 +38,7 @@ from veinwork.llm.common import arrow_map
 ARTICLES = frozenset("article main".split())
 RAW = frozenset("script style noscript template textarea iframe svg title".split())
 LEFT_OUT = frozenset(
-    "script style noscript template textarea iframe svg title head nav footer aside form button select dialog menu".split()
+    "script style noscript template textarea iframe svg title head nav footer aside button select dialog menu".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -51,6 +58,9 @@ MARKS = frozenset(
     "notification paywall popup promo promoted recommended related replies responses share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget".split()
 )
+# Marks of what readers write; and the share of words, in tenths, above which an element is a wrapper.
+READERS = frozenset("comment comments discussion disqus replies responses".split())
+WRAPPER_TENTHS, READERS_TENTHS = 5, 9
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -66,23 +76,28 @@ MOST = 12.0
 
 
 class Element:
-    __slots__ = ("name", "parent", "out", "article", "first", "last")
+    __slots__ = ("name", "parent", "out", "marks", "article", "first", "last")
+
+    def __init__(self, name: str, parent: Element | None, attributes: str, first: int):
+        self.name, self.parent, self.first, self.last = name, parent, first, -1
+        inside = bool(parent and parent.article)
+        self.out = bool(parent and parent.out) or name in LEFT_OUT or name == "header" and not inside
+        self.marks = _marks(name, attributes)
+        # The outermost article or main element that this one is in, or is.
+        self.article = parent.article if inside else self if name in ARTICLES else None
 
-    def __init__(self, name: str, parent: Element | None, out: bool, first: int):
-        self.name, self.parent, self.out, self.first, self.last = name, parent, out, first, -1
-        self.article = name in ARTICLES or bool(parent and parent.article)
 
+def _marks(name: str, attributes: str) -> set[str]:
+    """What marks an element as no part of an article: words of class, id and role, or being a form."""
+    found = {"form"} if name == "form" else set()
+    if name not in ("html", "body", "article", "main") and "=" in attributes:
+        for m in ATTRIBUTE.finditer(attributes):
+            found |= MARKS.intersection(PART.findall(m.group(1).lower()))
+    return found
 
-def _left_out(name: str, attributes: str, parent: Element | None) -> bool:
-    inside = bool(parent and parent.article)
-    if name in LEFT_OUT or name == "header" and not inside:
-        return True
-    if name in ("html", "body", "article", "main") or "=" not in attributes:
-        return False
-    for m in ATTRIBUTE.finditer(attributes):
-        if MARKS.intersection(PART.findall(m.group(1).lower())):
-            return True
-    return False
+
+def _most(words: int, of: int, mark: str) -> bool:
+    return 10 * words > (READERS_TENTHS if mark in READERS else WRAPPER_TENTHS) * of
 
 
 class Page:
@@ -93,7 +108,7 @@ class Page:
         self.texts: list[str | None] = []
         self.owners: list[Element] = []
         self.breaks: list[bool] = []
-        here = root = Element("", None, False, 0)
+        here = root = Element("", None, "", 0)
         self.elements = [root]
         link, at = False, 0
         while True:
@@ -117,7 +132,7 @@ class Page:
             if name == INLINE_LINK:
                 link = not closing
             if name in NESTING and not closing:
-                here = Element(name, here, here.out or _left_out(name, m.group(3), here), len(self.features))
+                here = Element(name, here, m.group(3), len(self.features))
                 self.elements.append(here)
             self._add(("/" if closing else "") + name, None, here, name in BLOCKS)
             if name in NESTING and closing:
@@ -131,6 +146,39 @@ class Page:
         for one in self.elements:
             if one.last < 0:
                 one.last = len(self.features)
+        # What readers write goes first, so that it weighs nothing when the other marks are judged.
+        for readers in (True, False):
+            if any((mark in READERS) == readers for one in self.elements for mark in one.marks):
+                self._judge(readers)
+
+    def _judge(self, readers: bool) -> None:
+        """Leave out the elements whose marks, of READERS or the others, hold, and all that is in them."""
+        total = [0]  # words before each place that are not left out so far
+        inside = [0]  # of those, words in articles
+        mains = [0]
+        for feature, text, owner in zip(self.features, self.texts, self.owners, strict=True):
+            n = 0 if text is None or owner.out else len(text.split())
+            total.append(total[-1] + n)
+            inside.append(inside[-1] + (n if owner.article else 0))
+            mains.append(mains[-1] + (feature == "main"))
+        words = lambda e, of=total: of[e.last] - of[e.first]
+        root = self.elements[0]
+        holding: dict[Element, set[str]] = {}
+        above: dict[Element, frozenset[str]] = {root: frozenset()}  # marks of an element and of those around it
+        together: Counter = Counter()
+        for e in self.elements[1:]:
+            base, held = e.article or root, set()
+            for mark in (m for m in e.marks if (m in READERS) == readers):
+                wraps = not e.article and (words(e, mains) > 0 or _most(words(e, inside), inside[-1], mark))
+                if not wraps and not _most(words(e), words(base), mark):
+                    held.add(mark)
+            around = above[e.parent] if e.parent.article is e.article else frozenset()
+            for mark in held - around:
+                together[base, mark] += words(e)
+            holding[e], above[e] = held, around | held
+        for e in self.elements[1:]:
+            base = e.article or root
+            e.out = e.out or e.parent.out or any(not _most(together[base, m], words(base), m) for m in holding[e])
 
     def _add(self, feature: str, text: str | None, owner: Element, breaks: bool) -> None:
         self.features.append(feature)
@@ -146,7 +194,7 @@ class Page:
         out: Counter = Counter()
         for feature, text, owner in zip(self.features, self.texts, self.owners, strict=True):
             n = 1 if text is None else len(text.split())
-            out[feature if feature in KNOWN else "other", owner.article and not owner.out] += n
+            out[feature if feature in KNOWN else "other", owner.article is not None and not owner.out] += n
         return out
 
     def region(self, weights: dict[str, float]) -> tuple[int, int] | None:
@@ -177,8 +225,9 @@ class Page:
         while article is not None and article.name not in ARTICLES:
             article = article.parent
         holder = article or holder
+        first, last = holder.first, holder.last
         blocks, line = [], []
-        for i in range(holder.first, holder.last):
+        for i in range(first, last):
             if self.breaks[i]:
                 blocks.append("".join(line))
                 line = []
