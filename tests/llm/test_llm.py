@@ -218,6 +218,15 @@ def test_best_run_is_the_maximum():
     assert np.isclose(sum(value[start:end]), best)
 
 
+def test_page_without_article_gives_whole_blocks_of_the_run():
+    links = "<ul>" + "<li><a href=/x>Go there</a></li>" * 12 + "</ul>"
+    text = "<p>The first of two long <b>paragraphs</b> has these words in it</p><p>and the second one has as many more of them</p>"
+    weights = html_region.weights_from({})
+    for page in (f"<body>{links}{text}{links}</body>", f"<body><div>{links}{text}{links}<p>Imprint</p></div></body>"):
+        assert html_region.Page(page).main_text(weights) == (
+            "The first of two long paragraphs has these words in it\nand the second one has as many more of them")
+
+
 # 5, byte-level BPE
 
 

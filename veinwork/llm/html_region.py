@@ -3,8 +3,8 @@
 A page is a sequence of words and tags. Words score positive and tags negative; the weights are
 log odds of standing in an article rather than outside it, counted over all pages that mark
 their article (`article` or `main` elements), which label themselves. One linear scan finds the
-contiguous run with the largest sum. The smallest element that holds the run is the content
-region; elements in it that are no part of an article
+contiguous run with the largest sum. The outermost article that holds the run, or else the run
+extended to whole blocks, is the content region; elements in it that are no part of an article
 (menus, adverts, forms, notices, reader comments and the like, by tag, role or class) are left
 out.
 
@@ -221,11 +221,13 @@ class Page:
         while holder.parent is not None and not (holder.first <= words[0] and words[-1] < holder.last):
             holder = holder.parent
         # Up to the article that the region is part of, so that short blocks at its edges stay.
-        article = holder
-        while article is not None and article.name not in ARTICLES:
-            article = article.parent
-        holder = article or holder
-        first, last = holder.first, holder.last
+        while holder is not None and holder.name not in ARTICLES:
+            holder = holder.parent
+        first, last = (holder.first, holder.last) if holder else run
+        while not holder and first > 0 and not self.breaks[first - 1]:
+            first -= 1
+        while not holder and last < len(self.breaks) and not self.breaks[last]:
+            last += 1
         blocks, line = [], []
         for i in range(first, last):
             if self.breaks[i]:
