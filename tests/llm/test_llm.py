@@ -290,6 +290,21 @@ def test_quality_of_odd_tables(spark, docs, none):
     assert len(named.columns) == 3
 
 
+def test_quality_fit_collects_a_bounded_number_of_rows(spark, monkeypatch):
+    given = [(1, f"copy {i % 7}") for i in range(300)] + [(i, f"text {i}") for i in range(2, 30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, quality int")
+    df = spark.createDataFrame(given, DOCS).repartition(5)
+    collected, seen, plain, train = [], [], type(df).toPandas, nbsvm.train
+    monkeypatch.setattr(type(df), "toPandas", lambda self: collected.append(plain(self)) or collected[-1])
+    monkeypatch.setattr(nbsvm, "train", lambda rows, labels: seen.append((rows, labels)) or train(rows, labels))
+    nbsvm.fit(df, labels, rows=50)
+    assert [len(c) for c in collected] == [50]
+    # Key 1 sorts first as text, and its rows by their features.
+    known, flags = common.WordHashes(), np.zeros(nbsvm.BUCKETS, dtype=bool)
+    want = sorted(nbsvm.features(t, known, flags).tobytes() for k, t in given if k == 1)[:50]
+    assert [r.tobytes() for r in seen[0][0]] == want and set(seen[0][1].tolist()) == {1}
+
+
 def test_dual_descent_reaches_the_optimum():
     rng = np.random.default_rng(0)
     found = [np.sort(rng.choice(200, 20, replace=False)).astype(np.int32) for _ in range(120)]

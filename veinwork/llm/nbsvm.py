@@ -175,8 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return {"__key": columns["__key"].cast(pa.string()), "__label": columns["__label"],
                 "__found": found}
 
-    gathered = arrow_map(sampled, block, "__key string, __label int, __found binary").toPandas()
-    gathered = gathered.sort_values(["__key", "__label", "__found"], kind="stable").iloc[:rows]
+    # Cut before the driver, since a key may have any number of rows.
+    found = arrow_map(sampled, block, "__key string, __label int, __found binary")
+    gathered = found.orderBy("__key", "__label", "__found").limit(rows).toPandas()
     return train([np.frombuffer(x, dtype=np.int32) for x in gathered["__found"]],
                  gathered["__label"].to_numpy(dtype=np.int64))
 
