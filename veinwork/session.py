@@ -57,7 +57,17 @@ def durable(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `durable` gave, after their last reader has stored its own result."""
+    for table in tables:
+        hadoop = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
