@@ -107,10 +107,12 @@ def factor(tf: str) -> Column:
 
 def _score_block(limit: int):
     def run(group: tuple, postings: pa.Table, visits: pa.Table) -> pa.Table:
-        out: dict = {"q": [], "key": [], "row": [], "score": []}
+        out: dict = {"q": [], "key": [], "row": [], "score": [], "unnamed": []}
         if postings.num_rows and visits.num_rows:
             _fill(out, int(group[0].as_py()), postings, visits, limit)
-        return pa.table({name: pa.array(np.concatenate(v) if v else [], pa.int64()) for name, v in out.items()})
+        flat = {name: np.concatenate(v) if v else np.zeros(0, np.int64) for name, v in out.items()}
+        unnamed = flat.pop("unnamed").astype(bool)
+        return pa.table({name: pa.array(v, pa.int64(), mask=unnamed if name == "key" else None) for name, v in flat.items()})
 
     return run
 
@@ -140,7 +142,8 @@ def _fill(out: dict, m: int, postings: pa.Table, visits: pa.Table, limit: int) -
             least = np.partition(scores[best], -limit)[-limit]
             best = best[scores[best] >= least]
         best = best[np.lexsort((rows[best], keys[best], unnamed[best], -scores[best]))][:limit]
-        for name, values in (("q", np.full(len(best), q)), ("key", keys[best]), ("row", rows[best]), ("score", scores[best])):
+        for name, values in (("q", np.full(len(best), q)), ("key", keys[best]), ("row", rows[best]),
+                             ("score", scores[best]), ("unnamed", unnamed[best])):
             out[name].append(values)
 
 
