@@ -20,6 +20,13 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with its columns named by their places, which no column of an operator is called, and
+    the place of each name."""
+    places = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*places.values()), places
+
+
 def digest_order(column: str):
     """A fixed pseudo-random order of rows by a key."""
     return F.xxhash64(F.col(column).cast("string"))

@@ -1,6 +1,6 @@
 """Shards cut from a Hilbert-curve order of several metadata dimensions.
 
-Each dimension is quantised to 2^bits levels by its own quantiles; the levels are coordinates of
+Each dimension is quantised to 2^bits levels by its own quantiles, texts by their whole values; the levels are coordinates of
 a point, and rows are ordered by the place of their point on the Hilbert curve. Rows that are
 close in all dimensions lie close in that order, so every shard covers narrow ranges of each
 dimension and a reader prunes shards by their minima and maxima. Shards are runs of that order
@@ -10,7 +10,7 @@ A point that many rows share is no hot group: the order goes on by the key and t
 columns, rows are dealt by ranges of that whole order, and ranks come from positions inside a
 range plus the number of rows in the ranges before.
 
-Nulls of a dimension take level 0, as do empty strings. Equal rows may swap places, which
+Nulls of a dimension take level 0. Equal rows may swap places, which
 changes nothing. An empty table gives no rows. Columns are carried through, and the names added
 (`shard`, `slot`) replace columns of the same name.
 """
@@ -22,10 +22,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veinwork.llm.common import numbered
 from veinwork.session import durable
 
 PLACE = "__curve"
@@ -63,37 +64,55 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def _measure(df: DataFrame, name: str) -> Column:
-    """A number that orders like the column: the value, or the first bytes of a text."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 7)), 14, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(0)).cast("double")
-    return F.coalesce(F.col(name).cast("double"), F.lit(float("-inf")))
+def _text_cuts(df: DataFrame, name: str, levels: int) -> list[str]:
+    """The values of a text column at which the shares 1/levels, 2/levels, ... of its rows end.
 
+    Values are counted first, so a common one is a single row; whole values are compared, in runs
+    that a range partitioning cuts, and a run's place among all rows is the sum of those before it.
+    """
+    counted = df.groupBy(F.col(name).alias("value")).count().filter("value is not null")
+    ranged = durable(counted.repartitionByRange(_tasks(df), "value").withColumn("run", F.spark_partition_id()))
+    sums = sorted((r["run"], r["n"]) for r in ranged.groupBy("run").agg(F.sum("count").alias("n")).collect())
+    before, total = [], 0
+    for run, n in sums:
+        before += [F.lit(run), F.lit(total)]
+        total += n
+    if not total:
+        return []
+    within = F.sum("count").over(Window.partitionBy("run").orderBy("value"))
+    through = F.element_at(F.create_map(*before), F.col("run")) + within
+    share = lambda rows: F.floor(rows * levels / F.lit(total))
+    ends = ranged.select("value", "count", through.alias("through")).filter(share(F.col("through")) > share(F.col("through") - F.col("count")))
+    return sorted((r["value"] for r in ends.select("value").collect()), key=str.encode)  # `levels` at most
 
-def curve_order(df: DataFrame, dimensions: Sequence[str], bits: int = 5) -> DataFrame:
-    """The rows with PLACE, their index on the curve of `dimensions`.
 
-    Cut points are approximate quantiles (at most 2^bits - 1 for each dimension), found in one
-    pass with sketches of a fixed size.
+def curve_order(df: DataFrame, dimensions: Sequence[str], bits: int = 5, place: str = PLACE) -> DataFrame:
+    """The rows with `place`, their index on the curve of `dimensions`.
+
+    Cut points (at most 2^bits for each dimension) are approximate quantiles of numbers, found in
+    one pass with sketches of a fixed size, and quantiles of the whole values of texts.
     """
     levels = 1 << bits
     shares = [i / levels for i in range(1, levels)]
-    cuts = df.agg(*[
-        F.percentile_approx(_measure(df, d), shares, 10_000).alias(f"c{i}") for i, d in enumerate(dimensions)
-    ]).first()
-
-    def level(i: int, name: str) -> Column:
-        edges = sorted(set(cuts[i] or ()))
-        value = _measure(df, name)
-        return reduce(lambda a, b: a + b, [(value > F.lit(e)).cast("int") for e in edges], F.lit(0))
+    texts = {d for d in dimensions if isinstance(df.schema[d].dataType, T.StringType)}
+    measures = {d: F.col(d) if d in texts else F.coalesce(F.col(d).cast("double"), F.lit(float("-inf"))) for d in dimensions}
+    numbers = [d for d in dimensions if d not in texts]
+    found = df.agg(*[
+        F.percentile_approx(measures[d], shares, 10_000).alias(f"q{i}") for i, d in enumerate(numbers)
+    ]).first() if numbers else ()
+    cuts = {d: sorted(set(found[i] or ())) for i, d in enumerate(numbers)} | {d: _text_cuts(df, d, levels) for d in texts}
+
+    def level(d: str) -> Column:
+        """A number above a cut is beyond it; a text that is a cut begins the level after it."""
+        beyond = [measures[d] >= F.lit(e) if d in texts else measures[d] > F.lit(e) for e in cuts[d]]
+        steps = [F.coalesce(b, F.lit(False)).cast("int") for b in beyond]
+        return F.least(reduce(lambda a, b: a + b, steps, F.lit(0)), F.lit(levels - 1))
 
     @F.pandas_udf("long")
-    def place(*coordinates: pd.Series) -> pd.Series:
+    def on_curve(*coordinates: pd.Series) -> pd.Series:
         return pd.Series(hilbert_index(np.column_stack(coordinates), bits))
 
-    return df.withColumn(PLACE, place(*[level(i, d) for i, d in enumerate(dimensions)]))
+    return df.withColumn(place, on_curve(*[level(d) for d in dimensions]))
 
 
 def assign_shards(df: DataFrame, dimensions: Sequence[str], shards: int, order: Sequence[str],
@@ -103,8 +122,10 @@ def assign_shards(df: DataFrame, dimensions: Sequence[str], shards: int, order:
     `order` names the columns that break ties of the curve; rows equal in all of them are
     interchangeable. Carry narrow rows: what is dealt out is what `df` holds.
     """
-    plain = df.drop("shard", "slot")
-    placed = curve_order(plain, dimensions, bits)
+    given = df.drop("shard", "slot")
+    plain, at = numbered(given)
+    order = [at[c] for c in order]
+    placed = curve_order(plain, [at[d] for d in dimensions], bits)
     dealt = durable(
         placed.repartitionByRange(_tasks(df), PLACE, *order)
         .sortWithinPartitions(PLACE, *order)
@@ -118,7 +139,7 @@ def assign_shards(df: DataFrame, dimensions: Sequence[str], shards: int, order:
         before[p] = total
         total += counts[p]
     if not total:
-        return plain.limit(0).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
+        return given.limit(0).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
     offsets = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
     rank = F.element_at(offsets, part.cast("int")) + position
     base, extra = divmod(total, shards)
@@ -127,7 +148,8 @@ def assign_shards(df: DataFrame, dimensions: Sequence[str], shards: int, order:
         extra + F.floor((rank - edge) / max(base, 1))
     )
     start = F.when(shard < extra, shard * (base + 1)).otherwise(edge + (shard - extra) * base)
-    return dealt.withColumns({"shard": shard.cast("int"), "slot": (rank - start).cast("long")}).drop(PLACE, SEQUENCE)
+    return dealt.withColumns({"shard": shard.cast("int"), "slot": (rank - start).cast("long")}).drop(PLACE, SEQUENCE).toDF(
+        *given.columns, "shard", "slot")
 
 
 def _tasks(df: DataFrame) -> int:

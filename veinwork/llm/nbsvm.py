@@ -35,16 +35,18 @@ CURVE_SHARE = 0.2
 SMOOTHING = 1.0
 COST = 0.1
 EPOCHS = 12
-# Longest stretch of a text whose n-grams are hashed at once.
+# Bytes and words of a text whose n-grams are hashed at once; neighbouring stretches overlap by as much
+# as an n-gram may reach.
 STRETCH = 4_000_000
+REACH = 4
 
 
 def features(text: str | None, known: WordHashes, seen: np.ndarray) -> np.ndarray:
     """Distinct buckets of a text's n-grams. `seen` is an all-false array of BUCKETS flags."""
     data = (text or "").encode()
-    for start in range(0, len(data), STRETCH):
-        part = data[start : start + STRETCH]
-        words = hash_words(part.split(), known)
+    split = data.split()
+    for start in range(0, len(split), STRETCH):
+        words = hash_words(split[start : start + STRETCH + REACH], known)
         with np.errstate(over="ignore"):
             pairs = mixed(words[:-1] * np.uint64(3) + words[1:])
         seen[(words >> np.uint64(46)).astype(np.int64)] = True
@@ -53,7 +55,8 @@ def features(text: str | None, known: WordHashes, seen: np.ndarray) -> np.ndarra
         for place, length in REPEATED:
             run = np.convolve(same, np.ones(length - 1, dtype=np.int8)) if len(same) else same
             seen[place] |= bool((run == length - 1).any())
-        raw = np.frombuffer(part, dtype=np.uint8).astype(np.uint32)
+    for start in range(0, len(data), STRETCH):
+        raw = np.frombuffer(data, np.uint8, min(STRETCH + 2, len(data) - start), start).astype(np.uint32)
         triples = raw[:-2] | raw[1:-1] << np.uint32(8) | raw[2:] << np.uint32(16)
         seen[(triples * np.uint32(2654435761)) >> np.uint32(14)] = True
     found = np.flatnonzero(seen)
@@ -184,7 +187,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: the key, the columns of `keep`, and `score` (0 to 1, higher: label 1 likelier)."""
+    """Per row: the key, the columns of `keep`, and `score` (0 to 1, higher: label 1 likelier), which
+    takes the place of a kept column of that name."""
+    keep = tuple(n for n in keep if n not in (key, "score"))
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # about 2 MB, whatever the corpus
     known, seen = WordHashes(), np.zeros(BUCKETS, dtype=bool)
 
@@ -198,4 +203,4 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     rows = docs.select(*[F.col(n).alias(k) for n, k in zip(names, kept, strict=True)], F.col(text).alias("__text"))
     kinds = [f"{k} {docs.schema[n].dataType.simpleString()}" for n, k in zip(names, kept, strict=True)]
     out = arrow_map(rows, block, ", ".join([*kinds, "__score double"]))
-    return out.toDF(*names, "score")
+    return out.toDF(*names, "score") if key != "score" else out.toDF("key", *keep, "score")

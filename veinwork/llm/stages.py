@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veinwork.llm import byte_bpe, nbsvm, pii_crf, simhash_windows, token_groups
-from veinwork.llm.common import read
+from veinwork.llm.common import numbered, read
 from veinwork.llm.queries import QUALITY_CUT, VOCABULARY, training_fold
 
 # Near-duplicates share at least NEAR_PERCENT of their runs of NEAR_WORDS words.
@@ -23,9 +23,10 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least QUALITY_CUT."""
     model = nbsvm.fit(docs, read(spark, sf_dir, "labels").filter(training_fold() != 0))
-    others = [c for c in docs.columns if c != "doc_id"]
-    scored = nbsvm.score(docs, model, keep=tuple(others))
-    return scored.filter(F.col("score") >= QUALITY_CUT).select(docs.columns)
+    plain, at = numbered(docs)
+    others = [c for c in plain.columns if c != at["doc_id"]]
+    scored = nbsvm.score(plain, model, at["doc_id"], at["text"], keep=tuple(others))
+    return scored.filter(F.col("score") >= QUALITY_CUT).select(plain.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     linked = token_groups.link_components(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
     kept = linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    plain, at = numbered(docs)
+    left = plain.join(ids, F.col(at["doc_id"]).eqNullSafe(F.col("kept_id")), "left_semi")
+    return left.dropDuplicates([at["doc_id"], at["text"]]).toDF(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
