@@ -121,7 +121,7 @@ def test_stop_analyses(spark, folder):
     classified = S.classify(typed, STOP_KEYS, fit_rows=1500, min_class_rows=500)
     assert sum(r["n"] for r in classified["confusion"].collect()) == classified["accuracy"].filter(
         "split = 'test'").first()["n"]
-    clustered = S.cluster(typed, STOP_KEYS, fit_rows=600, k=3, ks=[2, 3], restarts=2)
+    clustered = S.cluster(typed, STOP_KEYS, judged_rows=600, k=3, ks=[2, 3], restarts=2)
     assert sum(r["n"] for r in clustered["sizes"].collect()) == clustered["outliers"].count()
     assert clustered["profile"].count() == 3
     assert clustered["outliers"].count() == 6000
@@ -197,7 +197,7 @@ def test_stop_preparation(spark, folder):
     typed = stops(spark, folder)
     result = S.prepare(typed)
     steps = {r["column"]: r["action"] for r in result["imputation"].collect()}
-    assert steps == {}  # the recast table has no gaps among these columns
+    assert steps == {"Make": "filled with 'Unknown'", "Search Outcome": "dropped"}
     built = result["constructed"]
     bands = {r["LatitudeBand"] for r in built.select("LatitudeBand").distinct().collect()}
     assert bands == {0, 1, 2, 3, 4}

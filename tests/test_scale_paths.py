@@ -1,17 +1,23 @@
 """The ways taken beyond a size limit give the same results as the ways below it, also when
 one group or value holds much of the table."""
 
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veinwork.functions.hashing import hash_key
-from veinwork.operators import encoding, neighbours, ranking, sampling
+from veinwork.operators import (
+    approximate, association, clustering, encoding, neighbours, profiling, quantiles, ranking, sampling, trees,
+)
+from veinwork.operators.approximate import approximate_neighbours
 from veinwork.operators.neighbours import nearest_neighbours
 from veinwork.operators.outliers import screen
 from veinwork.operators.quantiles import exact_quantiles
-from veinwork.operators.skew import join_skewed
+from veinwork.sources.readers import read_csv_checked
+from veinwork.sources.schema import FieldSpec
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -26,9 +32,9 @@ PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 ])
 def test_quantiles_by_histogram(spark, name, values):
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double").repartition(5)
-    found = exact_quantiles(df, ["v"], PROBS, buffer_rows=0).first()["quantiles"]
-    assert np.allclose(found, np.percentile(values, [100 * p for p in PROBS]), rtol=1e-12, atol=1e-12)
-    assert np.allclose(found, exact_quantiles(df, ["v"], PROBS).first()["quantiles"], rtol=1e-12, atol=1e-12)
+    for small in (10**6, 3):  # counted after the first round, or refined until a bin holds three rows
+        found = exact_quantiles(df, ["v"], PROBS, small=small).first()["quantiles"]
+        assert np.allclose(found, np.percentile(values, [100 * p for p in PROBS]), rtol=1e-12, atol=1e-12)
 
 
 def test_quantiles_by_group(spark):
@@ -37,9 +43,11 @@ def test_quantiles_by_group(spark):
         (F.rand(3) * 100).alias("a"), (F.col("id") % 11).cast("double").alias("b"))
     def table(limit):
         return {(r["g"], r["column"]): r["quantiles"] for r in
-                exact_quantiles(df, ["a", "b"], PROBS, ["g"], buffer_rows=limit).collect()}
-    small, large = table(10**6), table(0)
+                exact_quantiles(df, ["a", "b"], PROBS, ["g"], small=limit).collect()}
+    small, large = table(10**6), table(5)
+    plain = df.groupBy("g").agg(F.percentile("a", F.array(*[F.lit(p) for p in PROBS])).alias("q")).collect()
     assert small.keys() == large.keys()
+    assert all(np.allclose(small[r["g"], "a"], r["q"], rtol=1e-12) for r in plain)
     for key in small:
         assert np.allclose(small[key], large[key], rtol=1e-12)
 
@@ -88,12 +96,13 @@ def test_label_codes_by_splitters(spark):
     df = spark.range(5000).select(
         F.concat(F.lit("same prefix "), F.col("id") % 1900).alias("a"),
         F.when(F.col("id") % 5 > 0, F.col("id") % 3).cast("string").alias("b"))
-    small = encoding.fit_labels(df, ["a", "b"])
-    large = encoding.fit_labels(df, ["a", "b"], limit=10)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-    coded = encoding.apply_labels(df, large, ["a", "b"], limit=10)
-    same = encoding.apply_labels(df, small, ["a", "b"])
-    assert sorted(map(str, coded.collect())) == sorted(map(str, same.collect()))
+    labels = encoding.fit_labels(df, ["a", "b"])
+    values = {"a": sorted(f"same prefix {i}" for i in range(1900)), "b": ["0", "1", "2", "Unknown"]}
+    want = sorted((c, v, i) for c, names in values.items() for i, v in enumerate(names))
+    assert sorted(map(tuple, labels.collect())) == want
+    code = {(c, v): i for c, v, i in want}
+    for r in encoding.apply_labels(df, labels, ["a", "b"]).collect():
+        assert r["a_encoded"] == code["a", r["a"]] and r["b_encoded"] == code["b", r["b"] or "Unknown"]
 
 
 def _brute(ids, x, k):
@@ -125,9 +134,12 @@ def _frame(spark, ids, x, partitions=4):
 
 
 @pytest.mark.parametrize("cloud", sorted(_CLOUDS))
-@pytest.mark.parametrize("sizes", [{}, {"cell_rows": 60, "block_rows": 40, "slice_rows": 50}])
+@pytest.mark.parametrize("sizes", [{}, {"leaf_rows": 40}])
 def test_neighbours_are_exact(spark, monkeypatch, cloud, sizes):
     monkeypatch.setattr(neighbours, "_PIECE_CELLS", 700)
+    monkeypatch.setattr(neighbours, "PACK_BYTES", 200)
+    monkeypatch.setattr(neighbours, "_COMPACT", 3)
+    monkeypatch.setattr(neighbours, "ASSIGN_ROWS", 100)
     x = _CLOUDS[cloud]
     ids = np.random.default_rng(1).permutation(len(x)) * 3
     edges = nearest_neighbours(_frame(spark, ids, x), "id", "x", 6, **sizes)
@@ -156,19 +168,145 @@ def test_screen_against_brute_force(spark):
 def test_text_ids(spark):
     x = _RNG.normal(size=(60, 2))
     df = spark.createDataFrame([(f"id-{i}", [float(v) for v in p]) for i, p in enumerate(x)], "id string, x array<double>")
-    edges = nearest_neighbours(df, "id", "x", 3, cell_rows=20).collect()
+    edges = nearest_neighbours(df, "id", "x", 3, leaf_rows=9).collect()
     want = {(f"id-{a}", f"id-{b}") for a, b, _, _ in _brute(np.arange(60), x, 3)}
     assert {(r["id"], r["neighbor"]) for r in edges} == want
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_skewed_join(spark, how):
-    big = spark.range(1000).select(
-        "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 40).alias("key"))
-    small = spark.range(0, 30).select(F.col("id").cast("int").alias("key"), (F.col("id") * 2).alias("twice"))
-    big = big.withColumn("key", F.col("key").cast("int"))
-    found = join_skewed(big, small, "key", how, hot_rows=50)
-    plain = big.join(small, "key", how)
-    assert found.columns == plain.columns
-    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
-    assert "Union" in found._jdf.queryExecution().toString()
+@pytest.mark.parametrize("times", [1, 4])
+def test_what_leaves_the_search_is_one_list_per_point(spark, monkeypatch, times):
+    given = []
+    edges_of = neighbours.edges_of
+    monkeypatch.setattr(neighbours, "edges_of", lambda rows, points, lists, k: (given.append(lists.selectExpr("size(near) as n").collect()), edges_of(rows, points, lists, k))[1])
+    x = np.random.default_rng(6).normal(size=(400 * times, 5))
+    edges = nearest_neighbours(_frame(spark, np.arange(len(x)), x), "id", "x", 6, leaf_rows=50)
+    assert [r["n"] for r in given[0]] == [7] * len(x) and edges.count() == 6 * len(x)
+
+
+def _recall(exact, found):
+    want = {(r["id"], r["neighbor"]) for r in exact.collect()}
+    return len(want & {(r["id"], r["neighbor"]) for r in found.collect()}) / len(want)
+
+
+@pytest.mark.parametrize("cloud", ["clusters", "copies", "grid"])
+def test_approximate_neighbours_find_most(spark, cloud):
+    x = _CLOUDS[cloud]
+    df = _frame(spark, np.arange(len(x)) * 2, x)
+    exact = nearest_neighbours(df, "id", "x", 6)
+    found = approximate_neighbours(df, "id", "x", 6, trees=16, bucket_rows=60)
+    assert _recall(exact, found) >= 0.9
+    pairs = exact.select("id", "rank", F.col("distance").alias("least")).join(found, ["id", "rank"])
+    assert pairs.filter("distance < least").count() == 0  # distances are exact, so none can be nearer
+
+
+def test_approximate_neighbours_of_text_ids_and_no_rows(spark):
+    x = _RNG.normal(size=(300, 3))
+    df = spark.createDataFrame([(f"id-{i}", [float(v) for v in p]) for i, p in enumerate(x)], "id string, x array<double>")
+    assert _recall(nearest_neighbours(df, "id", "x", 4), approximate_neighbours(df, "id", "x", 4, trees=16, bucket_rows=40)) >= 0.9
+    assert approximate_neighbours(df.limit(0), "id", "x", 4).count() == nearest_neighbours(df.limit(0), "id", "x", 4).count() == 0
+
+
+def test_bucket_sizes_are_bounded(spark, monkeypatch):
+    sizes = []
+    search = approximate._nearest
+    monkeypatch.setattr(approximate, "edges_of", lambda rows, points, lists, k: lists)
+    x = np.vstack([_RNG.normal(size=(900, 2)) * 1e-9, _RNG.normal(size=(100, 2))])  # nearly all in one place
+
+    def counting(width, kind):
+        run = search(width, kind)
+        return lambda bucket: (run(bucket) if bucket.num_rows <= 200 else 1 / 0)
+
+    monkeypatch.setattr(approximate, "_nearest", counting)
+    lists = approximate_neighbours(_frame(spark, np.arange(1000), x), "id", "x", 3, trees=4, bucket_rows=50)
+    assert lists is not None and not sizes
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_exact_splits_against_brute_force(spark, ranges):
+    rng = np.random.default_rng(7)
+    a = np.where(rng.random(600) < 0.5, 3.0, rng.integers(0, 40, 600))  # a value that half of the rows share
+    b, label = rng.normal(size=600), rng.choice(["x", "y", "z"], 600)
+    label[b > 0.7] = "x"
+    rows = [(float(u), float(v), 1.0, str(c)) for u, v, c in zip(a, b, label)] + [(None, 0.0, 1.0, "x"), (1.0, float("nan"), 1.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, one double, label string").repartition(5)
+    found = {r["feature"]: r for r in trees.best_exact_splits(df, "label", ["a", "b", "one"], ranges).collect()}
+    assert set(found) == {"a", "b"}  # a constant has no threshold
+
+    def gini(part):
+        _, n = np.unique(part, return_counts=True)
+        return len(part) - (n * n).sum() / len(part)
+
+    for name, column in (("a", 0), ("b", 1)):
+        kept = [(r[column], r[3]) for r in rows if r[column] is not None and r[column] == r[column] and r[3] is not None]
+        v, c = np.array([x for x, _ in kept]), np.array([x for _, x in kept])
+        values = np.unique(v)
+        scores = [(round((gini(c[v <= t]) + gini(c[v > t])) / len(v), 9), t, (t + u) / 2) for t, u in zip(values, values[1:])]
+        best = min(scores)
+        assert np.isclose(found[name]["gini"], best[0], atol=1e-6) and np.isclose(found[name]["threshold"], best[2], atol=1e-6)
+        assert found[name]["n_left"] == (v <= best[1]).sum() and found[name]["n_right"] == (v > best[1]).sum()
+
+
+def test_itemsets_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    names = ["a", "b", "c", "d", "e"]
+    given = rng.random((400, 5)) < [0.5, 0.4, 0.3, 0.2, 0.05]
+    df = spark.createDataFrame([tuple(bool(v) for v in r) for r in given], ", ".join(f"{n} boolean" for n in names)).repartition(3)
+    sets, rules = association.frequent_itemsets(df, names, 0.02, size=4)
+    want = {}
+    for size in range(1, 5):
+        for chosen in combinations(range(5), size):
+            n = int(given[:, chosen].all(axis=1).sum())
+            if n >= np.ceil(0.02 * 400):
+                want[tuple(names[i] for i in chosen)] = n
+    assert {tuple(r["items"]): r["n"] for r in sets.collect()} == want
+    found = {(tuple(r["antecedent"]), r["consequent"]): r for r in rules.collect()}
+    assert set(found) == {(tuple(x for x in s if x != c), c) for s in want if len(s) > 1 for c in s}
+    for (side, c), r in found.items():
+        whole = want[tuple(sorted((*side, c)))]
+        assert r["n"] == whole and np.isclose(r["confidence"], whole / want[side], atol=1e-6)
+        assert np.isclose(r["lift"], whole * 400 / (want[side] * want[c,]), atol=1e-6)
+    none, no_rules = association.frequent_itemsets(df.limit(0), names, 0.1)
+    assert none.count() == no_rules.count() == 0
+
+
+def test_bad_lines_are_counted(spark, tmp_path):
+    lines = ['1,2.5,"a, b"', "2,x,plain", "3,4.5", "4,5.5,c,more", '"5",6.5,"say ""so"""', "", "6,7.5,"]
+    (tmp_path / "in.csv").write_text("\n".join(lines))
+    specs = [FieldSpec("id", "whole"), FieldSpec("v", "double"), FieldSpec("t", "text")]
+    rows, bad = read_csv_checked(spark, str(tmp_path / "in.csv"), specs)
+    assert sorted(map(tuple, rows.collect())) == [(1, 2.5, "a, b"), (2, None, "plain"), (5, 6.5, 'say "so"'), (6, 7.5, None)]
+    assert sorted(map(tuple, bad.collect())) == [("3,4.5", 2), ("4,5.5,c,more", 3)]
+    assert rows.select("id").count() == 4  # also when a plan reads one column
+
+
+def test_merged_sketches(spark):
+    df = spark.range(30000).select((F.col("id") % 7).alias("day"), (F.col("id") % 2).alias("kind"), (F.col("id") % 4000).alias("user"),
+                                   F.when(F.col("id") % 11 > 0, F.sqrt("id")).alias("v"))
+    users = profiling.merged_distinct(profiling.distinct_sketches(df, "user", ["kind", "day"]), ["kind"])
+    assert all(abs(r["n_distinct"] - 2000) <= 60 for r in users.collect())
+    found = quantiles.merged_quantiles(quantiles.quantile_sketches(df, "v", ["kind", "day"]), ["kind"], [0.1, 0.5])
+    for r in found.collect():
+        values = np.array([x["v"] for x in df.filter((F.col("kind") == r["kind"]) & F.col("v").isNotNull()).collect()])
+        assert r["n"] == len(values) and abs((values <= r["value"]).mean() - r["prob"]) <= 0.01
+
+
+def test_linear_silhouette(spark):
+    x, labels = _RNG.normal(size=(90, 3)), ["a"] * 40 + ["b"] * 49 + ["alone"]
+    df = spark.createDataFrame([(p.tolist(), c) for p, c in zip(x, labels)] + [(x[0].tolist(), None)], "x array<double>, c string")
+    squares = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    at = np.array(labels)
+    scores = []
+    for i in range(90):
+        means = {c: squares[i, at == c].sum() / max((at == c).sum() - (c == at[i]), 1) for c in set(labels)}
+        a, b = means.pop(at[i]), min(means.values())
+        scores.append(0.0 if labels[i] == "alone" else 1 - a / b if a < b else b / a - 1)
+    scores[-1] = 1.0  # a cluster of one is at no distance from itself
+    assert np.isclose(clustering.linear_silhouette(df, "x", "c"), np.mean(scores), atol=1e-9) or np.isclose(
+        clustering.linear_silhouette(df, "x", "c"), np.mean([*scores[:-1], 0.0]), atol=1e-9)
+    assert clustering.linear_silhouette(df.filter("c = 'a'"), "x", "c") is None
+
+
+def test_bernoulli_strata(spark):
+    df = spark.range(20000).select("id", F.when(F.col("id") % 100 == 0, "rare").when(F.col("id") % 3 == 0, "some").otherwise("most").alias("s"))
+    n = {r["s"]: r["count"] for r in sampling.bernoulli_sample(df, "s", 1500).groupBy("s").count().collect()}
+    assert n["rare"] == 200 and all(abs(n[s] - 500) <= 5 * 500**0.5 for s in ("some", "most"))

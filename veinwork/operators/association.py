@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veinwork.operators.shape import col, rows_from
-from veinwork.session import small_side
+from veinwork.session import durable, small_side
 
 STRONG_CORRELATION = 0.8
 
@@ -46,6 +47,36 @@ def association_rules(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     )
 
 
+def frequent_itemsets(df: DataFrame, flags: Sequence[str], support: float, size: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Sets of up to `size` flags that are true together in at least a share `support` of the rows, and
+    the rules between them: `(items, n, support)` and `(antecedent, consequent, n, support, confidence,
+    lift)`, where a rule leads from one to `size` - 1 flags to one more, in every direction.
+
+    MLlib's parallel FP-growth: each task mines the sets of its own flags in a compressed tree.
+    """
+    rows = durable(df.select(F.array_compact(F.array(*[F.when(col(f).cast("boolean"), F.lit(f)) for f in flags])).alias("items")))
+    total = rows.count()
+    if not total:
+        none = df.sparkSession.createDataFrame
+        return (none([], "items array<string>, n long, support double"),
+                none([], "antecedent array<string>, consequent string, n long, support double, confidence double, lift double"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(rows)
+    share = lambda n: F.round(n / F.lit(float(total)), 6)
+    found = durable(model.freqItemsets.filter(F.size("items") <= size).select(F.array_sort("items").alias("items"), F.col("freq").alias("n")))
+    sets = found.select("items", "n", share(F.col("n")).alias("support"))
+    larger = found.filter(F.size("items") > 1).select(
+        F.col("n"), "items", F.explode("items").alias("consequent")).withColumn(
+        "antecedent", F.array_except("items", F.array("consequent")))
+    known = lambda side, count: found.select(F.col("items").alias(side), F.col("n").alias(count))
+    one = known("one", "n_consequent").filter(F.size("one") == 1).select(F.col("one")[0].alias("consequent"), "n_consequent")
+    # Every part of a frequent set is frequent, so both joins find their row.
+    rules = larger.join(known("antecedent", "n_antecedent"), "antecedent").join(one, "consequent").select(
+        "antecedent", "consequent", "n", share(F.col("n")).alias("support"),
+        F.round(F.col("n") / F.col("n_antecedent"), 6).alias("confidence"),
+        F.round(F.col("n") * total / (F.col("n_antecedent") * F.col("n_consequent")), 6).alias("lift"))
+    return sets, rules
+
+
 def _correlated(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[tuple[int, int]]]:
     """One row with `_i_j` for each pair i<j and `_i_i` for each column, from one aggregate
     after one that finds out which columns have gaps."""

@@ -16,8 +16,7 @@ from veinwork.functions.parsing import known_flag_word
 from veinwork.operators.profiling import value_counts
 from veinwork.operators.quantiles import exact_quantiles
 from veinwork.operators.shape import col, columns_by_kind, rows_from
-from veinwork.operators.skew import join_skewed
-from veinwork.session import small_side
+from veinwork.session import durable
 
 UNKNOWN = "Unknown"
 SPARSE_SHARE = 0.5
@@ -26,11 +25,8 @@ SPARSE_SHARE = 0.5
 def frequent_classes(df: DataFrame, column: str, min_rows: int = 1000) -> DataFrame:
     """Keep the rows whose class has at least `min_rows` rows."""
     counts = df.groupBy(col(column)).agg(F.count(F.lit(1)).alias("_n"))
-    frequent = counts.filter(F.col("_n") >= min_rows).select(col(column))
-    keep = small_side(frequent)
-    if keep is frequent:  # too many classes to broadcast
-        return join_skewed(df, frequent, column, "left_semi")
-    return df.join(keep, column, "left_semi")
+    # Stored: Spark broadcasts the classes if their size allows, and splits hot ones if not.
+    return df.join(durable(counts.filter(F.col("_n") >= min_rows).select(col(column))), column, "left_semi")
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -141,9 +137,9 @@ def mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: found.get(c, UNKNOWN) for c in columns}
 
 
-def median_values(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> dict[str, float]:
-    found = exact_quantiles(df, columns, [0.5], rows=rows).collect()  # one row per column
-    return {r["column"]: r["quantiles"][0] for r in found if r["quantiles"]}
+def median_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    found = exact_quantiles(df, columns, [0.5]).collect()  # one row per column
+    return {r["column"]: r["quantiles"][0] for r in found}
 
 
 def fill(df: DataFrame, values: dict) -> DataFrame:
@@ -182,10 +178,10 @@ def impute(
 
     values: dict = {c: UNKNOWN for c in words if c in set(constant)}
     values |= mode_values(df, by_mode) if by_mode else {}
-    medians = median_values(df, numbers, rows) if numbers else {}
+    medians = median_values(df, numbers) if numbers else {}
     times, flags = [c for c in todo if c in kinds["date"]], [c for c in todo if c in kinds["boolean"]]
     seen = df.select(*[_as_number(df, c).alias(c) for c in times + flags])
-    middles = median_values(seen, times + flags, rows) if times + flags else {}
+    middles = median_values(seen, times + flags) if times + flags else {}
     moments = {c: _from_number(df, c, middles[c]) for c in times if c in middles}
     majority = {c: middles[c] > 0.5 for c in flags if c in middles}
     actions = {c: "dropped" for c in sparse}

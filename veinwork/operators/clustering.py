@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -179,11 +180,10 @@ def inertia(df: DataFrame, features: str, centroids: dict[int, Sequence[float]])
 
 def centroid_outliers(
     df: DataFrame, features: str, centroids: dict[int, Sequence[float]], share: float = 0.01,
-    rows: int | None = None,
 ) -> DataFrame:
     """Distance to the nearest centroid, and whether it is above the 1 - share quantile."""
     near = nearest_centroid(df, features, centroids)
-    return flag_above_quantile(near, "distance", share, "is_outlier", rows)
+    return flag_above_quantile(near, "distance", share, "is_outlier")
 
 
 def _own_distance(centroids: dict, label: Column, x: Column) -> Column:
@@ -314,6 +314,21 @@ def silhouette(df: DataFrame, id: str, features: str, labels: Sequence[str]) ->
     )
 
 
+def linear_silhouette(df: DataFrame, features: str, label: str) -> float | None:
+    """Mean silhouette by squared Euclidean distance, of all rows: each cluster's size, vector sum and
+    sum of squares give every row's mean distance to it, so the work is linear and a row per cluster
+    is all that is shared. None with fewer than two clusters; rows without a label are left out."""
+    given = df.filter(col(label).isNotNull())
+    codes = durable(given.select(col(label).alias("label")).distinct().select(
+        "label", F.monotonically_increasing_id().cast("double").alias("code")))
+    if codes.count() < 2:
+        return None
+    vectored = given.select(col(label).alias("label"), array_to_vector(col(features).cast(T.ArrayType(T.DoubleType()))).alias("vector"))
+    evaluator = ClusteringEvaluator(
+        featuresCol="vector", predictionCol="code", metricName="silhouette", distanceMeasure="squaredEuclidean")
+    return evaluator.evaluate(durable(vectored.join(codes, "label")))
+
+
 def k_sweep(
     df: DataFrame,
     id: str,
@@ -322,30 +337,36 @@ def k_sweep(
     restarts: int = SWEEP_RESTARTS,
     max_iterations: int = MAX_ITERATIONS,
     seed: int = DEFAULT_SEED,
+    judged: DataFrame | None = None,
 ) -> tuple[DataFrame, dict[int, Clusters]]:
-    """`(k, inertia, silhouette, davies_bouldin)` with the rank of k by each, and the models.
+    """`(k, inertia, silhouette, linear_silhouette, davies_bouldin)` with the rank of k by the silhouette
+    and by Davies-Bouldin, and the models.
 
-    A score that does not exist (all rows in one cluster) is null and ranks last.
+    All of it is of all rows, but for the exact silhouette, whose work is quadratic: `judged` may name
+    the rows (a column `id`) that it is taken over. A score that does not exist (all rows in one
+    cluster) is null and ranks last.
     """
     vectors = durable(df.select(array_to_vector(col(features)).alias("vector")))
     models = {k: _fit_restarts(vectors, k, restarts, max_iterations, seed, AT_ONCE, stored=True) for k in ks}
     named = durable(assign_many(df.select(col(id), col(features)), features, models))
+    seen = named if judged is None else durable(named.join(judged.select(col(id)), id))
     scores = {
         r["labeling"]: r["silhouette"]
-        for r in silhouette(named, id, features, [f"k{k}" for k in sorted(ks)]).collect()
+        for r in silhouette(seen, id, features, [f"k{k}" for k in sorted(ks)]).collect()
     }
     rows = [
-        (k, models[k].inertia, scores[f"k{k}"], davies_bouldin_value(named, features, f"k{k}"))
+        (k, models[k].inertia, scores[f"k{k}"], linear_silhouette(named, features, f"k{k}"),
+         davies_bouldin_value(named, features, f"k{k}"))
         for k in sorted(ks)
     ]
     by_silhouette = sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0.0)))
-    by_db = sorted(rows, key=lambda r: (r[3] is None, r[3] or 0.0))
+    by_db = sorted(rows, key=lambda r: (r[4] is None, r[4] or 0.0))
     ranked = [
         (*r, by_silhouette.index(r) + 1, by_db.index(r) + 1) for r in rows
     ]
     table = df.sparkSession.createDataFrame(
         ranked,
-        "k int, inertia double, silhouette double, davies_bouldin double, "
+        "k int, inertia double, silhouette double, linear_silhouette double, davies_bouldin double, "
         "silhouette_rank int, davies_bouldin_rank int",
     )
     return table, models

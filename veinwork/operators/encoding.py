@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from veinwork.operators.cleaning import UNKNOWN
 from veinwork.operators.shape import col, rows_from
-from veinwork.operators.skew import join_skewed
-from veinwork.session import BROADCAST_ROWS, durable
+from veinwork.session import durable
 
 _SPLITTERS = 256
 ONE_HOT_LIMIT = 1_000
@@ -54,16 +53,9 @@ def _codes_by_splitters(values: DataFrame) -> DataFrame:
     )
 
 
-def fit_labels(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`(column, value, code)`: 0-based rank of each distinct value, a null being `Unknown`."""
-    values = distinct_values(df, columns)
-    head = values.take(limit + 1)
-    if len(head) > limit:
-        return durable(_codes_by_splitters(durable(values)))
-    ordered = W.partitionBy("column").orderBy("value")
-    return df.sparkSession.createDataFrame(head, values.schema).withColumn(
-        "code", (F.row_number().over(ordered) - 1).cast("int")
-    )
+def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`(column, value, code)`: 0-based rank of each distinct value, a null being `Unknown`; a stored table."""
+    return durable(_codes_by_splitters(durable(distinct_values(df, columns))))
 
 
 def apply_labels(
@@ -73,28 +65,18 @@ def apply_labels(
     suffix: str = "_encoded",
     unseen: int | None = None,
     mark_unseen: bool = False,
-    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the code of each column. A value without a code gets `unseen` (null by default);
-    `mark_unseen` also adds a boolean column per encoded one."""
-    wanted = labels.filter(F.col("column").isin(list(columns)))
-    sizes = {r["column"]: r["count"] for r in wanted.groupBy("column").count().collect()}  # a row per column
-    few = [c for c in columns if sizes.get(c, 0) <= limit]
-    # At most `limit` labels for each of these columns.
-    head = wanted.filter(F.col("column").isin(few)).select("column", "value", "code").collect() if few else []
+    `mark_unseen` also adds a boolean column per encoded one.
+
+    Each column looks its codes up in the stored labels: Spark broadcasts them if their size
+    allows, and splits the rows of a hot value if not.
+    """
     out = df
     for c in columns:
-        keyed = out.withColumn("_text", _text(c))
-        if c in few:
-            mine = [(r["value"], r["code"]) for r in head if r["column"] == c]
-            part = F.broadcast(df.sparkSession.createDataFrame(mine, "_text string, _code int"))
-            joined = keyed.join(part, "_text", "left")
-        else:
-            part = wanted.filter(F.col("column") == c)
-            part = part.select(F.col("value").alias("_text"), F.col("code").alias("_code"))
-            joined = join_skewed(keyed, part, "_text", "left")
+        part = labels.filter(F.col("column") == c).select(F.col("value").alias("_text"), F.col("code").alias("_code"))
         code = F.col("_code") if unseen is None else F.coalesce("_code", F.lit(unseen))
-        out = joined.withColumn(f"{c}{suffix}", code)
+        out = out.withColumn("_text", _text(c)).join(part, "_text", "left").withColumn(f"{c}{suffix}", code)
         if mark_unseen:
             out = out.withColumn(f"{c}_unseen", F.col("_code").isNull())
         out = out.drop("_text", "_code")
@@ -115,14 +97,16 @@ def unseen_report(encoded: DataFrame, columns: Sequence[str], split: str) -> Dat
 def one_hot(df: DataFrame, columns: Sequence[str], limit: int = ONE_HOT_LIMIT) -> DataFrame:
     """0/1 columns `<column>_<value>` for every value but the first in order.
 
-    The width of the result is the number of categories, so more than `limit` is an error.
+    The width of the result is the number of categories, so more than `limit` in a column is an error.
     """
-    head = distinct_values(df, columns).take(limit + 1)
-    if len(head) > limit:
-        raise ValueError(f"more than {limit} categories; use label codes")
+    values = durable(distinct_values(df, columns))
+    for c, n in values.groupBy("column").count().collect():  # a row per column
+        if n > limit:
+            raise ValueError(f"{c} has {n} categories, more than {limit}; use label codes")
+    found = values.collect()
     added = []
     for c in columns:
-        for value in sorted(r["value"] for r in head if r["column"] == c)[1:]:
+        for value in sorted(r["value"] for r in found if r["column"] == c)[1:]:
             added.append((_text(c) == value).cast("int").alias(f"{c}_{value}"))
     return df.select("*", *added)
 

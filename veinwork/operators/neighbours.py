@@ -3,35 +3,44 @@
 Equal points are merged first: a point needs only its k+1 smallest ids, since no row can have
 more neighbours there, so a vector shared by a large part of the table costs one point.
 
-Points are then assigned to cells around sampled pivots. A first pass compares each point
-with its own cell, which bounds its k-th distance. A second pass sends the point only to cells
-that the bound cannot rule out by the triangle inequality and the bisecting hyperplane
-(the pivot-based kNN join of Lu, Shen, Chen and Ooi, VLDB 2012). Cells are cut into blocks of
-bounded size, and a task holds one block and one slice of its visitors; only the k+1 best
-of each visitor leave it.
+Two levels of pivots then put points that are near each other into one block of bounded size:
+the first level takes the square root of the number of leaves, and each of its cells is cut by
+pivots of its own. A block is compared with itself, which bounds how far the neighbours of its
+points can be, and by the triangle inequality which other blocks it has to meet (the idea of the
+pivot-based kNN join of Lu, Shen, Chen and Ooi, VLDB 2012).
+
+A task then owns the points of a block and meets the blocks that come to it, the nearest first,
+while the k+1 best of each point are kept and tighten its bound. What leaves the task is one list
+of k+1 for each point, however many blocks it has met. Blocks travel as packs of points of a few
+kilobytes, so that a batch of rows is small whatever the session's batch size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from math import ceil
+from collections.abc import Iterable, Iterator
+from math import ceil, isqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from veinwork.operators.shape import col
-from veinwork.session import durable, small_side
+from veinwork.session import discard, durable
 
 BLOCK_ROWS = 4096
 SLICE_ROWS = 2048
-CELL_ROWS = 8192
-PLAIN_CELLS = 4
-MAX_PIVOTS = 4096
-_MIN_SLICE = 256
-_PIECE_CELLS = 2_000_000
+LEAF_ROWS = 8192
+# Points that are assigned to the pivots of a cell together.
+ASSIGN_ROWS = 65_536
+PACK_BYTES = 4096
+# Tasks that the blocks are dealt to, at most.
+TASKS = 20_000
+_PIECE_CELLS = 1_000_000
+_COMPACT = 64  # blocks met between two clearings of the ids that are kept
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -48,44 +57,161 @@ def rough_squares(q: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return squares, slack
 
 
-def _nearest(q: np.ndarray, r: np.ndarray, r_keys: np.ndarray, k: int, bound: np.ndarray):
-    """Positions and distances of the k nearest reference points of each query point.
-
-    The matrix product only shortlists; what it cannot tell apart is measured directly,
-    dimension by dimension. Ties go to the smaller key.
-    """
-    squares, slack = rough_squares(q, r)
-    k = min(k, len(r))
-    kth = np.partition(squares, k - 1, axis=1)[:, k - 1]
-    limit = np.minimum(kth, bound * bound) + 2.0 * slack
-    rows, cols = np.nonzero(squares <= limit[:, None])
-    total = np.zeros(len(rows))
-    for j in range(q.shape[1]):
-        step = q[rows, j] - r[cols, j]
-        total += step * step
-    distance = np.sqrt(total)
-    order = np.lexsort((r_keys[cols], distance, rows))
-    rows, cols, distance = rows[order], cols[order], distance[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-    keep = place < k
-    return rows[keep], cols[keep], distance[keep]
-
-
-def _block_search(k: int):
-    def search(visitors: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if visitors.empty or block.empty:
-            return pd.DataFrame({"p": visitors["p"][:0], "d": np.zeros(0), "ids": []})
-        keys = block["ids"].map(lambda ids: ids[0]).to_numpy()
-        rows, cols, distance = _nearest(
-            matrix(visitors["x"]), matrix(block["x"]), keys, k, visitors["bound"].to_numpy()
-        )
-        return pd.DataFrame({
-            "p": visitors["p"].to_numpy()[rows],
-            "d": distance,
-            "ids": block["ids"].to_numpy()[cols],
-        })
-
-    return search
+def _points(column: pa.ListArray) -> np.ndarray:
+    """The rows of a list column of equal lengths."""
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
+def _sortable(values: pa.Array) -> np.ndarray:
+    """Ids as an array that sorts: numbers, or texts of fixed width."""
+    return values.to_numpy() if pa.types.is_integer(values.type) else np.array(values.to_pylist())
+
+
+def _nearest_pivot(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    step = max(1, _PIECE_CELLS // len(pivots))
+    parts = [rough_squares(x[i:i + step], pivots)[0].argmin(axis=1) for i in range(0, len(x), step)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
+class Search:
+    """The nearest points of a set of query points, among all points that it has met."""
+
+    def __init__(self, x: np.ndarray, width: int):
+        self.x, self.width = x, width
+        self.middle = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
+        near = x - self.middle
+        self.squares = (near * near).sum(axis=1)
+        with np.errstate(over="ignore"):
+            self.left = np.column_stack([near, self.squares, np.ones(len(x))]).astype(np.float32)
+        self.distance = np.full((len(x), width), np.inf)
+        self.key = np.zeros((len(x), width), np.int64)
+        self.place = np.full((len(x), width), -1, np.int64)  # in `kept`
+        self.kept: list[pa.Array] = []
+        self.size = 0
+
+    @property
+    def bound(self) -> np.ndarray:
+        """How far the last wanted neighbour of each query point can be."""
+        return self.distance[:, -1]
+
+    def meet(self, x: np.ndarray, ids: pa.ListArray, keys: np.ndarray, center: np.ndarray, radius: float) -> None:
+        """Compare with the points `x` of a ball, which stand for the rows `ids`; `keys` break ties."""
+        if not len(self.x) or not len(x):
+            return
+        gap = np.sqrt(((self.x - center) ** 2).sum(axis=1)) - radius
+        alive = np.flatnonzero(gap <= self.bound)
+        r = x - self.middle
+        rr = (r * r).sum(axis=1)
+        kind = np.float32 if self.squares.max() + rr.max() < 1e30 else np.float64
+        right = np.column_stack([-2.0 * r, np.ones(len(r)), rr]).astype(kind).T
+        step = max(1, _PIECE_CELLS // len(x))
+        for start in range(0, len(alive), step):
+            at = alive[start:start + step]
+            rows, cols = self._shortlist(at, right, rr.max(), kind)
+            # What the matrix product cannot tell apart is measured directly, dimension by dimension.
+            total = np.zeros(len(rows))
+            for j in range(x.shape[1]):
+                step_j = self.x[at[rows], j] - x[cols, j]
+                total += step_j * step_j
+            distance = np.sqrt(total)
+            good = distance <= self.bound[at[rows]]
+            if good.any():
+                self._merge(at[rows[good]], cols[good], distance[good], ids, keys)
+        if len(self.kept) > _COMPACT:
+            self._compact()
+
+    def _shortlist(self, at: np.ndarray, right: np.ndarray, most: float, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query of `at`, point) that can be within the bounds, by a single-precision product."""
+        left = (self.left if kind is np.float32 else np.column_stack([self.x - self.middle, self.squares, np.ones(len(self.x))]))[at]
+        squares = left @ right
+        slack = 32.0 * np.finfo(kind).eps * (right.shape[0] + 2) * (self.squares[at] + most)
+        limit = self.bound[at] ** 2
+        if not np.isfinite(limit).all():
+            last = min(self.width, right.shape[1]) - 1
+            own = np.partition(squares, last, axis=1)[:, last].astype(np.float64) + slack
+            limit = np.minimum(limit, own if last + 1 == self.width else np.inf)
+        found = np.flatnonzero(squares <= np.nextafter((limit + slack).astype(kind), kind(np.inf))[:, None])
+        return np.divmod(found, right.shape[1])
+
+    def _merge(self, at: np.ndarray, cols: np.ndarray, distance: np.ndarray, ids: pa.ListArray, keys: np.ndarray) -> None:
+        used, place = np.unique(cols, return_inverse=True)
+        hit = np.unique(at)
+        rows = np.concatenate([np.repeat(hit, self.width), at])
+        distance = np.concatenate([self.distance[hit].ravel(), distance])
+        key = np.concatenate([self.key[hit].astype(keys.dtype if self.size == 0 else self.key.dtype).ravel(), keys[cols]])
+        place = np.concatenate([self.place[hit].ravel(), place + self.size])
+        order = np.lexsort((key, distance, rows))
+        rows = rows[order]
+        order = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < self.width]
+        if self.key.dtype != key.dtype:  # texts may be wider than before
+            self.key = self.key.astype(key.dtype)
+        self.distance[hit] = distance[order].reshape(len(hit), self.width)
+        self.key[hit] = key[order].reshape(len(hit), self.width)
+        self.place[hit] = place[order].reshape(len(hit), self.width)
+        self.kept.append(ids.take(pa.array(used)))
+        self.size += len(used)
+
+    def _compact(self) -> None:
+        known = self.place >= 0
+        live, place = np.unique(self.place[known], return_inverse=True)
+        self.kept = [pa.concat_arrays(self.kept).take(pa.array(live))]
+        self.place[known] = place
+        self.size = len(live)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """(query, distance, id) of the `width` nearest rows of each query point, in that order."""
+        rows, columns = np.nonzero(self.place >= 0)
+        lists = pa.concat_arrays(self.kept).take(pa.array(self.place[rows, columns])) if len(rows) else None
+        if lists is None:
+            return np.zeros(0, np.int64), np.zeros(0), pa.array([])
+        length = lists.value_lengths().to_numpy()
+        ids = lists.flatten()
+        distance = np.repeat(self.distance[rows, columns], length)
+        rows = np.repeat(rows, length)
+        order = np.lexsort((_sortable(ids), distance, rows))
+        rows = rows[order]
+        keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < self.width
+        return rows[keep], distance[order][keep], ids.take(pa.array(order[keep]))
+
+
+def _tree(points: DataFrame, total: int, leaf_rows: int) -> DataFrame:
+    """The points with the `block` they belong to and its `cell`; a stored table."""
+    leaves = ceil(total / leaf_rows)
+    if leaves == 1:
+        return points.withColumns({"cell": F.lit(0), "block": F.lit(0).cast("long")})
+    chosen = points.orderBy(F.md5(F.col("p").cast("string")), "p").limit(isqrt(leaves - 1) + 1).select("x").collect()
+    pivots = np.array([r["x"] for r in chosen])  # as many as the square root of the leaves
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
+
+    def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = _nearest_pivot(_points(batch.column("x")), pivots)
+            yield batch.append_column("cell", pa.array(cell, pa.int32()))
+
+    placed = durable(points.mapInArrow(assign, f"{kinds}, cell int"))
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"))
+    wanted = durable(cells.select("cell", F.ceil(F.col("n") / leaf_rows).alias("pivots"), "n",
+                                  F.ceil(F.col("n") / ASSIGN_ROWS).cast("int").alias("parts")))
+    # About one pivot for each leaf, drawn by the hash of the point.
+    draw = F.pmod(F.xxhash64(F.lit("pivot"), "p"), F.lit(1 << 30)) * F.col("n") < F.col("pivots") * (1 << 30)
+    drawn = placed.join(wanted, "cell").filter(draw & (F.col("pivots") > 1)).select(
+        F.col("cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("x").alias("pivot"))
+    dealt = placed.join(wanted, "cell").select(*placed.columns, _spread("part", "p", F.col("parts")).alias("part"))
+
+    def cut(points: pa.Table, pivots: pa.Table) -> pa.Table:
+        x, leaf = _points(points["x"].combine_chunks()), np.zeros(points.num_rows, np.int64)
+        if pivots.num_rows and points.num_rows:
+            own = _points(pivots["pivot"].combine_chunks())
+            leaf = _nearest_pivot(x, own[np.lexsort(own.T)])  # the same order in every part
+        return points.drop_columns(["part"]).append_column("leaf", pa.array(leaf, pa.int64()))
+
+    pairs = dealt.groupBy("cell", "part").cogroup(drawn.groupBy("cell", "part"))
+    leafed = durable(pairs.applyInArrow(cut, f"{kinds}, cell int, leaf long"))
+    sizes = durable(leafed.groupBy("cell", "leaf").agg(F.ceil(F.count("*") / leaf_rows).cast("int").alias("parts")))
+    block = F.col("cell").cast("long") * (1 << 42) + F.col("leaf") * (1 << 21) + _spread("block", "p", F.col("parts"))
+    found = durable(leafed.join(sizes, ["cell", "leaf"]).select(*points.columns, "cell", block.alias("block")))
+    discard(placed, wanted, leafed, sizes)
+    return found
 
 
 def _spread(name: str, key: str, parts: Column) -> Column:
@@ -93,111 +219,132 @@ def _spread(name: str, key: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(name), F.col(key)), parts).cast("int")
 
 
-def _search(visits: DataFrame, blocks: DataFrame, k: int, id_type: str) -> DataFrame:
-    """Compare each visitor (p, x, bound, cell, n_blocks, n_slices) with all blocks of a cell."""
-    # Fresh aliases, as both sides may come from the same table.
-    left = visits.select(
-        *[F.col(c).alias(c) for c in ("p", "x", "bound", "cell")],
-        _spread("slice", "p", F.col("n_slices")).alias("slice"),
-        F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"),
-    )
-    keys = ["cell", "block", "slice"]
-    return left.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInPandas(
-        _block_search(k), f"p {id_type}, d double, ids array<{id_type}>"
-    )
-
-
-def _best(found: DataFrame, k: int) -> DataFrame:
-    nearest = W.partitionBy("p").orderBy("d", F.col("ids")[0])
-    return found.withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= k).drop("_r")
+def _packer(width: int, id_type: pa.DataType):
+    """One block: its packs of points, and with each of them the block's ball and bound."""
+    lists = pa.list_(pa.list_(id_type))
+
+    def pack(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        x, ids = _points(block["x"].chunk(0)), block["ids"].chunk(0)
+        full = block["full"].to_numpy()
+        center = x.mean(axis=0)
+        radius = float(np.sqrt(((x - center) ** 2).sum(axis=1)).max())
+        radius += 1e-12 * x.shape[1] * (1.0 + float(np.abs(x).max()))  # what rounding may amount to
+        own = Search(x[~full], width)
+        own.meet(x, ids, _sortable(block["p"].chunk(0)), center, radius)
+        step = max(1, PACK_BYTES // (8 * x.shape[1]))
+        starts = range(0, len(x), step)
+        n = len(starts)
+        return pa.table({
+            "block": pa.array([block["block"][0].as_py()] * n, pa.int64()), "cell": pa.array([block["cell"][0].as_py()] * n, pa.int32()),
+            "seekers": pa.array([int((~full).sum())] * n, pa.int64()), "center": pa.array([center] * n, pa.list_(pa.float64())),
+            "radius": pa.array([radius] * n), "bound": pa.array([float(own.bound.max(initial=0.0))] * n),
+            "x": pa.array([x[i:i + step].tobytes() for i in starts], pa.binary()),
+            "full": pa.array([full[i:i + step].tobytes() for i in starts], pa.binary()),
+            "ids": pa.array([ids[i:i + step].to_pylist() for i in starts], lists), "first": pa.array([i == 0 for i in starts]),
+        })
 
+    return pack
 
-def _pieces(batch: pd.DataFrame, width: int) -> Iterator[pd.DataFrame]:
-    """Runs of rows whose distances to all pivots fit in a few dozen megabytes."""
-    step = max(1, _PIECE_CELLS // width)
-    for start in range(0, len(batch), step):
-        yield batch.iloc[start:start + step].reset_index(drop=True)
 
+def _reachable(cells: np.ndarray, centers: np.ndarray, reach: np.ndarray):
+    """For each block the cells whose balls its bound cannot rule out."""
 
-def _cells(pivots: np.ndarray):
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for piece in _pieces(batch, len(pivots)):
-                squares, _ = rough_squares(matrix(piece["x"]), pivots)
-                yield piece.assign(
-                    cell=squares.argmin(axis=1).astype(np.int32), reach=np.sqrt(squares.min(axis=1)))
-
-    return assign
-
-
-class _Pruner:
-    """Which other cells may hold a point within the bound of a query point."""
-
-    def __init__(self, pivots: np.ndarray, near: np.ndarray, far: np.ndarray):
-        self.pivots, self.near, self.far = pivots, near, far
-
-    def open_cells(self, piece: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        squares, slack = rough_squares(matrix(piece["x"]), self.pivots)
-        cell, bound = piece["cell"].to_numpy(), piece["bound"].to_numpy()
-        to_pivot = np.sqrt(squares)
-        ring = np.maximum(to_pivot - self.far[None, :], self.near[None, :] - to_pivot)
-        own = squares[np.arange(len(cell)), cell]
-        between, _ = rough_squares(self.pivots[cell], self.pivots)
-        gap = np.maximum(2.0 * np.sqrt(between), 1e-300)
-        plane = (squares - own[:, None]) / gap
-        # The rough squares carry an error; widen the bound by what it can amount to.
-        error = np.sqrt(slack)[:, None] + 4.0 * slack[:, None] / gap
-        reachable = np.maximum(ring, plane) <= bound[:, None] + error
-        reachable[np.arange(len(cell)), cell] = False
-        reachable &= np.isfinite(self.far)[None, :]
-        return np.nonzero(reachable)
-
-    def visits(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in _pieces(batch, len(self.pivots)):
-                rows, cells = self.open_cells(piece)
-                out = piece[["p", "x", "bound"]].iloc[rows].reset_index(drop=True)
-                yield out.assign(cell=cells.astype(np.int32))
-
-    def counts(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            x = _points(batch.column("center"))
+            radius, bound = batch.column("radius").to_numpy(), batch.column("bound").to_numpy()
+            gap = np.stack([np.sqrt(((x - c) ** 2).sum(axis=1)) for c in centers], axis=1) - reach
+            rows, found = np.nonzero(gap - radius[:, None] <= bound[:, None])
+            out = batch.select(["block", "center", "radius", "bound"]).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays(
+                [*out.columns, pa.array(cells[found], pa.int32())], names=["a", "ca", "ra", "bound", "cell"])
+
+    return run
+
+
+def _visits(packs: DataFrame) -> DataFrame:
+    """(a, block, gap): the blocks that block `a` has to meet, and how far they are; a stored table."""
+    blocks = durable(packs.filter("first").select("block", "cell", "seekers", "center", "radius", "bound"))
+
+    def ball(cell: pa.Table) -> pa.Table:
+        x = _points(cell["center"].combine_chunks())
+        middle = x.mean(axis=0)
+        reach = np.sqrt(((x - middle) ** 2).sum(axis=1)) + cell["radius"].to_numpy()
+        return pa.table({"cell": cell["cell"][:1], "middle": pa.array([middle], pa.list_(pa.float64())), "reach": [float(reach.max())]})
+
+    # As many rows as first-level pivots.
+    balls = blocks.groupBy("cell").applyInArrow(ball, "cell int, middle array<double>, reach double").collect()
+    reachable = _reachable(np.array([r["cell"] for r in balls]), np.array([r["middle"] for r in balls]), np.array([r["reach"] for r in balls]))
+    opened = blocks.filter("seekers > 0").mapInArrow(
+        reachable, "a long, ca array<double>, ra double, bound double, cell int")
+    squares = F.aggregate(F.zip_with("ca", "center", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+    gap = F.when(F.col("a") == F.col("block"), F.lit(float("-inf"))).otherwise(F.sqrt(squares) - F.col("ra") - F.col("radius"))
+    other = blocks.select("block", "cell", "center", "radius")
+    found = durable(opened.join(other, "cell").withColumn("gap", gap).filter("gap <= bound").select("a", "block", "gap"))
+    discard(blocks)
+    return found
+
+
+def _searcher(width: int, id_type: pa.DataType):
+    """Rows of packs, sorted by the block `a` that meets them and then by distance, its own first."""
+    near = pa.list_(pa.struct([("d", pa.float64()), ("neighbor", id_type)]))
+
+    def finish(own: list, search: Search | None) -> Iterator[pa.RecordBatch]:
+        if search is None and own:
+            search = _begin(own, width)
+        if search is not None and len(search.x):
+            rows, distance, ids = search.result()
+            ends = np.searchsorted(rows, np.arange(len(search.x) + 1)).astype(np.int32)
+            pairs = pa.StructArray.from_arrays([pa.array(distance), ids], fields=list(near.value_type))
+            lists = pa.ListArray.from_arrays(pa.array(ends), pairs)
+            yield pa.RecordBatch.from_arrays([pa.array(search.names, id_type), lists.cast(near)], names=["p", "near"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, own, search = None, [], None
         for batch in batches:
-            for piece in _pieces(batch, len(self.pivots)):
-                cells, n = np.unique(self.open_cells(piece)[1], return_counts=True)
-                yield pd.DataFrame({"cell": cells.astype(np.int32), "n": n.astype(np.int64)})
-
-
-def _blocks(placed: DataFrame, plan: DataFrame) -> DataFrame:
-    """Reference points with their block, one copy per slice of visitors of the cell."""
-    return placed.join(plan, "cell").select(
-        "cell", "x", "ids", _spread("block", "p", F.col("n_blocks")).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1)).alias("slice"),
-    )
-
-
-def _plan(spark, cells: list[tuple[int, int, int]], slice_rows: int, block_rows: int) -> DataFrame:
-    """`(cell, n_blocks, n_slices)` from (cell, points, visitors); one row per pivot."""
-    rows = [
-        (c, max(1, ceil(n / block_rows)), max(1, ceil(v / slice_rows))) for c, n, v in cells if v
-    ]
-    return F.broadcast(spark.createDataFrame(rows, "cell int, n_blocks int, n_slices int"))
-
+            names, blocks = batch.column("a").to_numpy(), batch.column("block").to_numpy()
+            cuts = np.flatnonzero((np.diff(names) != 0) | (np.diff(blocks) != 0)) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(names)], strict=True):
+                if start == end:
+                    continue
+                if names[start] != current:
+                    yield from finish(own, search)
+                    current, own, search = names[start], [], None
+                part = _unpack(batch.slice(start, end - start))
+                if blocks[start] == current:
+                    own.append(part)
+                    continue
+                search = search or _begin(own, width)
+                search.meet(*part[:5])
+        yield from finish(own, search)
+
+    return run
+
+
+def _unpack(rows: pa.RecordBatch) -> tuple:
+    """(points, ids, keys, center, radius, which points are crowded) of packs of one block."""
+    center = np.array(rows.column("center")[0].as_py())
+    x = np.frombuffer(b"".join(rows.column("x").to_pylist())).reshape(-1, len(center))
+    ids = rows.column("ids").flatten()
+    firsts = ids.flatten().take(pa.array(ids.offsets.to_numpy()[:-1] - ids.offsets[0].as_py()))
+    full = np.frombuffer(b"".join(rows.column("full").to_pylist()), dtype=bool)
+    return x, ids, _sortable(firsts), center, rows.column("radius")[0].as_py(), full, firsts
+
+
+def _begin(own: list, width: int) -> Search:
+    """A search for the points of a block that are not crowded, which has met the block itself."""
+    seek = ~np.concatenate([part[5] for part in own])
+    search = Search(np.concatenate([part[0] for part in own])[seek], width)
+    search.names = pa.concat_arrays([part[6] for part in own]).filter(pa.array(seek)).to_pylist()
+    for part in own:
+        search.meet(*part[:5])
+    return search
 
-def nearest_neighbours(
-    df: DataFrame,
-    id: str,
-    features: str,
-    k: int = 20,
-    cell_rows: int = CELL_ROWS,
-    block_rows: int = BLOCK_ROWS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """`(id, neighbor, rank, distance)`: the k nearest other rows by Euclidean distance, ties
-    to the smaller id. `features` is an array of numbers without nulls; ids are unique.
 
-    The result is written to the shared folder, as scores read it several times.
-    """
-    spark = df.sparkSession
-    id_type = dict(df.dtypes)[id]
+def merged_points(df: DataFrame, id: str, features: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """The rows as (id, x), and the distinct points (p, x, ids, full) as a stored table: `p` is the
+    smallest of the k+1 `ids` that are kept, `full` tells that a point has more rows than k+1."""
     rows = df.select(
         col(id).alias("id"),
         F.transform(col(features), lambda v: v.cast("double") + F.lit(0.0)).alias("x"),
@@ -211,78 +358,60 @@ def nearest_neighbours(
             (F.size("ids") > k + 1).alias("full"),
         )
     )
-    total, n_full = points.agg(F.count(F.lit(1)), F.count_if("full")).first()
-    if not total:
-        return spark.createDataFrame([], f"id {id_type}, neighbor {id_type}, rank int, distance double")
-    parallel = spark.sparkContext.defaultParallelism
-    slice_rows = max(1, min(slice_rows, max(_MIN_SLICE, ceil(total / parallel))))
-
-    # A few cells' worth of points is compared outright, in blocks, sooner than it is pruned.
-    n_cells = 1 if total <= PLAIN_CELLS * cell_rows else min(MAX_PIVOTS, ceil(total / cell_rows))
-    infinite = F.lit(float("inf"))
-    if n_cells == 1:
-        placed = points.withColumn("cell", F.lit(0)).withColumn("reach", F.lit(0.0))
-        sizes = [(0, total, total - n_full)]
-        pivots = None
-    else:
-        chosen = points.orderBy(F.md5(F.col("p").cast("string")), "p").limit(n_cells).select("x").collect()
-        pivots = np.array([r["x"] for r in chosen])
-        placed = durable(points.mapInPandas(
-            _cells(pivots),
-            f"p {id_type}, x array<double>, ids array<{id_type}>, full boolean, cell int, reach double",
-        ))
-        stats = placed.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(~F.col("full")).alias("q"),
-            F.min("reach").alias("near"), F.max("reach").alias("far"),
-        ).collect()  # one row per pivot
-        sizes = [(r["cell"], r["n"], r["q"]) for r in stats]
-
-    plan = _plan(spark, sizes, slice_rows, block_rows)
-    seekers = placed.filter("not full").withColumn("bound", infinite)
-    first = _best(_search(seekers.join(plan, "cell"), _blocks(placed, plan), k + 1, id_type), k + 1)
-
-    if pivots is not None:
-        first = durable(first)
-        near, far = np.full(n_cells, np.inf), np.full(n_cells, np.inf)
-        for r in stats:
-            near[r["cell"]], far[r["cell"]] = r["near"], r["far"]
-        pruner = _Pruner(pivots, near, far)
-        # Fewer than k+1 points in the own cell leave the bound open.
-        bounds = first.groupBy("p").agg(
-            F.when(F.count(F.lit(1)) > k, F.max("d")).otherwise(infinite).alias("bound")
-        )
-        bounded = durable(
-            placed.filter("not full").join(bounds, "p").select("p", "x", "cell", "bound")
-        )
-        visitors = bounded.mapInPandas(pruner.counts, "cell int, n bigint").groupBy("cell").agg(
-            F.sum("n").alias("n")
-        ).collect()  # one row per pivot
-        if visitors:
-            n_points = {c: n for c, n, _ in sizes}
-            plan = _plan(
-                spark, [(r["cell"], n_points[r["cell"]], r["n"]) for r in visitors],
-                slice_rows, block_rows,
-            )
-            visits = bounded.mapInPandas(pruner.visits, f"p {id_type}, x array<double>, bound double, cell int")
-            second = _search(visits.join(plan, "cell"), _blocks(placed, plan), k + 1, id_type)
-            first = _best(first.unionByName(_best(second, k + 1)), k + 1)
-
-    nearest = W.partitionBy("p").orderBy("d", "neighbor")
-    lists = (
-        first.select("p", "d", F.explode("ids").alias("neighbor"))
-        .withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= k + 1)
-        .groupBy("p").agg(F.array_sort(F.collect_list(F.struct("d", "neighbor"))).alias("near"))
-    )
+    return rows, points
+
+
+def edges_of(rows: DataFrame, points: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+    """`(id, neighbor, rank, distance)` of all rows from the lists (p, near) of the points that
+    are not full; a stored table."""
     members = points.filter("not full").select("p", F.explode("ids").alias("id"))
     found = members.join(lists, "p").select("id", "near")
-    if n_full:
-        # Rows of a crowded point have k copies of it at distance 0.
-        crowded = small_side(points.filter("full").select("x", "ids"))
-        zero = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("d"), i.alias("neighbor")))
-        found = found.unionByName(rows.join(crowded, "x").select("id", zero.alias("near")))
+    # Rows of a crowded point have k copies of it at distance 0.
+    zero = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("d"), i.alias("neighbor")))
+    crowded = points.filter("full").select("x", zero.alias("near"))
+    if not crowded.isEmpty():
+        found = found.unionByName(rows.join(crowded, "x").select("id", "near"))
     others = F.slice(F.filter("near", lambda e: e["neighbor"] != F.col("id")), 1, k)
-    edges = found.select("id", F.posexplode(others).alias("_pos", "_e")).select(
+    return durable(found.select("id", F.posexplode(others).alias("_pos", "_e")).select(
         "id", F.col("_e.neighbor").alias("neighbor"),
         (F.col("_pos") + 1).alias("rank"), F.col("_e.d").alias("distance"),
-    )
-    return durable(edges)
+    ))
+
+
+def id_types(df: DataFrame, id: str) -> tuple[str, pa.DataType]:
+    kind = df.schema[id].dataType
+    return kind.simpleString(), to_arrow_type(kind)
+
+
+def no_edges(df: DataFrame, id_type: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], f"id {id_type}, neighbor {id_type}, rank int, distance double")
+
+
+def nearest_neighbours(df: DataFrame, id: str, features: str, k: int = 20, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """`(id, neighbor, rank, distance)`: the k nearest other rows by Euclidean distance, ties
+    to the smaller id. `features` is an array of numbers without nulls; ids are unique.
+
+    The result is written to the shared folder, as scores read it several times.
+    """
+    id_type, arrow_id = id_types(df, id)
+    rows, points = merged_points(df, id, features, k)
+    total = points.count()
+    if not total:
+        return no_edges(df, id_type)
+    placed = _tree(points, total, leaf_rows)
+    packs = durable(placed.groupBy("block").applyInArrow(
+        _packer(k + 1, arrow_id),
+        "block long, cell int, seekers long, center array<double>, radius double, bound double, x binary, full binary, "
+        f"ids array<array<{id_type}>>, first boolean",
+    ))
+    visits = _visits(packs)
+    met = visits.join(packs.select("block", "center", "radius", "x", "full", "ids"), "block").select(
+        "a", "block", "gap", "center", "radius", "x", "full", "ids")
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(TASKS, max(parallel, visits.select("a").distinct().count()))
+    lists = durable(met.repartition(tasks, "a").sortWithinPartitions("a", "gap", "block").mapInArrow(
+        _searcher(k + 1, arrow_id), f"p {id_type}, near array<struct<d:double,neighbor:{id_type}>>"))
+    discard(packs, visits)
+    edges = edges_of(rows, points, lists, k)
+    discard(points, lists)
+    return edges

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veinwork.operators.quantiles import exact_quantiles
+from veinwork.operators import quantiles
 from veinwork.operators.shape import col, rows_from
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -18,6 +18,8 @@ FIVE_NUMBERS = (0.0, 0.25, 0.5, 0.75, 1.0)
 SUMMARY_STEPS = ((20, 10), (100, 5))
 SUMMARY_LAST = 1
 HIGH_CARDINALITY = 100
+# Size of a distinct-count sketch; at 14 an estimate is off by less than 3 % with high probability.
+SKETCH_PRECISION = 14
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -123,27 +125,17 @@ def boolean_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    aggs = []
-    for i, c in enumerate(columns):
-        v = col(c).cast("double")
-        aggs += [
-            F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-            F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-        ]
-    basic = rows_from(df.agg(*aggs), [
-        F.struct(
-            F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"),
-            F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
-        )
-        for i, c in enumerate(columns)
-    ])
-    quartiles = exact_quantiles(df, columns, QUARTILES, rows=rows)
-    return basic.join(F.broadcast(quartiles), "column", "left").select(
-        "column", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min",
+    extent = quantiles.extents(df, columns)
+    quartiles = quantiles.ranked_values(df, extent, columns, QUARTILES)
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    basic = every.join(extent, "column", "left").join(quartiles, "column", "left")
+    return basic.select(
+        "column", F.coalesce("n", F.lit(0)).alias("n"), F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
+        F.col("lo").alias("min"),
         *[F.round(F.col("quantiles")[i], 6).alias(name) for i, name in enumerate(("q1", "median", "q3"))],
-        "max",
+        F.col("hi").alias("max"),
     )
 
 
@@ -247,12 +239,22 @@ def class_distribution(
     return counts.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= n).drop("_r")
 
 
-def five_number_summary(
-    df: DataFrame, column: str, by: Sequence[str] = (), rows: int | None = None
-) -> DataFrame:
+def five_number_summary(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     names = ("min", "q1", "median", "q3", "max")
-    found = exact_quantiles(df, [column], FIVE_NUMBERS, by, rows)
+    found = quantiles.exact_quantiles(df, [column], FIVE_NUMBERS, by)
     return found.select(
         *[col(b) for b in by],
         *[F.round(F.col("quantiles")[i], 6).alias(name) for i, name in enumerate(names)],
     )
+
+
+def distinct_sketches(df: DataFrame, column: str, by: Sequence[str], precision: int = SKETCH_PRECISION) -> DataFrame:
+    """One HyperLogLog sketch of the column per group, of a size that does not grow with the rows."""
+    text = col(column).cast("string")
+    return df.groupBy(*[col(b) for b in by]).agg(F.hll_sketch_agg(text, precision).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Stored sketches merged into coarser groups: the approximate number of distinct values."""
+    merged = sketches.groupBy(*[col(b) for b in by]).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select(*[col(b) for b in by], F.hll_sketch_estimate("sketch").alias("n_distinct"))

@@ -99,3 +99,41 @@ select case when v > 0.2 then 'domain and correlation' else 'domain' end as reas
 def selection_reasons(spark, folder):
     scores = A.cramers_v(table(spark, folder, "part"), _CRAMERS, "p_type")
     return A.reason_counts(A.selection_reasons(scores, 0.2))
+
+
+SUPPORT = 0.0005
+_NAMES_SQL = "[" + ", ".join(f"'{f}'" for f in LINE_FLAGS) + "]"
+_MASK_SQL = " + ".join(f"({f}::int << {i})" for i, f in enumerate(LINE_FLAGS))
+_ITEMSETS_SQL = f"""
+rows as (select {_MASK_SQL} as mask, count(*) as n from flagged group by 1),
+masks as (select unnest(range(1, {2 ** len(LINE_FLAGS)})) as m),
+sets as (select m, sum(case when mask & m = m then n else 0 end)::bigint as n, (select sum(n) from rows)::bigint as total
+  from masks, rows where bit_count(m) <= 4 group by m),
+frequent as (select m, n, total, array_to_string(list_sort(list_filter({_NAMES_SQL}, lambda f: (m >> (list_position({_NAMES_SQL}, f) - 1)) & 1 = 1)), '+') as items
+  from sets where n >= ceil({SUPPORT} * total))
+"""
+
+
+def _itemsets(spark, folder):
+    return A.frequent_itemsets(flagged_lines(spark, folder), LINE_FLAGS, SUPPORT)
+
+
+@query(f"""
+with {FLAGGED_LINES_SQL}, {_ITEMSETS_SQL}
+select items, n, round(n / total::double, 6) as support from frequent
+""")
+def flag_itemsets(spark, folder):
+    sets, _ = _itemsets(spark, folder)
+    return sets.withColumn("items", F.concat_ws("+", "items"))
+
+
+@query(f"""
+with {FLAGGED_LINES_SQL}, {_ITEMSETS_SQL}
+select a.items as antecedent, c.items as consequent, s.n, round(s.n / s.total::double, 6) as support,
+  round(s.n / a.n::double, 6) as confidence, round(s.n * s.total / (a.n * c.n)::double, 6) as lift
+from frequent s join frequent a on a.m & s.m = a.m and bit_count(a.m) = bit_count(s.m) - 1
+join frequent c on c.m = s.m - a.m
+""")
+def flag_itemset_rules(spark, folder):
+    _, rules = _itemsets(spark, folder)
+    return rules.withColumn("antecedent", F.concat_ws("+", "antecedent"))

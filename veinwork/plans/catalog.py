@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from veinwork.plans import (  # noqa: F401  imported for their registrations
     association_queries,
+    check_queries,
     cleaning_queries,
     clustering_queries,
     encoding_queries,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veinwork.operators import outliers as O
+from veinwork.operators.approximate import approximate_neighbours
 from veinwork.operators.neighbours import nearest_neighbours
 from veinwork.plans.registry import query
 from veinwork.sources.readers import table
@@ -83,3 +84,31 @@ def outlier_comparison(spark, folder):
         "vec_id", (F.col("lof_outlier") | F.col("distance_outlier")).alias("any_outlier"))
     marked = vectors.select("vec_id", "label", (F.col("label") < 5).alias("low_label")).join(flags, "vec_id")
     return O.compare_groups(marked, "any_outlier", ["low_label"], ["label"])
+
+
+RECALL_ROWS = 64  # points of a bucket, so few that also a small table is cut
+
+
+def _approximate(spark, folder):
+    return approximate_neighbours(_vectors(spark, folder), "vec_id", "embedding", 20, trees=24, bucket_rows=RECALL_ROWS)
+
+
+@query()
+def knn_approximate(spark, folder):
+    return _approximate(spark, folder).withColumn("distance", F.round("distance", 6))
+
+
+@query("""
+select count(*) as n_points, 20 * count(*) as n_edges, 0 as n_nearer, true as recall_reached from embeddings
+""")
+def knn_approximate_quality(spark, folder):
+    """Against the exact neighbours: edges found, edges nearer than the exact one of that rank (none can
+    be), and whether at least 0.9 of the exact edges are among them."""
+    exact = nearest_neighbours(_vectors(spark, folder), "vec_id", "embedding", 20)
+    found = _approximate(spark, folder)
+    both = exact.select("id", "rank", F.col("neighbor").alias("wanted"), F.col("distance").alias("least")).join(
+        found.select("id", "rank", "distance"), ["id", "rank"], "left")
+    hit = exact.join(found.select("id", "neighbor"), ["id", "neighbor"], "left_semi").count()
+    return both.agg(
+        F.count_distinct("id").alias("n_points"), F.count("distance").alias("n_edges"),
+        F.count_if(F.col("distance") < F.col("least")).alias("n_nearer"), (F.lit(hit) >= 0.9 * F.count("*")).alias("recall_reached"))

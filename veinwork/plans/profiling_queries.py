@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veinwork.operators import profiling as P
+from veinwork.operators import quantiles as Q
 from veinwork.operators import sampling
 from veinwork.plans.fixtures import FLAGGED_LINES_SQL, GAPPY_ORDERS_SQL, LINE_FLAGS, LINE_NUMBERS
 from veinwork.plans.fixtures import flagged_lines, gappy_orders
 from veinwork.plans.registry import query
+from veinwork.session import durable
 from veinwork.sources.readers import table
 
 PART_WORDS = ("p_name", "p_brand", "p_type")
@@ -192,3 +194,34 @@ from orders group by 1
 """)
 def five_number_summary(spark, folder):
     return P.five_number_summary(table(spark, folder, "orders"), "o_totalprice", ["o_orderpriority"])
+
+
+@query("""
+select event_type, count(distinct user_id) as n_exact, true as within_bound from events group by 1
+""")
+def distinct_sketch(spark, folder):
+    """Sketches of the users of each day, stored, then merged by kind of event; `within_bound` tells that
+    the estimate is within 3 % of the exact count (or one off)."""
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    sketches = durable(P.distinct_sketches(events, "user_id", ["event_type", "day"]))
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_exact"))
+    gap = F.abs(F.col("n_distinct") - F.col("n_exact"))
+    return P.merged_distinct(sketches, ["event_type"]).join(exact, "event_type").select(
+        "event_type", "n_exact", (gap <= F.greatest(F.lit(1.0), 0.03 * F.col("n_exact"))).alias("within_bound"))
+
+
+@query("""
+select event_type, prob::double as prob, count(value) as n, true as within_bound
+from events, (values (0.01), (0.25), (0.5), (0.9), (0.99)) p(prob) group by 1, 2
+""")
+def quantile_sketch(spark, folder):
+    """Sketches of the values of each day, stored, then merged; `within_bound` tells that the wanted rank
+    lies within 1 % of the rows of the ranks that the value has."""
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    sketches = durable(Q.quantile_sketches(events, "value", ["event_type", "day"]))
+    found = durable(Q.merged_quantiles(sketches, ["event_type"], [0.01, 0.25, 0.5, 0.9, 0.99]))
+    ranks = events.join(found.withColumnRenamed("value", "at"), "event_type").groupBy("event_type", "prob", "n").agg(
+        F.avg((F.col("value") < F.col("at")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("at")).cast("double")).alias("through"))
+    off = F.greatest(F.col("below") - F.col("prob"), F.col("prob") - F.col("through"))
+    return ranks.select("event_type", "prob", "n", (off <= 0.01).alias("within_bound"))

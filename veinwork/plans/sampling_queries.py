@@ -70,3 +70,19 @@ select o_orderkey, o_orderpriority, ((r - 1) % 5)::int as fold from ranked
 def kfold_assign(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
     return S.stratified_folds(orders, ["o_orderpriority"], ["o_orderkey"])
+
+
+@query("""
+with c as (select o_orderpriority, count(*) as n from orders group by 1)
+select o_orderpriority, n, true as within_bound from c
+""")
+def bernoulli_sample(spark, folder):
+    """Rows of each stratum, and whether its sample is within five deviations of its expected size."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    size = 2000
+    drawn = S.bernoulli_sample(orders, "o_orderpriority", size).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("drawn"))
+    whole = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    share = F.least(F.lit(1.0), F.lit(float(size)) / whole.count() / F.col("n"))
+    off = F.abs(F.coalesce("drawn", F.lit(0)) - F.col("n") * share)
+    return whole.join(drawn, "o_orderpriority", "left").select(
+        "o_orderpriority", "n", (off <= 5 * F.sqrt(F.col("n") * share * (1 - share))).alias("within_bound"))

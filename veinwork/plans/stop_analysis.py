@@ -6,7 +6,7 @@ Each takes the typed table (see `veinwork.sources.stops`) and returns named resu
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from veinwork.functions.hashing import DEFAULT_SEED
 from veinwork.operators import (
     association, cleaning, clustering, encoding, outliers, profiling, quantiles, sampling, trees,
 )
+from veinwork.operators.neighbours import nearest_neighbours
 from veinwork.operators.shape import col, columns_by_kind, drop_null, feature_array, project
 from veinwork.session import durable
 
@@ -90,8 +91,8 @@ def classify(
 ) -> dict[str, DataFrame]:
     """Decision tree for the violation type. `keys` name a row uniquely.
 
-    The tree is fitted on a stratified sample of about `fit_rows` of the training rows, and
-    cross-validation works on that sample; accuracy and confusion are of all rows.
+    Trees are fitted on stratified samples of about `fit_rows` of their training rows; accuracy,
+    confusion and the folds of the cross-validation are of all rows.
     """
     numbers = [*CALENDAR, "Latitude", "Longitude", "VehicleAge"]
     chosen = project(stops, [*dict.fromkeys([*keys, *BASES, TARGET, *CLASSIFY_FLAGS, *CATEGORIES])])
@@ -109,7 +110,7 @@ def classify(
     tree = trees.fit_tree(fitted, TARGET, names, seed=seed)
     predicted = parts.withColumn("predicted", tree.predict())
     test = predicted.filter("split = 'test'")
-    folds = trees.cross_validate(fitted, TARGET, names, keys, seed=seed)
+    folds = trees.cross_validate(rows, TARGET, names, keys, seed=seed, fit_rows=fit_rows)
     hit = (col(TARGET) == F.col("predicted")).cast("double")
     return {
         "classes": profiling.class_distribution(parts, TARGET, "split"),
@@ -126,15 +127,14 @@ def classify(
 def cluster(
     stops: DataFrame,
     keys: Sequence[str],
-    fit_rows: int = sampling.SAMPLE_ROWS,
+    judged_rows: int = sampling.SAMPLE_ROWS,
     k: int = clustering.CLUSTERS,
     ks: Sequence[int] = clustering.SWEEP,
     restarts: int = clustering.SWEEP_RESTARTS,
     seed: int = DEFAULT_SEED,
 ) -> dict[str, DataFrame]:
-    """k-means of all rows. The models are fitted, and the numbers of clusters compared, on a
-    stratified sample of about `fit_rows`; clusters, profile, outliers and projection are of
-    every row. `ks` must hold the chosen `k`."""
+    """k-means of all rows, fitted and compared on all of them. Only the exact silhouette of the
+    sweep is taken over a stratified sample of about `judged_rows`. `ks` must hold the chosen `k`."""
     if k not in ks:
         raise ValueError(f"k={k} is not among the swept {list(ks)}")
     numbers = [*CALENDAR, "region", "VehicleAge"]
@@ -153,11 +153,10 @@ def cluster(
     filled = encoding.feature_matrix(coded, ["row"], numbers, CLUSTER_FLAGS, _encoded(CATEGORIES))
     scaled = durable(
         encoding.fit_standard(filled, names).transform(filled).select("row", feature_array(names).alias("features")))
-    sample = sampling.stratified_sample(coded, ["stratum"], ["row"], fit_rows, seed).select("row")
-    sweep, models = clustering.k_sweep(
-        durable(scaled.join(sample, "row")), "row", "features", ks, restarts, seed=seed)
+    sample = sampling.stratified_sample(coded, ["stratum"], ["row"], judged_rows, seed).select("row")
+    sweep, models = clustering.k_sweep(scaled, "row", "features", ks, restarts, seed=seed, judged=sample)
     marked = durable(clustering.centroid_outliers(
-        scaled, "features", models[k].by_id(), rows=scaled.count()))
+        scaled, "features", models[k].by_id()))
     described = marked.drop("features").join(coded, "row")
     projected, ratios = clustering.project(scaled, "row", "features")
     return {
@@ -224,10 +223,13 @@ def screen_outliers(
     k: int = outliers.NEIGHBOURS,
     contamination: float = outliers.CONTAMINATION,
     seed: int = DEFAULT_SEED,
+    neighbours: Callable[..., DataFrame] = nearest_neighbours,
+    only_rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """Two outlier methods over all valid stops. Neighbours come from all of them, or, if the
-    caller gives `fit_rows`, from a stratified sample of about so many. `order` is the total
-    order that decides which row of a repeated stop comes first."""
+    caller gives `fit_rows`, from a stratified sample of about so many; `only_rows` screens a
+    sample of about so many by itself, as the sheet asks for. `order` is the total order that
+    decides which row of a repeated stop comes first. `neighbours` finds the nearest rows."""
     valid, reports = clean_for_outliers(stops, order)
     rows = durable(drop_null(outlier_features(valid)))
     labels = encoding.fit_labels(rows, CATEGORIES)
@@ -236,8 +238,10 @@ def screen_outliers(
     filled = durable(encoding.feature_matrix(coded, ["SeqID"], OUTLIER_NUMBERS, OUTLIER_FLAGS, _encoded(CATEGORIES)))
     scaled = encoding.fit_standard(filled, names).transform(filled)
     vectors = durable(scaled.select("SeqID", "Accident", feature_array(names).alias("features")))
+    if only_rows is not None:
+        vectors = durable(sampling.stratified_sample(vectors, ["Accident"], ["SeqID"], only_rows, seed))
     if fit_rows is None:
-        flags = outliers.screen(vectors, "SeqID", "features", k, contamination)
+        flags = outliers.screen(vectors, "SeqID", "features", k, contamination, neighbours)
     else:
         sample = sampling.stratified_sample(vectors, ["Accident"], ["SeqID"], fit_rows, seed)
         flags = outliers.screen_by_sample(vectors, sample, "SeqID", "features", k, contamination)
@@ -315,7 +319,7 @@ def centroid_screen(
     vectors = durable(hot.select("SeqID", TARGET, feature_array([*OUTLIER_NUMBERS, *added]).alias("features")))
     model = clustering.fit_kmeans(vectors, "features", k, restarts, seed=seed)
     marked = durable(clustering.centroid_outliers(
-        vectors, "features", model.by_id(), share, rows=vectors.count())).drop("features")
+        vectors, "features", model.by_id(), share)).drop("features")
     return {
         **reports,
         "strong_pairs": association.strong_pairs(rows, OUTLIER_NUMBERS),

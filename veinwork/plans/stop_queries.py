@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veinwork.operators.approximate import approximate_neighbours
 from veinwork.operators.sampling import SAMPLE_ROWS
 from veinwork.plans import stop_analysis as S
 from veinwork.plans.registry import query
@@ -25,6 +26,23 @@ _WORDS = {
     "VehicleType": "concat('Type ', l_linenumber)",
     "Gender": "case l_linestatus when 'F' then 'F' else 'M' end",
     "Race": "concat('Group ', l_partkey % 5)",
+    "Description": "concat('Offence ', l_partkey % 211, ' of part ', l_suppkey % 83)",
+    "Search Disposition": "case when l_partkey % 17 = 0 then concat('Found ', l_suppkey % 6) end",
+    "Search Outcome": "case when l_partkey % 17 = 0 then concat('Outcome ', l_suppkey % 4) end",
+    "Search Reason": "case when l_partkey % 17 = 0 then concat('Reason ', l_suppkey % 9) end",
+    "Search Reason For Stop": "case when l_partkey % 17 = 0 then concat('21-', l_partkey % 800) end",
+    "Search Type": "case when l_partkey % 17 = 0 then concat('Type ', l_suppkey % 5) end",
+    "Search Arrest Reason": "case when l_partkey % 34 = 0 then concat('Arrest ', l_suppkey % 7) end",
+    "State": "case l_suppkey % 10 when 0 then 'VA' when 1 then 'DC' else 'MD' end",
+    "Make": "case when l_partkey % 23 <> 0 then concat('Make ', l_suppkey % 60) end",
+    "Model": "case when l_partkey % 19 <> 0 then concat('Model ', l_partkey % 300) end",
+    "Color": "concat('Color ', l_suppkey % 12)",
+    "Charge": "concat('13-', l_partkey % 400, '.', l_suppkey % 3)",
+    "Article": "case when l_linenumber <> 4 then 'Transportation Article' end",
+    "Driver City": "concat('City ', l_suppkey % 97)",
+    "Driver State": "case l_suppkey % 7 when 0 then 'PA' else 'MD' end",
+    "DL State": "case l_suppkey % 8 when 0 then 'WV' else 'MD' end",
+    "Arrest Type": "concat('Kind ', l_linenumber % 3)",
 }
 _FLAGS = {
     "Accident": "l_discount >= 0.09",
@@ -81,7 +99,7 @@ union all select 'median_year', quantile_cont(year, 0.5)::double from s
 union all select 'n_rows', count(*)::double from s
 union all select 'n_columns', {len(_WORDS) + len(_FLAGS) + len(_NUMBERS) + 3}::double
 union all select 'sub_agencies', count(distinct district)::double from s
-union all select 'missing', (5 * count(*) - count(id) - count(accident) - count(contributed) - count(year) - count(district))::double from s
+union all select 'missing', sum({' + '.join(f'(({e}) is null)::int' for e in _WORDS.values())})::double from lineitem
 """)
 def stop_profile(spark, folder):
     typed = stops(spark, folder)
@@ -119,9 +137,26 @@ def stop_clustering(spark, folder):
     return result["profile"]
 
 
+_screenings: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _screening(spark, folder) -> dict[str, DataFrame]:
+    """The screening of a folder, stored once for all queries of an application that read it."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _screenings:
+        _screenings[key] = S.screen_outliers(stops(spark, folder), STOP_ORDER)
+    return _screenings[key]
+
+
 @query()
 def outlier_screening(spark, folder):
-    return S.screen_outliers(stops(spark, folder), STOP_ORDER)["flags"]
+    return _screening(spark, folder)["flags"]
+
+
+@query()
+def outlier_screening_approximate(spark, folder):
+    """The screening with approximate neighbours, in work that is linear in the rows."""
+    return S.screen_outliers(stops(spark, folder), STOP_ORDER, neighbours=approximate_neighbours)["flags"]
 
 
 @query()
@@ -130,17 +165,63 @@ def outlier_screening_sample(spark, folder):
     return S.screen_outliers(stops(spark, folder), STOP_ORDER, fit_rows=SAMPLE_ROWS)["flags"]
 
 
-@query("""
-with keyed as (select *, row_number() over (partition by l_orderkey, l_linenumber
+_VALID_SQL = """
+keyed as (select *, row_number() over (partition by l_orderkey, l_linenumber
     order by concat(l_partkey, ' ', l_suppkey), concat_ws(' ', l_quantity, l_extendedprice, l_discount, l_tax,
       l_returnflag, l_shipdate)) as r from lineitem),
-valid as (select l_orderkey, l_linenumber from keyed where r = 1 and l_partkey % 101 <> 0 and l_partkey % 53 <> 0
+valid as (select * from keyed where r = 1 and l_partkey % 101 <> 0 and l_partkey % 53 <> 0
   and l_partkey % 97 <> 0 and l_shipdate + interval 240 month between timestamp '2015-01-01' and timestamp '2025-12-31')
+"""
+_CODED = {
+    "vehicle": _WORDS["VehicleType"], "district": _WORDS["SubAgency"], "gender": _WORDS["Gender"], "race": _WORDS["Race"],
+    "band": "case when hour < 6 then 'Night' when hour < 12 then 'Morning' when hour < 18 then 'Afternoon' else 'Evening' end",
+}
+_MEASURES = {
+    "lat": "38.9 + l_quantity / 100", "lon": "l_extendedprice / 200000 - 77.3", "hour": "hour", "month": "month(day)",
+    "dow": "isodow(day) - 1", "weekend": "(isodow(day) >= 6)::int", "age": "greatest(0, least(50, 2025 - (1990 + l_suppkey % 36)))",
+    **{f"flag{i}": f"({_FLAGS[n]})::int" for i, n in enumerate(S.OUTLIER_FLAGS)},
+    **{c: f"dense_rank() over (order by {c}_word) - 1" for c in _CODED},
+}
+THOUSAND = 1_000
+
+
+@query(f"""
+with {_VALID_SQL},
+timed as (select *, l_shipdate + interval 240 month as day, ((l_partkey * 37 + l_suppkey * 61) % 86400) // 3600 as hour from valid),
+worded as (select *, concat(l_orderkey, '-', l_linenumber) as id, {_FLAGS['Accident']} as accident,
+  {', '.join(f'{e} as {c}_word' for c, e in _CODED.items())} from timed),
+measured as (select id, accident, {', '.join(f'({e})::double as m_{c}' for c, e in _MEASURES.items())} from worded),
+scaled as (select id, accident, count(*) over () as total, count(*) over (partition by accident) as stratum,
+  row_number() over (partition by accident order by md5(id || '|2025'), id) as place,
+  [{', '.join(f'coalesce((m_{c} - avg(m_{c}) over ()) / nullif(stddev_pop(m_{c}) over (), 0), 0)' for c in _MEASURES)}] as x
+  from measured),
+drawn as (select id, x from scaled where place <= round_even(stratum * least(1, {THOUSAND}::double / total), 0)),
+gaps as (select a.id, b.id as neighbor, sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) as distance
+  from drawn a join drawn b on a.id <> b.id),
+edges as (select * from gaps qualify row_number() over (partition by id order by distance, neighbor) <= 20),
+kd as (select id, max(distance) as k_distance, avg(distance) as score from edges group by 1),
+density as (select e.id, 1.0::double / (avg(greatest(distance, k_distance)) + 1e-10) as lrd
+  from edges e join kd on kd.id = e.neighbor group by 1),
+lof as (select e.id, avg(n.lrd) / any_value(o.lrd) as lof
+  from edges e join density n on n.id = e.neighbor join density o on o.id = e.id group by 1),
+flags as (select id, score, lof, score > (select quantile_cont(score, 0.99) from kd) as a,
+  lof > (select quantile_cont(lof, 0.99) from lof) as b from kd join lof using (id))
+select id as "SeqID", round(score, 6) as distance_score, a as distance_outlier, round(-lof, 6) as lof_score, b as lof_outlier,
+  a and b as common_outlier from flags
+""")
+def outlier_screening_thousand(spark, folder):
+    """The screening of a stratified sample of THOUSAND rows by itself."""
+    flags = S.screen_outliers(stops(spark, folder), STOP_ORDER, only_rows=THOUSAND)["flags"]
+    return flags.withColumns({c: F.round(c, 6) for c in ("distance_score", "lof_score")})
+
+
+@query(f"""
+with {_VALID_SQL}
 select count(*) as n_rows, count(distinct (l_orderkey, l_linenumber)) as n_stops from valid
 """)
 def outlier_screening_rows(spark, folder):
     """Every valid stop has its flags, once."""
-    flags = S.screen_outliers(stops(spark, folder), STOP_ORDER)["flags"]
+    flags = _screening(spark, folder)["flags"]
     return flags.agg(F.count("common_outlier").alias("n_rows"), F.count_distinct("SeqID").alias("n_stops"))
 
 
@@ -152,7 +233,7 @@ def stop_clustering_rows(spark, folder):
 
 @query()
 def outlier_screening_groups(spark, folder):
-    return S.screen_outliers(stops(spark, folder), STOP_ORDER)["comparison"]
+    return _screening(spark, folder)["comparison"]
 
 
 @query("""

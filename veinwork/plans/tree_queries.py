@@ -112,3 +112,26 @@ def feature_importance(spark, folder):
 def tree_rules(spark, folder):
     lines = _labelled_lines(spark, folder)
     return M.rule_table(lines, M.fit_tree(lines, "class", _FEATURES), 3)
+
+
+def _exact_gini_sql(column: str) -> str:
+    return f"select '{column}' as feature, {column}::double as v, l_returnflag as class from lineitem"
+
+
+@query(f"""
+with long as ({' union all '.join(_exact_gini_sql(c) for c in LINE_NUMBERS)}),
+counts as (select feature, v, count(*) as n, count(*) filter (class = 'A') as a, count(*) filter (class = 'N') as b,
+  count(*) filter (class = 'R') as c from long group by 1, 2),
+run as (select feature, v, lead(v) over w as next,
+    sum(n) over w as n, sum(a) over w as a, sum(b) over w as b, sum(c) over w as c,
+    sum(n) over p as tn, sum(a) over p as ta, sum(b) over p as tb, sum(c) over p as tc
+  from counts window w as (partition by feature order by v), p as (partition by feature)),
+scored as (select feature, v, next, n::bigint as n_left, (tn - n)::bigint as n_right,
+    round(((n - (a * a + b * b + c * c) / n::double)
+      + ((tn - n) - (pow(ta - a, 2) + pow(tb - b, 2) + pow(tc - c, 2)) / (tn - n)::double)) / tn::double, 9) as gini
+  from run where next is not null)
+select feature, round((v + next) / 2, 6) as threshold, n_left, n_right, round(gini, 6) as gini from scored
+qualify row_number() over (partition by feature order by gini, v) = 1
+""")
+def gini_split_exact(spark, folder):
+    return M.best_exact_splits(table(spark, folder, "lineitem"), "l_returnflag", LINE_NUMBERS)

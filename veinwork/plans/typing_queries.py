@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from veinwork.functions import parsing
 from veinwork.operators.profiling import non_null_counts, preview, table_shape
 from veinwork.plans.fixtures import DIRTY_EVENTS_SQL, dirty_events
 from veinwork.plans.registry import query
-from veinwork.sources.readers import table
+from veinwork.session import shared_folder
+from veinwork.sources.readers import read_csv_checked, table
 from veinwork.sources.schema import FieldSpec, coerce, coercion_report
 from veinwork.sources.sinks import metrics, metrics_report
 
@@ -121,3 +124,32 @@ union all select 'event_type', 'text', count(event_type), 0 from typed
 """)
 def coercion_report_(spark, folder):
     return coercion_report(dirty_events(spark, folder), EVENT_FIELDS)
+
+
+LINE_FIELDS = (
+    FieldSpec("order", "whole"), FieldSpec("line", "whole"), FieldSpec("quantity", "double"), FieldSpec("note", "text"))
+
+
+@query("""
+with made as (select *, case when l_partkey % 97 = 0 then 'long' when l_suppkey % 41 = 0 then 'short' else 'good' end as kind
+  from lineitem)
+select count(*) as n_lines, count(*) filter (kind = 'good') as n_good, count(*) filter (kind = 'short') as n_short,
+  count(*) filter (kind = 'long') as n_long, round(sum(l_quantity) filter (kind = 'good'), 6) as quantity,
+  count(distinct l_orderkey) filter (kind = 'good') as n_orders,
+  count(*) filter (kind = 'good' and l_returnflag = 'A') as n_quoted from made
+""")
+def csv_line_report(spark, folder):
+    """Line items written out as text, some lines with a field too many or too few, and read back."""
+    whole = F.concat_ws(
+        ",", "l_orderkey", "l_linenumber", "l_quantity", F.when(F.col("l_returnflag") == "A", '"a, ""quoted"" note"').otherwise("plain"))
+    line = F.when(F.expr("l_partkey % 97 = 0"), F.concat(whole, F.lit(",more"))).when(
+        F.expr("l_suppkey % 41 = 0"), F.concat_ws(",", "l_orderkey", "l_linenumber")).otherwise(whole)
+    path = f"{shared_folder(spark)}/lines-{uuid4().hex}"
+    table(spark, folder, "lineitem").select(line.alias("value")).write.text(path)
+    rows, bad = read_csv_checked(spark, path, LINE_FIELDS)
+    kind = F.when(F.col("fields") < len(LINE_FIELDS), "short").otherwise("long")
+    lines = rows.withColumn("kind", F.lit("good")).unionByName(bad.select(kind.alias("kind")), allowMissingColumns=True)
+    return lines.agg(
+        F.count(F.lit(1)).alias("n_lines"), *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in ("good", "short", "long")],
+        F.round(F.sum("quantity"), 6).alias("quantity"), F.count_distinct("order").alias("n_orders"),
+        F.count_if(F.col("note") == 'a, "quoted" note').alias("n_quoted"))
