@@ -25,7 +25,7 @@ HEADLINE = (
     "standard_scale", "association_rules", "correlation_matrix", "cramers_v", "gini_split",
     "tree_fit_predict", "tree_cross_validation", "kmeans_fit", "geo_regions", "silhouette",
     "davies_bouldin", "centroid_outliers", "cluster_profile", "knn", "lof_outliers",
-    "outlier_consensus", "outlier_screening",
+    "outlier_consensus", "outlier_screening", "outlier_screening_sample", "outlier_screening_approximate",
 )
 
 

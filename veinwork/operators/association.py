@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veinwork.operators.shape import col, rows_from
-from veinwork.session import durable, small_side
+from veinwork.session import durable
 
 STRONG_CORRELATION = 0.8
 
@@ -142,7 +142,7 @@ def cramers_v(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
         .filter("value is not null")
         .groupBy("column", "value", "class").agg(F.count(F.lit(1)).alias("n"))
     )
-    classes = small_side(cells.groupBy("column", "class").agg(F.sum("n").alias("n_class")))
+    classes = durable(cells.groupBy("column", "class").agg(F.sum("n").alias("n_class")))
     per_value = (
         cells.join(classes, ["column", "class"])
         .groupBy("column", "value")

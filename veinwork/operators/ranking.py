@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veinwork.functions.hashing import DEFAULT_SEED, hash_key
 from veinwork.operators.shape import col
-from veinwork.session import small_side
+from veinwork.session import durable
 
 _BUCKET_ROWS = 1_000_000
 _MAX_DIGITS = 8
@@ -71,7 +71,7 @@ def stratum_cuts(
         *[col(b) for b in by], F.substring("_hash", 1, _digits(rows)).alias("_bucket"), _order(keys).alias("_at")
     )
     ranks = [q.cast("long") for q in quotas(F.col("_total"))]
-    hits = small_side(
+    hits = durable(
         _spans(hashed, by)
         .select(
             *[col(b) for b in by], "_bucket", "_n", "_before",
@@ -107,7 +107,7 @@ def label_by_cuts(
 ) -> DataFrame:
     """Label each row by the first cut it does not exceed. Row-wise, no shuffle of the rows
     as long as the strata are few enough to broadcast."""
-    cuts = small_side(cuts)
+    cuts = durable(cuts)
     at = F.struct(hash_key(keys, seed).alias("_hash"), *[col(k) for k in keys])
     left = df.withColumn("_at", at)
     chain = F

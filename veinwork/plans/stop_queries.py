@@ -140,6 +140,19 @@ def stop_clustering(spark, folder):
 _screenings: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
+_preparations: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _preparation(spark, folder) -> dict[str, DataFrame]:
+    """The prepared tables of a folder, stored once for all queries of an application that read them."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _preparations:
+        # The charge names the line item, so that only equal line items are duplicates.
+        typed = stops(spark, folder).withColumn("Charge", F.concat_ws(" ", "SeqID", "Geolocation"))
+        _preparations[key] = S.prepare(typed)
+    return _preparations[key]
+
+
 def _screening(spark, folder) -> dict[str, DataFrame]:
     """The screening of a folder, stored once for all queries of an application that read it."""
     key = (spark.sparkContext.applicationId, folder)
@@ -246,9 +259,65 @@ union all select accident, 'validation', validation::bigint from p
 union all select accident, 'train', (n - test - validation)::bigint from p
 """)
 def stop_preparation(spark, folder):
-    # The charge names the line item, so that only equal line items are duplicates.
-    typed = stops(spark, folder).withColumn("Charge", F.concat_ws(" ", "SeqID", "Geolocation"))
-    return S.prepare(typed)["distribution"]
+    return _preparation(spark, folder)["distribution"]
+
+
+_DISTINCT_SQL = """
+items as (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+  l_returnflag, l_linestatus, l_shipdate from lineitem)
+"""
+
+
+@query(f"""
+with gaps as (select count(*) as n, count(*) filter (({_WORDS['Make']}) is null) as make,
+  count(*) filter (({_WORDS['Search Outcome']}) is null) as outcome from lineitem)
+select 'Make' as "column", 'filled with ''Unknown''' as action, make as missing, round(make * 100.0::double / n, 6) as missing_pct from gaps
+union all select 'Search Outcome', 'dropped', outcome, round(outcome * 100.0::double / n, 6) from gaps
+""")
+def stop_imputation(spark, folder):
+    return _preparation(spark, folder)["imputation"]
+
+
+@query(f"""
+with {_DISTINCT_SQL},
+timed as (select *, l_shipdate + interval 240 month as day, case when l_partkey % 53 = 0 then 50 else greatest(0, least(50, 35 - l_suppkey % 36)) end as age,
+  case when l_partkey % 97 = 0 then 25 else ((l_partkey * 37 + l_suppkey * 61) % 86400) // 3600 end as hour from items)
+select case when month(day) in (12, 1, 2) then 'Winter' when month(day) <= 5 then 'Spring' when month(day) <= 8 then 'Summer' else 'Fall' end as "Season",
+  dayname(day) as "WeekdayName", case when age <= 3 then 'New' when age <= 7 then 'Recent' when age <= 15 then 'Middle' else 'Old' end as "VehicleAgeBand",
+  case when hour >= 5 and hour < 12 then 'Morning' when hour >= 12 and hour < 17 then 'Afternoon'
+    when hour >= 17 and hour < 22 then 'Evening' else 'Night' end as "TimeOfDay", count(*) as n, sum(hour)::bigint as hours
+from timed group by all
+""")
+def stop_constructed(spark, folder):
+    built = _preparation(spark, folder)["constructed"]
+    return built.groupBy("Season", "WeekdayName", "VehicleAgeBand", "TimeOfDay").agg(F.count(F.lit(1)).alias("n"), F.sum("Hour").alias("hours"))
+
+
+_SUMMED = ("Make", "Color", "Race", "Gender", "State", "Driver State", "VehicleType", "Violation Type")
+
+
+@query(f"with {_DISTINCT_SQL} " + " union all ".join(
+    f"""select '{c}' as "column", count(*) as n, sum(code)::bigint as codes from (select dense_rank() over (order by word) - 1 as code
+    from (select coalesce({_WORDS[c]}, 'Unknown') as word from items))""" for c in _SUMMED))
+def stop_encoded(spark, folder):
+    """Rows and the sum of the codes of encoded columns, whose values all occur among the training rows."""
+    coded = _preparation(spark, folder)["encoded"]
+    one = coded.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"`{c}_encoded`").alias(f"s{i}") for i, c in enumerate(_SUMMED)])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("n"), F.col(f"s{i}").alias("codes")) for i, c in enumerate(_SUMMED)])))
+
+
+@query("""
+with c as (select l_discount >= 0.09 as accident, count(distinct (l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)) as n from lineitem group by 1),
+q as (select *, round_even(n * 0.2::double, 0) as test from c),
+p as (select *, round_even((n - test) * 0.25::double, 0) as validation from q)
+select 'test' as split, 'Charge' as "column", sum(test)::bigint as replaced from p
+union all select 'validation', 'Charge', sum(validation)::bigint from p
+""")
+def stop_unseen(spark, folder):
+    """Every charge names its item, so none of the test and validation rows was seen in training."""
+    return _preparation(spark, folder)["replaced"].filter("replaced > 0 and column = 'Charge'")
 
 
 @query()

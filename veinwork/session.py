@@ -6,10 +6,6 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A fitted table of at most this many rows is broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 20_000
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -53,7 +49,9 @@ def durable(df: DataFrame) -> DataFrame:
     """Write a result out once as a table in the shared folder and go on from there.
 
     For results that several later steps read: they scan columns of a file instead of
-    recomputing, and the files outlive a lost executor, which a cached copy would not.
+    recomputing, and the files outlive a lost executor, which a cached copy would not. Also for
+    fitted tables that rows are joined with: Spark knows the bytes of a stored table, and
+    broadcasts it below its threshold only.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
     df.write.parquet(path)
@@ -68,15 +66,3 @@ def discard(*tables: DataFrame) -> None:
         hadoop = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
         path = hadoop.Path(table.stored_at)
         path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a fitted table, but only after checking that it is small.
-
-    A table over `limit` rows comes back without a hint, for an ordinary shuffle join
-    (which adaptive execution splits when a key is hot).
-    """
-    head = df.take(limit + 1)
-    if len(head) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
