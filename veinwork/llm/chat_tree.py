@@ -9,8 +9,10 @@ depth first. Every distinct prefix is a node of a tree; its last turn is written
 first conversation below it stands. The output is one stream of pieces, a piece for each node:
 its place in the stream, the position of its first code point in its conversation (positions
 restart where branches part), the span under the loss mask, and the stream intervals of its
-ancestors, which its tokens attend to besides earlier tokens of the piece. `leaves` give for
-each conversation the intervals that spell it.
+ancestors, which its tokens attend to besides earlier tokens of the piece. Ancestors that follow
+each other in the stream are one interval: those that a conversation writes itself make one run,
+so a piece has at most one interval more than the part of its path that others wrote has runs.
+`leaves` give for each conversation the intervals that spell it.
 
 No tree is held by one task: nodes are aggregated by prefix hash, the sorted order is dealt in
 ranges whatever the trees, and places are running sums inside a range plus the totals of the
@@ -66,7 +68,7 @@ def build(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", ro
     """(pieces, leaves).
 
     pieces: start, end (in the stream), position, depth, loss_start, loss_end (null outside the
-    loss role), ancestors (array of start, end), piece. leaves: the key, intervals (array of
+    loss role), ancestors (array of start, end, merged), piece. leaves: the key, intervals (array of
     start, end). Both are stored tables.
     """
     one = F.struct(F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"),
@@ -100,19 +102,34 @@ def build(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", ro
         .agg(F.sort_array(F.collect_list(F.struct("depth", "start", "end"))).alias("found"))
         .select("sequence", F.transform("found", lambda x: F.struct(x["start"], x["end"])).alias("intervals"))
     )
-    pieces = placed.join(leaves.withColumnRenamed("sequence", "owner"), "owner").select(
+    # What a conversation writes itself is one run of the stream, from `first` on; `base` spells the rest.
+    written = placed.groupBy("owner").agg(F.min("depth").alias("own"), F.min("start").alias("first"))
+    bases = written.join(leaves.withColumnRenamed("sequence", "owner"), "owner").select(
+        "owner", "own", "first", _merged(F.slice("intervals", F.lit(1), F.col("own"))).alias("base"))
+    base, last = F.col("base"), F.element_at("base", -1)
+    run = F.struct(F.col("first").alias("start"), F.col("start").alias("end"))
+    grown = F.struct(last["start"].alias("start"), F.col("start").alias("end"))
+    joined = F.when((F.size(base) > 0) & (last["end"] == F.col("first")), F.concat(F.slice(base, F.lit(1), F.size(base) - 1), F.array(grown)))
+    pieces = placed.join(durable(bases), "owner").select(
         "start", "end",
-        F.aggregate(F.slice("intervals", 1, F.col("depth")), F.lit(0).cast("long"),
-                    lambda total, x: total + x["end"] - x["start"]).alias("position"),
+        (F.aggregate(base, F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"]) + F.col("start") - F.col("first")).alias("position"),
         "depth",
         (F.col("start") + F.col("skip")).alias("loss_start"),
         (F.col("start") + F.col("skip") + F.col("body")).alias("loss_end"),
-        F.slice("intervals", 1, F.col("depth")).alias("ancestors"), "piece",
+        F.when(F.col("depth") == F.col("own"), base).otherwise(F.coalesce(joined, F.concat(base, F.array(run)))).alias("ancestors"), "piece",
     )
     keyed = ordered.select("sequence", F.col("__key").alias(key)).join(leaves, "sequence").select(key, "intervals")
     return durable(pieces), keyed
 
 
+def _merged(intervals: Column) -> Column:
+    """Intervals in order, those that touch made one."""
+    count = F.size(intervals)
+    begins = F.filter(intervals, lambda x, i: (i == 0) | (x["start"] != F.get(intervals, i - 1)["end"]))
+    ends = F.filter(intervals, lambda x, i: (i == count - 1) | (x["end"] != F.get(intervals, i + 1)["start"]))
+    return F.zip_with(begins, ends, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+
+
 def _placed(nodes: DataFrame) -> DataFrame:
     """Nodes with start and end: running lengths in depth-first order."""
     part = F.shiftright("owner", 33)
