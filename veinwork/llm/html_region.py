@@ -6,7 +6,8 @@ their article (`article` or `main` elements), which label themselves. One linear
 contiguous run with the largest sum. The outermost article that holds the run, or else the run
 extended to whole blocks, is the content region; elements in it that are no part of an article
 (menus, adverts, forms, notices, reader comments and the like, by tag, role or class) are left
-out.
+out. So is what is hidden, and every kind of element is judged, down to a line of a list or a span
+of text.
 
 A role or class, or being a form, leaves out no wrapper of the content: no element that holds
 `main`, most words of the page's articles, or most words of what it stands in (its article, or
@@ -45,18 +46,22 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
-# Elements that nest and have an end tag; others only cut blocks or are part of a line.
+# Elements that build the page: only their own end tags, or those of elements around them, close them.
 NESTING = frozenset(
     "html head body article main section div nav aside header footer form ul ol dl table figure dialog menu button select "
     "blockquote fieldset details".split()
 )
+# Elements without content, and those whose start ends an open one of the same list or table.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"),
+        "tbody": ("td", "th", "tr"), "option": ("option",)}
 INLINE_LINK = "a"
 # Words in class, id or role that mark what is no part of an article.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent "
-    "contentinfo cookie cookies discussion disqus footer gdpr menu modal nav navbar navigation newsletter notice notices "
-    "notification paywall popup promo promoted recommended related replies responses share sharing sidebar signup skip social "
-    "sponsor sponsored subscribe toolbar widget".split()
+    "ad ads advert advertorial adverts advertisement advertising banner bio breadcrumb breadcrumbs comment comments complementary "
+    "consent contentinfo cookie cookies cta discussion disqus footer gdpr menu modal nav navbar navigation newsletter notice "
+    "notices notification pager pagination paywall poll popup promo promoted recommended related replies responses share sharing "
+    "sidebar signup skip social sponsor sponsored subscribe tags toolbar widget".split()
 )
 # Marks of what readers write; and the share of words, in tenths, above which an element is a wrapper.
 READERS = frozenset("comment comments discussion disqus replies responses".split())
@@ -70,27 +75,38 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+HIDDEN = re.compile(
+    r"(?:^|\s)(?:hidden(?=[\s=/]|\Z)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"']?[^\"']*(?:display\s*:\s*none|visibility\s*:\s*hidden))", re.I)
 PART = re.compile(r"[a-z]+")
+WHOLE = frozenset("html body article main".split())  # never left out by an attribute
 LEAST_WORD, LEAST_TAG = 0.25, 0.5  # bounds that keep words positive and tags negative
 MOST = 12.0
 
 
 class Element:
-    __slots__ = ("name", "parent", "out", "marks", "article", "first", "last")
+    __slots__ = ("name", "parent", "out", "marks", "article", "first", "last", "frame", "open")
 
     def __init__(self, name: str, parent: Element | None, attributes: str, first: int):
         self.name, self.parent, self.first, self.last = name, parent, first, -1
         inside = bool(parent and parent.article)
         self.out = bool(parent and parent.out) or name in LEFT_OUT or name == "header" and not inside
+        if name not in WHOLE and attributes and not self.out and HIDDEN.search(attributes):
+            self.out = True
         self.marks = _marks(name, attributes)
         # The outermost article or main element that this one is in, or is.
         self.article = parent.article if inside else self if name in ARTICLES else None
+        # The nearest element that builds the page, and how many of its open elements have each name.
+        nests = parent is None or name in NESTING
+        self.frame = self if nests else parent.frame
+        self.open = Counter() if nests else None
+        if not nests:
+            self.frame.open[name] += 1
 
 
 def _marks(name: str, attributes: str) -> set[str]:
     """What marks an element as no part of an article: words of class, id and role, or being a form."""
     found = {"form"} if name == "form" else set()
-    if name not in ("html", "body", "article", "main") and "=" in attributes:
+    if name not in WHOLE and "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
             found |= MARKS.intersection(PART.findall(m.group(1).lower()))
     return found
@@ -110,6 +126,7 @@ class Page:
         self.breaks: list[bool] = []
         here = root = Element("", None, "", 0)
         self.elements = [root]
+        nested: Counter = Counter()  # open elements that build the page, by name
         link, at = False, 0
         while True:
             m = TOKEN.match(html, at)
@@ -131,18 +148,23 @@ class Page:
                 continue
             if name == INLINE_LINK:
                 link = not closing
-            if name in NESTING and not closing:
+            if not closing and name not in VOID:
+                for ended in ("p",) if name in BLOCKS else ():
+                    here = self._ended(here, ended)
+                for ended in ENDS.get(name, ()):
+                    here = self._ended(here, ended)
                 here = Element(name, here, m.group(3), len(self.features))
                 self.elements.append(here)
+                nested[name] += name in NESTING
             self._add(("/" if closing else "") + name, None, here, name in BLOCKS)
-            if name in NESTING and closing:
-                above = here
-                while above is not root and above.name != name:
-                    above = above.parent
-                if above is not root:
-                    while here is not above.parent:
-                        here.last = len(self.features)
-                        here = here.parent
+            if closing and name in NESTING and nested[name]:
+                while True:
+                    here.last, gone, here = len(self.features), here.name, here.parent
+                    nested[gone] -= gone in NESTING
+                    if gone == name:
+                        break
+            elif closing and name not in NESTING:
+                here = self._ended(here, name)
         for one in self.elements:
             if one.last < 0:
                 one.last = len(self.features)
@@ -151,6 +173,17 @@ class Page:
             if any((mark in READERS) == readers for one in self.elements for mark in one.marks):
                 self._judge(readers)
 
+    def _ended(self, here: Element, name: str) -> Element:
+        """Close the innermost open element of this name in the frame, if there is one, and all in it."""
+        frame = here.frame
+        if not frame.open[name]:
+            return here
+        while True:
+            here.last, gone, here = len(self.features), here.name, here.parent
+            frame.open[gone] -= 1
+            if gone == name:
+                return here
+
     def _judge(self, readers: bool) -> None:
         """Leave out the elements whose marks, of READERS or the others, hold, and all that is in them."""
         total = [0]  # words before each place that are not left out so far
@@ -167,18 +200,21 @@ class Page:
         above: dict[Element, frozenset[str]] = {root: frozenset()}  # marks of an element and of those around it
         together: Counter = Counter()
         for e in self.elements[1:]:
+            around = above[e.parent] if e.parent.article is e.article else frozenset()
+            if not e.marks:
+                above[e] = around
+                continue
             base, held = e.article or root, set()
             for mark in (m for m in e.marks if (m in READERS) == readers):
                 wraps = not e.article and (words(e, mains) > 0 or _most(words(e, inside), inside[-1], mark))
                 if not wraps and not _most(words(e), words(base), mark):
                     held.add(mark)
-            around = above[e.parent] if e.parent.article is e.article else frozenset()
             for mark in held - around:
                 together[base, mark] += words(e)
             holding[e], above[e] = held, around | held
         for e in self.elements[1:]:
             base = e.article or root
-            e.out = e.out or e.parent.out or any(not _most(together[base, m], words(base), m) for m in holding[e])
+            e.out = e.out or e.parent.out or any(not _most(together[base, m], words(base), m) for m in holding.get(e, ()))
 
     def _add(self, feature: str, text: str | None, owner: Element, breaks: bool) -> None:
         self.features.append(feature)
