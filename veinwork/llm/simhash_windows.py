@@ -3,17 +3,18 @@
 An item is a sequence of words (A-Z lower-cased); its features are its five-word shingles with
 the number of times they occur, and its fingerprint is the 64-bit SimHash of those weighted
 shingles. Every window of a document that is as long as an item is fingerprinted the same way,
-from running sums over the document's shingles. Fingerprints are cut into BLOCKS blocks; an item
-is listed under every value within RADIUS // BLOCKS bits of its own in each block, so two
-fingerprints within RADIUS meet in at least one block (of 19 differing bits spread over four
-blocks, one block has at most four). Windows that meet an item within RADIUS are candidates, and
-the weighted Jaccard similarity of the shingle counts decides exactly: at least `similarity`.
+from running sums over the document's shingles. Fingerprints are cut into BLOCKS blocks; two of
+them within RADIUS differ in at most RADIUS // BLOCKS bits of at least one block (of 19 differing
+bits spread over four blocks, one block has at most four), so windows and items that are farther
+apart in every block are ruled out. Those left within RADIUS are candidates, and the weighted
+Jaccard similarity of the shingle counts decides exactly: at least `similarity`.
 
-Windows that hold none of the items' shingles have similarity 0, so they are not fingerprinted;
-which sizes a stretch needs is that of the items whose shingles it holds.
+Windows that hold none of the items' shingles have similarity 0, so they are not fingerprinted; a
+stretch is compared with the items whose shingles it holds, in windows of their sizes.
 
-Items are the stated query set: they go to the tasks in blocks of bounded size, each block
-against all documents, so the set of items may be of any size. Documents are not shuffled.
+Items are the stated query set. Their shingles, counts and fingerprints are laid out as sorted
+arrays of under a kilobyte an item, ITEMS_AT_ONCE of them at a time, and every executor gets them
+once; larger sets go over the documents in several passes. Documents are not shuffled.
 
 Null and empty texts match nothing, nor do items without words. An item or document of fewer
 than five words has one shingle, all its words. Repeated documents and items are each reported.
@@ -37,12 +38,14 @@ SIMILARITY = 0.8
 RADIUS = 19
 BLOCKS = 4
 WIDTH = 64 // BLOCKS
-# Items whose tables a task holds at once, and the characters in them (one longer item is a
+# Items whose arrays a task holds at once, and the characters in them (one longer item is a
 # block of its own).
-ITEMS_AT_ONCE = 512
-CHARS_AT_ONCE = 2_000_000
-# Windows fingerprinted together, and the gap at which sums start anew.
+ITEMS_AT_ONCE = 100_000
+CHARS_AT_ONCE = 32_000_000
+# Windows fingerprinted together, pairs of windows and items compared together, and the gap at
+# which sums start anew.
 WINDOWS_AT_ONCE = 20_000
+PAIRS_AT_ONCE = 1_000_000
 GAP = 64
 
 
@@ -65,56 +68,42 @@ def fingerprints(shingles: np.ndarray, starts: np.ndarray, count: int) -> np.nda
     return np.packbits(bits, axis=1).view(np.uint64).reshape(-1)
 
 
-def _near_values() -> np.ndarray:
-    """All WIDTH-bit masks with at most RADIUS // BLOCKS bits set."""
-    masks = np.arange(1 << WIDTH)
-    return masks[np.bitwise_count(masks) <= RADIUS // BLOCKS]
-
-
 class ItemTables:
-    """What one block of items needs: shingles, fingerprints, and the block lists."""
+    """What one block of items needs, as flat arrays: shingles and whose they are, counts, fingerprints."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.names = [name for name, _ in items]
         self.words = np.array([len(w) for _, w in items])
-        self.shingles = [shingle_hashes(w, SHINGLE) for _, w in items]
-        self.count = np.array([len(s) for s in self.shingles])
-        self.weights = [np.unique(s, return_counts=True) for s in self.shingles]
-        self.prints = np.array([fingerprints(s, np.array([0]), len(s))[0] for s in self.shingles], dtype=np.uint64)
-        flat = np.concatenate(self.shingles)
-        owner = np.repeat(np.arange(len(items)), self.count)
+        shingles = [shingle_hashes(w, SHINGLE) for _, w in items]
+        self.count = np.array([len(s) for s in shingles])
+        self.prints = np.array([fingerprints(s, np.array([0]), len(s))[0] for s in shingles], dtype=np.uint64)
+        flat = np.concatenate(shingles)
+        owner = np.repeat(np.arange(len(items), dtype=np.int32), self.count)
+        # Each item's distinct shingles in order, with their counts: from ends[i] to ends[i + 1].
+        order = np.lexsort((flat, owner))
+        fresh = np.flatnonzero((np.diff(owner[order], prepend=-1) != 0) | (np.diff(flat[order], prepend=flat[order][:1] + np.uint64(1)) != 0))
+        self.distinct, self.weight = flat[order][fresh], np.diff(np.append(fresh, len(flat))).astype(np.int32)
+        self.ends = np.searchsorted(owner[order][fresh], np.arange(len(items) + 1))
         order = np.argsort(flat, kind="stable")
         self.flat, self.owner = flat[order], owner[order]
-        masks = _near_values()
-        self.lists = []
-        for block in range(BLOCKS):
-            value = (self.prints >> np.uint64(WIDTH * block)).astype(np.int64) & ((1 << WIDTH) - 1)
-            entries = (value[:, None] ^ masks[None, :]).ravel()
-            holder = np.repeat(np.arange(len(items), dtype=np.int32), len(masks))
-            order = np.argsort(entries, kind="stable")
-            begin = np.searchsorted(entries[order], np.arange((1 << WIDTH) + 1)).astype(np.int64)
-            self.lists.append((begin, holder[order]))
 
     def near(self, prints: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """(window, item) pairs within RADIUS among the items of `wanted` (a mask), as an array."""
+        items = np.flatnonzero(wanted)
         found = []
-        for block, (begin, holder) in enumerate(self.lists):
-            value = (prints >> np.uint64(WIDTH * block)).astype(np.int64) & ((1 << WIDTH) - 1)
-            length = begin[value + 1] - begin[value]
-            window = np.repeat(np.arange(len(prints)), length)
-            inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-            item = holder[begin[value][window] + inner]
-            good = wanted[item]
-            window, item = window[good], item[good]
-            good = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
-            found.append(window[good] * np.int64(len(self.names)) + item[good])
-        pairs = np.unique(np.concatenate(found))
-        return np.stack([pairs // len(self.names), pairs % len(self.names)], axis=1)
+        step = max(1, PAIRS_AT_ONCE // max(len(items), 1))
+        for start in range(0, len(prints), step):
+            apart = prints[start : start + step, None] ^ self.prints[items][None, :]
+            blocks = [np.bitwise_count(apart >> np.uint64(WIDTH * b) & np.uint64((1 << WIDTH) - 1)) for b in range(BLOCKS)]
+            window, item = np.nonzero(np.minimum.reduce(blocks) <= RADIUS // BLOCKS)
+            good = np.bitwise_count(apart[window, item]) <= RADIUS
+            found.append(np.stack([window[good] + start, items[item[good]]], axis=1))
+        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
     def similarity(self, shingles: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of a window's shingle counts with an item's."""
         mine, counts = np.unique(shingles, return_counts=True)
-        theirs, weights = self.weights[item]
+        theirs, weights = (x[self.ends[item] : self.ends[item + 1]] for x in (self.distinct, self.weight))
         at = np.searchsorted(theirs, mine)
         at[at == len(theirs)] = 0
         both = np.minimum(counts, weights[at])[theirs[at] == mine].sum()
@@ -194,7 +183,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     schema = f"__key {kind}, __item {item_kind}, first_word long, n_words long, similarity double"
     out = None
     for part in item_blocks(items, item_key, item_text):
-        found = arrow_map(rows, _matcher(spark.sparkContext.broadcast(part), similarity), schema)
+        found = arrow_map(rows, _matcher(spark.sparkContext.broadcast(item_arrays(part)), similarity), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = spark.createDataFrame([], schema)
@@ -208,25 +197,31 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = f"c{names.index(text)}"
     for part in item_blocks(items, item_key, item_text):
-        plain = arrow_map(plain, _cleaner(docs.sparkSession.sparkContext.broadcast(part), at, similarity), ddl(plain))
+        plain = arrow_map(plain, _cleaner(docs.sparkSession.sparkContext.broadcast(item_arrays(part)), at, similarity), ddl(plain))
     return plain.toDF(*names)
 
 
-def _tables(shared, held: list) -> tuple[WordHashes, ItemTables | None]:
-    """The tables of a block of items, built once in a task."""
-    if not held:
-        known = WordHashes()
-        items = [(name, words_of(text, known)) for name, text in shared.value]
-        items = [(name, words) for name, words in items if len(words)]
-        held.append((known, ItemTables(items) if items else None))
-    return held[0]
+def item_arrays(block: list[tuple[int, str]]) -> dict | None:
+    """The fields of the tables of a block of items; tasks get them as they are."""
+    known = WordHashes()
+    items = [(name, words_of(text, known)) for name, text in block]
+    items = [(name, words) for name, words in items if len(words)]
+    return vars(ItemTables(items)) if items else None
+
+
+def _tables(arrays: dict | None) -> ItemTables | None:
+    if arrays is None:
+        return None
+    tables = ItemTables.__new__(ItemTables)
+    vars(tables).update(arrays)
+    return tables
 
 
 def _cleaner(shared, at: str, similarity: float):
-    held: list = []
+    known = WordHashes()
 
     def block(columns: dict) -> dict:
-        known, tables = _tables(shared, held)
+        tables = _tables(shared.value)
         clean = pa.array([
             tables is None or next(tables.matches(words_of(text, known), similarity), None) is None
             for text in columns[at].to_pylist()
@@ -237,10 +232,10 @@ def _cleaner(shared, at: str, similarity: float):
 
 
 def _matcher(shared, similarity: float):
-    held: list = []
+    known = WordHashes()
 
     def block(columns: dict) -> dict | None:
-        known, tables = _tables(shared, held)
+        tables = _tables(shared.value)
         out = {"__key": [], "__item": [], "first_word": [], "n_words": [], "similarity": []}
         keys = columns["__key"].to_pylist()
         for key, text in zip(keys, columns["__text"].to_pylist(), strict=True):
