@@ -10,9 +10,12 @@ The number of a query's tokens in a group's union bounds its overlap with every
 2. members are compared with their group's head, and heads of qualifying groups with each other;
 3. where that leaves open whether two groups connect, or a member is not linked to its head,
    the bound is taken for the single query, and only groups that it cannot rule out are opened:
-   the query is compared with the head, then with those members of other components that the
-   head's intersections with both do not exclude; if it is linked to the head, only with members
-   that are not.
+   the query is compared with the head. Members and queries that are not linked to it are then
+   compared with one member each that shares what many of them share and the head lacks, so
+   that copies of another original come together in linear work;
+4. at last with those members of other components that the head's intersections with both do not
+   exclude; if the query is linked to the head, only with members that are not. How much two sets
+   must share outside the head bounds how many of the rarest such tokens need be looked at.
 
 Comparisons are exact: intersection and union of the whole sets. Pairs that are already in one
 component are not compared, since they cannot change it; no link between different components
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from veinwork.llm.common import WordHashes, arrow_map, hash_words, mixed, shingle_hashes
 from veinwork.llm.components import components
-from veinwork.session import durable
+from veinwork.session import discard, durable
 
 # Sampling of documents for token counts (one in SAMPLE), and how many frequent tokens count.
 SAMPLE = 20
@@ -91,20 +94,40 @@ def _sizes_fit(one: str, other: str, percent: int) -> Column:
     return F.col(one) * percent <= F.col(other) * 100
 
 
-def index_tokens(tokens: np.ndarray, percent: int, frequent: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The first tokens of a set in the global order: rare ones by hash, then frequent ones, rarest first.
+def in_order(tokens: np.ndarray, frequent: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Tokens in the global order: rare ones by hash, then frequent ones, rarest first.
 
     `frequent` holds the frequent tokens in ascending order, `place` where each comes (from 1).
     """
     few = short(tokens)
-    size = len(few)
-    count = min(size, size - -(-percent * size // 100) + needed(size))
-    rank = np.zeros(size, dtype=np.int64)
+    rank = np.zeros(len(few), dtype=np.int64)
     if len(frequent):
         at = np.searchsorted(frequent, few)
         at[at == len(frequent)] = 0
         rank = np.where(frequent[at] == few, place[at], 0)
-    return np.unique(few[np.lexsort((few, rank))[:count]])
+    return tokens[np.lexsort((tokens, few, rank))]
+
+
+def at_least(size: int, percent: int) -> int:
+    """What a set of this size must share with any set that is similar enough."""
+    return -(-percent * size // 100)
+
+
+def index_tokens(tokens: np.ndarray, percent: int, frequent: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The first tokens of a set in the global order, in short."""
+    size = len(tokens)
+    count = min(size, size - at_least(size, percent) + needed(size))
+    return np.unique(short(in_order(tokens, frequent, place)[:count]))
+
+
+def telling(outside: np.ndarray, size: int, both: int, percent: int, frequent: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The tokens by which a set finds its partners in a group, of those that the head lacks.
+
+    A partner shares at most `both` tokens that the head has too, so at least r of the others, and
+    the first that they share is among the first len - r + 1 of either in the global order.
+    """
+    r = max(1, at_least(size, percent) - both)
+    return in_order(outside, frequent, place)[: max(0, len(outside) - r + 1)]
 
 
 def _enough(overlap: str, one: str, other: str, percent: int) -> Column:
@@ -127,9 +150,9 @@ def _alike(pairs: DataFrame, percent: int) -> DataFrame:
     return arrow_map(pairs.select("a", "b", "one", "two"), block, "a long, b long")
 
 
-def _against_heads(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For (class, g, head): n, both (size of the intersection with the head), linked, and the tokens
-    that the head lacks; a stored table."""
+def _against_heads(pairs: DataFrame, sets: DataFrame, percent: int, shared) -> DataFrame:
+    """For (class, g, head): n, both (size of the intersection with the head), linked, and the telling
+    tokens that the head lacks; a stored table."""
 
     def block(columns: dict) -> dict:
         out: dict = {"class": columns["class"], "g": columns["g"], "n": [], "both": [], "linked": [], "outside": []}
@@ -140,7 +163,7 @@ def _against_heads(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             out["n"].append(len(x))
             out["both"].append(both)
             out["linked"].append(100 * both >= percent * (len(y) + len(outside)))
-            out["outside"].append(outside.view(np.int64))
+            out["outside"].append(telling(outside, len(x), both, percent, *shared.value).view(np.int64))
         return out
 
     one = sets.withColumnRenamed("tokens", "one")
@@ -149,17 +172,18 @@ def _against_heads(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return durable(arrow_map(joined, block, "class long, g long, n long, both long, linked boolean, outside array<long>"))
 
 
-def classes(docs: DataFrame, width: int) -> DataFrame:
-    """Per row of `docs` (key, text): key, n, the class id (two longs) and the group keys; a stored table."""
+def classes(docs: DataFrame, width: int, percent: int, shared) -> DataFrame:
+    """Per row of `docs` (key, text): key, n, the class id (two longs), group keys and index tokens; a stored table."""
     known = WordHashes()
 
     def block(columns: dict) -> dict:
         sets = [token_set(t, width, known) for t in columns["text"].to_pylist()]
         ids = [identity(s) for s in sets]
         return {"key": columns["key"], "n": [len(s) for s in sets], "one": [i[0] for i in ids],
-                "two": [i[1] for i in ids], "bands": [group_keys(s) if len(s) else [] for s in sets]}
+                "two": [i[1] for i in ids], "bands": [group_keys(s) if len(s) else [] for s in sets],
+                "tokens": [index_tokens(s, percent, *shared.value) for s in sets]}
 
-    return durable(arrow_map(docs, block, "key long, n long, one long, two long, bands array<long>"))
+    return durable(arrow_map(docs, block, "key long, n long, one long, two long, bands array<long>, tokens array<int>"))
 
 
 def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,61 +200,52 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], order + 1
 
 
-def _index(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(token, class): the index tokens of all classes that another class shares; a stored table."""
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width))
-    known = WordHashes()
-
-    def block(columns: dict) -> dict | None:
-        parts, ids = [], []
-        for text in columns["text"].to_pylist():
-            tokens = token_set(text, width, known)
-            if len(tokens):
-                parts.append(index_tokens(tokens, percent, *shared.value))
-                ids.append(np.full(len(parts[-1]), identity(tokens)[0]))
-        return {"token": np.concatenate(parts), "class": np.concatenate(ids)} if parts else None
-
-    rows = durable(arrow_map(docs, block, "token int, class long"))
-    # Stored, so that the join reads plain exchanges, whose large partitions are split.
-    several = durable(
-        rows.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y").select("token")
-    )
-    return durable(rows.join(several, "token").distinct())
-
-
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4,
                     percent: int = 85) -> DataFrame:
     """Per row: the key, n_shingles (size of its set) and component_id."""
     plain = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = classes(plain, width)
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(plain, width))
+    wide = classes(plain, width, percent, shared)
     firsts = durable(
-        rows.filter("n > 0").groupBy("one", "two", "n").agg(F.min("key").alias("key"), F.min("bands").alias("bands"))
+        wide.filter("n > 0").groupBy("one", "two", "n")
+        .agg(F.min("key").alias("key"), F.min("bands").alias("bands"), F.min("tokens").alias("tokens"))
         .withColumnRenamed("one", "class")
     )
-    found = components(_class_edges(plain, firsts, width, percent)).withColumnRenamed("node", "class")
-    inside = firsts.join(found, "class")
+    rows = durable(wide.select("key", "n", "one", "two"))
+    discard(wide)
+    edges = _class_edges(plain, firsts, width, percent, shared)
+    found = components(edges).withColumnRenamed("node", "class")
+    named = firsts.select("class", "two", "n", "key")
+    inside = named.join(found, "class")
     least = inside.groupBy("component").agg(F.min("key").alias("name"))
-    named = firsts.join(inside.select("class", "component").join(least, "component"), "class", "left").select(
+    named = durable(named.join(inside.select("class", "component").join(least, "component"), "class", "left").select(
         F.col("class").alias("one"), "two", "n", F.coalesce("name", F.col("key")).alias("component_id")
-    )
+    ))
+    discard(edges, firsts)
     return rows.join(named, ["one", "two", "n"], "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id")
     )
 
 
-def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) between classes: enough links for their components."""
+def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int, shared) -> DataFrame:
+    """(a, b) between classes: enough links for their components; a stored table."""
     banded = firsts.select("class", F.posexplode("bands").alias("band", "value"))
     leaders = durable(banded.groupBy("band", "value").agg(F.min("class").alias("leader")))
     led = banded.join(leaders, ["band", "value"]).groupBy("class").agg(F.min("leader").alias("g"))
     members = durable(firsts.join(led, "class").select("class", "key", "n", "g"))
-    matrix = durable(_index(plain, width, percent).join(members.select("class", "n", "g"), "class"))
+    flat = firsts.select("class", F.explode("tokens").alias("token"))
+    # Stored, so that the join reads plain exchanges, whose large partitions are split.
+    several = durable(
+        flat.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y").select("token")
+    )
+    matrix = durable(flat.join(several, "token").join(members.select("class", "n", "g"), "class"))
+    discard(leaders, several)
     unions = durable(matrix.groupBy("g", "token").agg(F.count("*").alias("holders")))
     # The head is the member whose tokens most others hold: an original rather than a copy.
-    shared = matrix.join(unions, ["g", "token"]).groupBy("class").agg(F.sum("holders").alias("shared"))
-    scored = members.join(shared, "class", "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
+    held = matrix.join(unions, ["g", "token"]).groupBy("class").agg(F.sum("holders").alias("held"))
+    scored = members.join(held, "class", "left").withColumn("held", F.coalesce("held", F.lit(0)))
     groups = durable(scored.groupBy("g").agg(
-        F.max_by("class", F.struct("shared", "class")).alias("head"), F.count("*").alias("members"),
+        F.max_by("class", F.struct("held", "class")).alias("head"), F.count("*").alias("members"),
         F.min("n").alias("least"), F.max("n").alias("most"),
     ))
     tokens = unions.select("g", "token")
@@ -247,53 +262,139 @@ def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int)
     # Members against their own head, heads of candidate groups against each other.
     heads = groups.select("g", "head")
     inside = members.join(involved, "g").join(heads, "g").select("class", "g", "head")
-    own = _against_heads(inside, sets, percent)
-    one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("one"))
-    two = sets.select(F.col("class").alias("b"), F.col("tokens").alias("two"))
-    between = durable(_alike(candidates.join(one, "a").join(two, "b"), percent))
+    own = _against_heads(inside, sets, percent, shared)
+    faced = _faced(candidates, sets, percent)
     to_head = lambda found: found.filter("linked").join(heads, "g").select(F.col("class").alias("a"), F.col("head").alias("b"))
-    edges = between.unionByName(to_head(own))
-    now = durable(
-        members.join(components(edges).withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("component", F.coalesce("component", "class")).select("class", "g", "n", "component")
-    )
+    edges = durable(faced.filter("linked").select("a", "b").unionByName(to_head(own)))
+    # Those not linked to their head, with one another: first each with one that leads many.
+    loose_own = own.filter("not linked")
+    now = _components_of(members, edges)
+    led = durable(_leading(loose_own, own, now, percent))
+    edges = _more(edges, found := _compared(led, sets, percent))
+    discard(led, found, now)
 
     # Queries of the candidate groups that this leaves apart, as far as their own bound allows.
+    now = _components_of(members, edges)
+    placed = durable(own.select("class", "g", "n", (F.col("n") - F.col("both")).alias("out")).join(now, "class"))
     of_head = heads.join(now.select(F.col("class").alias("head"), F.col("component").alias("hc")), "head").select("g", "hc")
-    loose = own.filter("not linked").select("g").distinct().withColumn("loose", F.lit(True))
-    state = durable(groups.select("g").join(of_head, "g").join(loose, "g", "left").select(
-        "g", "hc", F.coalesce("loose", F.lit(False)).alias("loose")))
-    both = candidates.select("g", "h").union(candidates.select(F.col("h").alias("g"), F.col("g").alias("h")))
-    apart = both.join(state, "g").join(state.toDF("h", "other_hc", "other_loose"), "h").filter(
-        "hc != other_hc or loose or other_loose").select("g", "h")
-    queries = matrix.join(apart, "g").select("class", "n", "h", "token")
+    state = durable(placed.join(of_head, "g").groupBy("g", "hc").agg(
+        F.count("*").alias("size"), F.max(F.col("component") != F.col("hc")).alias("mixed"), F.max("out").alias("reach")))
+    both = faced.select("g", "h", "both").union(faced.select(F.col("h").alias("g"), F.col("g").alias("h"), "both"))
+    facing = durable(both.join(state.drop("reach"), "g").join(state.toDF("h", "other_hc", "other_size", "other_mixed", "reach"), "h"))
+    asked = durable(_asked(placed, facing, percent))
+    queries = matrix.select("class", "n", "token").join(asked, "class")
     qualified = durable(
         queries.join(tokens.withColumnRenamed("g", "h"), ["h", "token"]).groupBy("class", "n", "h").count()
         .join(groups.select(F.col("g").alias("h"), "head", "least"), "h")
         .filter(F.col("count") >= _bound("n", "least"))
         .select("class", F.col("h").alias("g"), "head")
     )
-    cross = _against_heads(qualified, sets, percent)
-    edges = edges.unionByName(to_head(cross))
-    later = durable(
-        members.select("class").join(components(edges).withColumnRenamed("node", "class"), "class", "left")
-        .select("class", F.coalesce("component", "class").alias("component"))
-    )
+    discard(matrix, unions, candidates, faced, state, facing, asked, placed, now)
+    cross = _against_heads(qualified, sets, percent, shared)
+    edges = _more(edges, to_head(cross))
+    loose_cross = cross.filter("not linked")
+    later = _components_of(members, edges)
+    led = durable(_leading(loose_cross, own, later, percent))
+    edges = _more(edges, found := _compared(led, sets, percent))
+    discard(led, found, later)
+
+    # At last with all members that are still apart.
+    later = _components_of(members, edges)
     # A query that is linked to the head can still lack the members that are not. If it is linked
     # to its own head as well, such a member meets it as a query, or is in its component already.
-    loose_own = own.filter("not linked")
     crossed = cross.filter("linked").join(loose_own.select("class"), "class", "left_semi")
-    opened = _opened(loose_own.unionByName(cross.filter("not linked")), own, later, percent)
-    opened = opened.union(_opened(crossed, loose_own, later, percent)).distinct()
-    last = durable(_alike(durable(opened).join(one, "a").join(two, "b"), percent))
-    return edges.unionByName(last)
+    opened = _opened(loose_own.unionByName(loose_cross), own, later, percent)
+    opened = durable(opened.union(_opened(crossed, loose_own, later, percent)).distinct())
+    edges = _more(edges, found := _compared(opened, sets, percent))
+    discard(opened, found, later, qualified, own, cross, sets, groups, members)
+    return edges
+
+
+def _faced(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs (g, h, a, b) with `both`, the size of their heads' intersection, and linked; a stored table."""
+
+    def block(columns: dict) -> dict:
+        out: dict = {name: columns[name] for name in ("g", "h", "a", "b")} | {"both": [], "linked": []}
+        for x, y in zip(columns["one"], columns["two"], strict=True):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out["both"].append(both)
+            out["linked"].append(100 * both >= percent * (len(x) + len(y) - both))
+        return out
+
+    one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("one"))
+    two = sets.select(F.col("class").alias("b"), F.col("tokens").alias("two"))
+    joined = candidates.join(one, "a").join(two, "b").select("g", "h", "a", "b", "one", "two")
+    return durable(arrow_map(joined, block, "g long, h long, a long, b long, both long, linked boolean"))
+
+
+def _asked(placed: DataFrame, facing: DataFrame, percent: int) -> DataFrame:
+    """(class, h): which classes must be taken as queries of which groups.
+
+    A class is a stray if it is not in the component of its group's head. Of two classes in groups
+    that face each other, neither a stray, one has to be a query only if the heads are in different
+    components: those of the smaller group are. A stray is a query of a group whose head is in
+    another component than it. If the head is not, but other members are, one of two strays is.
+
+    Of these, a class shares with a member of the other group at most what the heads share (`both`),
+    what it has outside its own head (`out`), and what members there have outside theirs (`reach`).
+    """
+    enough = (F.col("both") + F.col("out") + F.col("reach")) * 100 >= F.col("n") * percent
+    settled = facing.filter("hc <> other_hc and (size < other_size or size = other_size and g < h)").select("g", "h", "hc", "both", "reach")
+    plain = placed.join(settled, "g").filter((F.col("component") == F.col("hc")) & enough).select("class", "h")
+    strays = placed.join(facing.filter("mixed"), "g").filter(
+        F.expr("component <> hc and (component <> other_hc or other_mixed and g < h)") & enough).select("class", "h")
+    return plain.union(strays)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that are similar enough; a stored table."""
+    one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("one"))
+    two = sets.select(F.col("class").alias("b"), F.col("tokens").alias("two"))
+    return durable(_alike(pairs.select("a", "b").join(one, "a").join(two, "b"), percent))
+
+
+def _more(edges: DataFrame, found: DataFrame) -> DataFrame:
+    both = durable(edges.unionByName(found.select("a", "b")))
+    discard(edges)
+    return both
+
+
+def _components_of(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """(class, component) of all classes; a stored table."""
+    parts = components(edges)
+    found = durable(
+        members.select("class").join(parts.withColumnRenamed("node", "class"), "class", "left")
+        .select("class", F.coalesce("component", "class").alias("component"))
+    )
+    discard(parts)
+    return found
+
+
+def _leading(queries: DataFrame, members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each query with one member that shares its most widely held telling token, and with one
+    of its own size, where they are not in one component yet. The member is that of least id, so all
+    queries of a token meet the same one."""
+    fits = _sizes_fit("n", "nb", percent) & _sizes_fit("nb", "n", percent)
+    tokens = members.select(F.col("class").alias("b"), "g", F.col("n").alias("nb"), F.explode("outside").alias("token"))
+    lists = durable(tokens.groupBy("g", "token").agg(F.min(F.struct("b", "nb")).alias("led"), F.count("*").alias("holders"))
+                    .select("g", "token", "led.b", "led.nb", "holders"))
+    by_token = queries.select("class", "g", "n", F.explode("outside").alias("token")).join(lists, ["g", "token"]).filter(
+        (F.col("class") != F.col("b")) & fits).groupBy("class", "g").agg(F.max_by("b", F.struct("holders", "token")).alias("b"))
+    sizes = durable(members.groupBy("g", "n").agg(F.min("class").alias("b")))
+    by_size = queries.select("class", "g", "n").join(sizes, ["g", "n"]).filter("class != b")
+    of = lambda name, at: parts.select(F.col("class").alias(name), F.col("component").alias(at))
+    pairs = by_token.select("class", "b").union(by_size.select("class", "b")).withColumnRenamed("class", "a")
+    apart = pairs.join(of("a", "ca"), "a").join(of("b", "cb"), "b").filter("ca != cb")
+    return apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _opened(queries: DataFrame, members: DataFrame, components: DataFrame, percent: int) -> DataFrame:
     """(a, b): queries and members of a group, in different components, that its head does not rule out.
 
     What two sets share is at most the smaller of what each shares with the head, plus what they
-    share outside it. So a pair qualifies by sizes alone, or shares a token that the head lacks.
+    share outside it. So a pair qualifies by sizes alone, or shares a token that the head lacks; the
+    first that they share in the global order leaves at most so many others as come after it.
     """
     query = queries.join(components, "class").select(
         F.col("class").alias("a"), "g", F.col("n").alias("na"), F.col("both").alias("ba"), F.col("component").alias("ca"), "outside")
@@ -304,9 +405,12 @@ def _opened(queries: DataFrame, members: DataFrame, components: DataFrame, perce
     sized = query.filter(low <= high).select("a", "g", "na", "ba", "ca", F.explode(F.sequence(low, high)).alias("nb"))
     by_size = sized.join(member.drop("outside"), ["g", "nb"]).filter(
         (F.col("ca") != F.col("cb")) & _enough("least(ba, bb)", "na", "nb", percent)).select("a", "b")
-    by_token = query.select("a", "na", "g", "ca", F.explode("outside").alias("token")).join(
-        member.select("b", "nb", "g", "cb", F.explode("outside").alias("token")), ["g", "token"]
-    ).filter((F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent) & _sizes_fit("nb", "na", percent)).select("a", "b")
+    by_token = query.select("a", "na", "ba", "g", "ca", F.posexplode("outside").alias("pa", "token")).join(
+        member.select("b", "nb", "bb", "g", "cb", F.posexplode("outside").alias("pb", "token")), ["g", "token"]
+    ).filter(
+        (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent) & _sizes_fit("nb", "na", percent)
+        & _enough("least(ba, bb) + least(na - ba - pa, nb - bb - pb)", "na", "nb", percent)
+    ).select("a", "b")
     found = by_size.union(by_token)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
