@@ -278,9 +278,9 @@ def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int,
     placed = durable(own.select("class", "g", "n", (F.col("n") - F.col("both")).alias("out")).join(now, "class"))
     of_head = heads.join(now.select(F.col("class").alias("head"), F.col("component").alias("hc")), "head").select("g", "hc")
     state = durable(placed.join(of_head, "g").groupBy("g", "hc").agg(
-        F.count("*").alias("size"), F.max(F.col("component") != F.col("hc")).alias("mixed"), F.max("out").alias("reach")))
+        F.count("*").alias("size"), F.count_if(F.col("component") != F.col("hc")).alias("strays"), F.max("out").alias("reach")))
     both = faced.select("g", "h", "both").union(faced.select(F.col("h").alias("g"), F.col("g").alias("h"), "both"))
-    facing = durable(both.join(state.drop("reach"), "g").join(state.toDF("h", "other_hc", "other_size", "other_mixed", "reach"), "h"))
+    facing = durable(both.join(state.drop("reach"), "g").join(state.toDF("h", "other_hc", "other_size", "other_strays", "reach"), "h"))
     asked = durable(_asked(placed, facing, percent))
     queries = matrix.select("class", "n", "token").join(asked, "class")
     qualified = durable(
@@ -300,9 +300,8 @@ def _class_edges(plain: DataFrame, firsts: DataFrame, width: int, percent: int,
 
     # At last with all members that are still apart.
     later = _components_of(members, edges)
-    # A query that is linked to the head can still lack the members that are not. If it is linked
-    # to its own head as well, such a member meets it as a query, or is in its component already.
-    crossed = cross.filter("linked").join(loose_own.select("class"), "class", "left_semi")
+    # A query that is linked to the head can still lack the members that are not.
+    crossed = cross.filter("linked")
     opened = _opened(loose_own.unionByName(loose_cross), own, later, percent)
     opened = durable(opened.union(_opened(crossed, loose_own, later, percent)).distinct())
     edges = _more(edges, found := _compared(opened, sets, percent))
@@ -331,20 +330,23 @@ def _faced(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _asked(placed: DataFrame, facing: DataFrame, percent: int) -> DataFrame:
     """(class, h): which classes must be taken as queries of which groups.
 
-    A class is a stray if it is not in the component of its group's head. Of two classes in groups
-    that face each other, neither a stray, one has to be a query only if the heads are in different
-    components: those of the smaller group are. A stray is a query of a group whose head is in
-    another component than it. If the head is not, but other members are, one of two strays is.
+    A class is a stray if it is not in the component of its group's head. Of two groups that face
+    each other the classes of the smaller one are queries of the larger, unless all of that one is
+    in their component. Where both heads are in one component and there are fewer strays than
+    classes in the smaller group, the strays of both are queries instead: of a group whose head is in
+    another component, and of two strays one where it is not.
 
     Of these, a class shares with a member of the other group at most what the heads share (`both`),
     what it has outside its own head (`out`), and what members there have outside theirs (`reach`).
     """
     enough = (F.col("both") + F.col("out") + F.col("reach")) * 100 >= F.col("n") * percent
-    settled = facing.filter("hc <> other_hc and (size < other_size or size = other_size and g < h)").select("g", "h", "hc", "both", "reach")
-    plain = placed.join(settled, "g").filter((F.col("component") == F.col("hc")) & enough).select("class", "h")
-    strays = placed.join(facing.filter("mixed"), "g").filter(
-        F.expr("component <> hc and (component <> other_hc or other_mixed and g < h)") & enough).select("class", "h")
-    return plain.union(strays)
+    one_way = F.expr("hc <> other_hc or strays + other_strays > least(size, other_size)")
+    smaller = F.expr("size < other_size or size = other_size and g < h")
+    whole = placed.join(facing.filter(one_way & smaller), "g").filter(
+        F.expr("component <> other_hc or other_strays > 0") & enough).select("class", "h")
+    strays = placed.join(facing.filter(~one_way & (F.col("strays") > 0)), "g").filter(
+        F.expr("component <> hc and (component <> other_hc or other_strays > 0 and g < h)") & enough).select("class", "h")
+    return whole.union(strays)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
