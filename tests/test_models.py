@@ -15,6 +15,7 @@ from veinwork.operators import trees as M
 from veinwork.plans import stop_analysis as S
 from veinwork.plans.stop_queries import STOP_KEYS, STOP_ORDER, stops
 from veinwork.plans.tree_queries import _FEATURES, _KEYS, _labelled_lines
+from veinwork.session import durable
 
 
 @pytest.fixture(scope="module")
@@ -220,3 +221,43 @@ def test_centroid_screen(spark):
 def test_entry(spark):
     found = entry.entry(spark)
     assert found.count() > 0 and "common_outlier" in found.columns
+
+
+def test_all_starts_of_a_sweep_share_their_passes(spark, blobs):
+    """Three k of two starts each take as many passes as the slowest start, not the sum of all."""
+    df, x = blobs
+    vectors = durable(df.select("x"))
+    passes, run = [], type(vectors).mapInArrow
+
+    def counted(self, *args, **options):
+        passes.append(1)
+        return run(self, *args, **options)
+
+    pairs = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(vectors), "mapInArrow", counted)
+        together = C._fit_all(vectors, [2, 3, 5], 2, 300, 7, 2, stored=True)
+        shared = len(passes)
+        for ks in ([2, 3], [2, 5], [3, 5]):
+            passes.clear()
+            C._fit_all(vectors, ks, 2, 300, 7, 2, stored=True)
+            pairs.append(len(passes))
+    assert shared == max(pairs)
+    for k in (2, 3, 5):  # MLlib's own fit
+        alone = C._fit_all(vectors, [k], 2, 300, 7, 2, stored=True)[k]
+        assert np.allclose(alone.centers, together[k].centers) and np.isclose(alone.inertia, together[k].inertia)
+
+
+def test_seeding_deals_large_partitions_anew(spark, monkeypatch):
+    """A partition that would take too much decoded is dealt to several; every row still counts."""
+    monkeypatch.setattr(C, "PART_VALUES", 18 * 40)
+    df = spark.createDataFrame([(float(i % 2) * 100 + i / 1000, 1.0) for i in range(400)], "lat double, lon double").coalesce(1)
+    seen, fit = [], C.KMeans.fit
+
+    def watched(self, rows, *args):
+        seen.append((rows.rdd.getNumPartitions(), rows.agg({"weight": "sum"}).first()[0]))
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(C.KMeans, "fit", watched)
+    model = C.fit_regions(df, "lat", "lon", regions=2, restarts=1)
+    assert seen == [(10, 400.0)] and np.allclose(sorted(c[0] for c in model.centers), [0.199, 100.2], atol=0.01)
