@@ -261,3 +261,10 @@ def test_seeding_deals_large_partitions_anew(spark, monkeypatch):
     monkeypatch.setattr(C.KMeans, "fit", watched)
     model = C.fit_regions(df, "lat", "lon", regions=2, restarts=1)
     assert seen == [(10, 400.0)] and np.allclose(sorted(c[0] for c in model.centers), [0.199, 100.2], atol=0.01)
+
+
+def test_linear_silhouette_stores_no_copy_of_the_rows(blobs, monkeypatch):
+    df, written = blobs[0], []
+    monkeypatch.setattr(C, "durable", lambda table: written.append(table.columns) or durable(table))
+    assert C.linear_silhouette(df, "x", "truth") > 0.5
+    assert written == [["label", "code"]]
