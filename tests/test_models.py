@@ -268,3 +268,13 @@ def test_linear_silhouette_stores_no_copy_of_the_rows(blobs, monkeypatch):
     monkeypatch.setattr(C, "durable", lambda table: written.append(table.columns) or durable(table))
     assert C.linear_silhouette(df, "x", "truth") > 0.5
     assert written == [["label", "code"]]
+
+
+def test_silhouette_copies_grow_with_the_cores_not_the_rows(spark, blobs, monkeypatch):
+    """Blocks are few, and compared in pieces; the scores are those of the definition."""
+    df, x = blobs
+    assert [C._blocks(n, 12) for n in (100, 5_000, 160_000, 500_000)] == [1, 5, 5, 16]
+    monkeypatch.setattr(C, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(C, "_PIECE_CELLS", 500)
+    labels = np.array([r["truth"] for r in df.orderBy("id").collect()])
+    assert np.isclose(C.silhouette(df, "id", "x", ["truth"]).first()["silhouette"], _truth_scores(x, labels), atol=1e-6)
