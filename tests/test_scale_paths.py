@@ -310,3 +310,19 @@ def test_bernoulli_strata(spark):
     df = spark.range(20000).select("id", F.when(F.col("id") % 100 == 0, "rare").when(F.col("id") % 3 == 0, "some").otherwise("most").alias("s"))
     n = {r["s"]: r["count"] for r in sampling.bernoulli_sample(df, "s", 1500).groupBy("s").count().collect()}
     assert n["rare"] == 200 and all(abs(n[s] - 500) <= 5 * 500**0.5 for s in ("some", "most"))
+
+
+def test_a_block_travels_once_to_a_group(spark, monkeypatch):
+    """Groups of many blocks get fewer copies of the blocks, and the neighbours are the same."""
+    x = np.random.default_rng(8).normal(size=(900, 4))
+    visits, sent = neighbours._visits, {}
+    for size in (1, 10_000):
+        def grouped(packs, _, size=size):
+            found = visits(packs, size)
+            sent[size] = found.count()
+            return found
+
+        monkeypatch.setattr(neighbours, "_visits", grouped)
+        edges = nearest_neighbours(_frame(spark, np.arange(len(x)), x), "id", "x", 6, leaf_rows=30)
+        assert sorted((r["id"], r["neighbor"], r["rank"], r["distance"]) for r in edges.collect()) == _brute(np.arange(len(x)), x, 6)
+    assert sent[10_000] < sent[1] / 2
