@@ -278,3 +278,14 @@ def test_silhouette_copies_grow_with_the_cores_not_the_rows(spark, blobs, monkey
     monkeypatch.setattr(C, "_PIECE_CELLS", 500)
     labels = np.array([r["truth"] for r in df.orderBy("id").collect()])
     assert np.isclose(C.silhouette(df, "id", "x", ["truth"]).first()["silhouette"], _truth_scores(x, labels), atol=1e-6)
+
+
+def test_least_values_of_wide_rows():
+    """The columns of the least values, also with ties, with infinite values and in narrow rows."""
+    rng = np.random.default_rng(11)
+    for width in (30, 5_000):
+        values = np.round(rng.normal(size=(40, width)), 2)
+        values[:, 3] = np.inf
+        found = O._least(values, 20)
+        assert all(len(set(row)) == 20 for row in found.tolist())
+        assert (np.sort(np.take_along_axis(values, found, axis=1)) == np.sort(values, axis=1)[:, :20]).all()
