@@ -326,3 +326,19 @@ def test_a_block_travels_once_to_a_group(spark, monkeypatch):
         edges = nearest_neighbours(_frame(spark, np.arange(len(x)), x), "id", "x", 6, leaf_rows=30)
         assert sorted((r["id"], r["neighbor"], r["rank"], r["distance"]) for r in edges.collect()) == _brute(np.arange(len(x)), x, 6)
     assert sent[10_000] < sent[1] / 2
+
+
+def test_the_first_bound_sorts_no_whole_row(monkeypatch):
+    """Of a large block only the minima of runs are put in order, and the neighbours are exact."""
+    x = np.random.default_rng(9).normal(size=(2_000, 3))
+    ids = neighbours.pa.ListArray.from_arrays(
+        neighbours.pa.array(np.arange(len(x) + 1), neighbours.pa.int32()), neighbours.pa.array(np.arange(len(x))))
+    widths, partition = [], np.partition
+    monkeypatch.setattr(neighbours.np, "partition", lambda a, *args, **options: widths.append(a.shape[1]) or partition(a, *args, **options))
+    search = neighbours.Search(x, 7)
+    search.meet(x, ids, np.arange(len(x)), x.mean(axis=0), float("inf"))
+    rows, distance, found = search.result()
+    assert widths and max(widths) <= len(x) // neighbours._RUN
+    squares = ((x[:, None, :] - x[None]) ** 2).sum(axis=2)
+    assert np.allclose(np.sqrt(np.sort(squares, axis=1)[:, :7]).ravel(), distance)
+    assert (found.to_numpy().reshape(-1, 7) == np.argsort(squares, axis=1, kind="stable")[:, :7]).all()
