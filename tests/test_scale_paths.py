@@ -342,3 +342,31 @@ def test_the_first_bound_sorts_no_whole_row(monkeypatch):
     squares = ((x[:, None, :] - x[None]) ** 2).sum(axis=2)
     assert np.allclose(np.sqrt(np.sort(squares, axis=1)[:, :7]).ravel(), distance)
     assert (found.to_numpy().reshape(-1, 7) == np.argsort(squares, axis=1, kind="stable")[:, :7]).all()
+
+
+def test_codes_of_a_long_column_are_not_sent_with_those_of_a_short_one(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "FEW_VALUES", 10)
+    df = spark.range(400).select(F.col("id").cast("string").alias("long"), (F.col("id") % 3).cast("string").alias("short"))
+    labels = encoding.fit_labels(df, ["long", "short"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if the labels were large
+    try:
+        plan = encoding.apply_labels(df, labels, ["short", "long"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_label_codes_run_on_over_tasks(spark, partitions):
+    df = spark.range(3000).select(
+        F.concat(F.lit("v"), F.col("id") % 977).alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") % 2).cast("string").alias("b"))
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        labels = encoding.fit_labels(df, ["a", "b"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {("a", v): i for i, v in enumerate(sorted(f"v{i}" for i in range(977)))} | {("b", v): i for i, v in enumerate(["0", "1", "Unknown"])}
+    assert {(r["column"], r["value"]): r["code"] for r in labels} == want and len(labels) == len(want)
