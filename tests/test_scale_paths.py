@@ -17,7 +17,7 @@ from veinwork.operators.neighbours import nearest_neighbours
 from veinwork.operators.outliers import screen
 from veinwork.operators.quantiles import exact_quantiles
 from veinwork.sources.readers import read_csv_checked
-from veinwork.sources.schema import FieldSpec
+from veinwork.sources.schema import FieldSpec, coerce
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -370,3 +370,11 @@ def test_label_codes_run_on_over_tasks(spark, partitions):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     want = {("a", v): i for i, v in enumerate(sorted(f"v{i}" for i in range(977)))} | {("b", v): i for i, v in enumerate(["0", "1", "Unknown"])}
     assert {(r["column"], r["value"]): r["code"] for r in labels} == want and len(labels) == len(want)
+
+
+def test_a_wide_table_is_compiled(spark):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    raw = spark.range(10).select(*[F.concat(F.lit("0"), F.col("id")).alias(f"c{i}") for i in range(60)])
+    typed = coerce(raw, [FieldSpec(f"c{i}", "double") for i in range(60)])
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # HotSpot interprets longer methods
+    assert [list(r) for r in typed.orderBy("c0").collect()] == [[float(i)] * 60 for i in range(10)]
