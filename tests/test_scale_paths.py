@@ -372,6 +372,13 @@ def test_label_codes_run_on_over_tasks(spark, partitions):
     assert {(r["column"], r["value"]): r["code"] for r in labels} == want and len(labels) == len(want)
 
 
+def test_ranked_rows_are_shuffled_once(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 3).cast("string").alias("s"))
+    ranked = ranking.stratified_rank(df, ["s"], ["id"], 2000, "rank")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_a_wide_table_is_compiled(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     raw = spark.range(10).select(*[F.concat(F.lit("0"), F.col("id")).alias(f"c{i}") for i in range(60)])
