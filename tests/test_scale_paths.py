@@ -4,6 +4,7 @@ one group or value holds much of the table."""
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -221,6 +222,39 @@ def test_bucket_sizes_are_bounded(spark, monkeypatch):
     assert lists is not None and not sizes
 
 
+@pytest.mark.parametrize("id_type", [pa.int64(), pa.string()])
+def test_small_buckets_are_compared_together(monkeypatch, id_type):
+    rng = np.random.default_rng(9)
+    sizes = [1, 2, 3, 150, 40, 7, 128, 129, 30]
+    leaf = np.repeat(np.arange(len(sizes)), sizes)
+    names = [f"{i:04}" if id_type == pa.string() else i for i in range(sum(sizes))]
+    ids = [[n] if i % 5 else [n, *([n + "x"] if id_type == pa.string() else [n + 10_000])] for i, n in enumerate(names)]
+    rows = pa.table({
+        "p": pa.array(names, id_type), "x": pa.array(rng.integers(0, 4, (len(leaf), 3)).astype(float).tolist(), pa.list_(pa.float64())),  # many ties
+        "ids": pa.array(ids, pa.list_(id_type)), "full": pa.array(np.arange(len(leaf)) % 11 == 3), "leaf": pa.array(leaf), "part": pa.array(leaf * 0)})
+    alone, calls = approximate._nearest(6, id_type), []
+    monkeypatch.setattr(approximate, "_nearest", lambda *a: lambda bucket: (calls.append(bucket.num_rows), alone(bucket))[1])
+    found = pa.Table.from_batches(approximate._in_buckets(6, id_type)(rows.to_batches(max_chunksize=25))).sort_by("p")
+    starts = np.cumsum([0, *sizes])
+    want = pa.concat_tables([alone(rows.slice(a, n)) for a, n in zip(starts, sizes)]).sort_by("p")
+    assert found.to_pylist() == want.to_pylist()
+    assert sorted(calls) == [129, 150]  # a call for each small bucket took most of the time
+
+
+def test_points_are_stored_once_and_not_for_each_tree(spark, monkeypatch):
+    stored, write = [], approximate.durable
+
+    def seen(df):
+        out = write(df)
+        if "x" in out.columns:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(approximate, "durable", seen)
+    approximate_neighbours(_frame(spark, np.arange(150), _RNG.normal(size=(150, 3))), "id", "x", 3, trees=4, bucket_rows=40)
+    assert stored and set(stored) == {150}
+
+
 @pytest.mark.parametrize("ranges", [1, 7])
 def test_exact_splits_against_brute_force(spark, ranges):
     rng = np.random.default_rng(7)
