@@ -184,6 +184,28 @@ def test_what_leaves_the_search_is_one_list_per_point(spark, monkeypatch, times)
     assert [r["n"] for r in given[0]] == [7] * len(x) and edges.count() == 6 * len(x)
 
 
+@pytest.mark.parametrize("values,size", [(np.float32([0.1, -7.5, 3e30]), 4), ([0.1, -7.5, 3e30], 8), ([0.5, 1e300, 2.0], 8)])
+def test_packs_are_in_single_precision_where_nothing_is_lost(values, size):
+    x = np.asarray(values, float)[np.random.default_rng(10).integers(0, 3, (90, 4))]
+    block = pa.table({
+        "p": np.arange(90), "x": pa.array(x.tolist(), pa.list_(pa.float64())), "ids": [[i] for i in range(90)], "full": [i == 4 for i in range(90)],
+        "cell": pa.array([0] * 90, pa.int32()), "block": [3] * 90})
+    packs = neighbours._packer(5, pa.int64())(block)
+    assert sum(len(b) for b in packs["x"].to_pylist()) == size * x.size
+    back = neighbours._unpack(packs.combine_chunks().to_batches()[0])
+    assert back[0].dtype == np.float64 and (back[0] == x).all() and back[1].to_pylist() == [[i] for i in range(90)]
+
+
+def test_points_meet_few_pivots_in_bounded_pieces(monkeypatch):
+    pieces, squares = [], neighbours.rough_squares
+    monkeypatch.setattr(neighbours, "_PIECE_CELLS", 640)
+    monkeypatch.setattr(neighbours, "rough_squares", lambda q, r: (pieces.append(q.size), squares(q, r))[1])
+    x = np.random.default_rng(11).normal(size=(400, 64))
+    found = neighbours._nearest_pivot(x, x[:3])
+    assert max(pieces) <= 640  # also where points have more dimensions than there are pivots
+    assert (found == ((x[:, None] - x[:3]) ** 2).sum(axis=2).argmin(axis=1)).all()
+
+
 def _recall(exact, found):
     want = {(r["id"], r["neighbor"]) for r in exact.collect()}
     return len(want & {(r["id"], r["neighbor"]) for r in found.collect()}) / len(want)
