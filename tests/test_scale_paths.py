@@ -196,6 +196,50 @@ def test_packs_are_in_single_precision_where_nothing_is_lost(values, size):
     assert back[0].dtype == np.float64 and (back[0] == x).all() and back[1].to_pylist() == [[i] for i in range(90)]
 
 
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_a_search_holds_points_in_single_precision_where_nothing_is_lost(kind):
+    x = np.random.default_rng(12).normal(size=(300, 5)).astype(kind).astype(float)
+    search = neighbours.Search(x, 4)
+    assert search.x.dtype == kind
+    search.meet(x, pa.array([[i] for i in range(300)]), np.arange(300), x.mean(axis=0), np.inf)
+    rows, distance, ids = search.result()
+    plain = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2))
+    assert ids.to_numpy().reshape(300, 4).tolist() == np.argsort(plain, axis=1, kind="stable")[:, :4].tolist()
+    assert np.allclose(distance.reshape(300, 4), np.sort(plain, axis=1)[:, :4], rtol=1e-14, atol=0)
+
+
+def _packed_blocks(x, blocks, width):
+    pack, found = neighbours._packer(width, pa.int64()), []
+    for b in range(blocks):
+        ids = np.arange(b, len(x), blocks)
+        found.append(pack(pa.table({
+            "p": ids, "x": pa.array(x[ids].tolist(), pa.list_(pa.float64())), "ids": [[i] for i in ids], "full": [False] * len(ids),
+            "cell": pa.array([0] * len(ids), pa.int32()), "block": [b] * len(ids)})))
+    return found
+
+
+def test_packs_are_small_and_only_the_first_has_the_center():
+    packs = _packed_blocks(np.random.default_rng(13).normal(size=(400, 64)).astype(np.float32).astype(float), 1, 5)[0]
+    assert packs["center"].null_count == len(packs) - 1 and packs["first"].to_pylist() == [True, *[False] * (len(packs) - 1)]
+    assert packs.select(["block", "center", "radius", "x", "full", "ids"]).nbytes < 800 * len(packs)  # 8 MB in a batch of 10,000
+
+
+@pytest.mark.parametrize("size", [1, 4, 7, 1000])
+def test_batches_may_end_within_a_block(monkeypatch, size):
+    monkeypatch.setattr(neighbours, "PACK_BYTES", 100)
+    x = np.random.default_rng(14).normal(size=(240, 3))
+    rows = []
+    for group in ([0, 2], [1, 3]):  # each meets its own blocks first
+        for b, packs in sorted(enumerate(_packed_blocks(x, 4, 6)), key=lambda one: one[0] not in group):
+            gap = -np.inf if b in group else 0.0
+            rows.append(packs.append_column("a", pa.array([group[0]] * len(packs))).append_column("gap", pa.array([gap] * len(packs))))
+    batches = pa.concat_tables(rows).combine_chunks().to_batches(max_chunksize=size)
+    found = {p: [e["neighbor"] for e in near] for batch in neighbours._searcher(6, pa.int64())(batches)
+             for p, near in zip(batch["p"].to_pylist(), batch["near"].to_pylist(), strict=True)}
+    plain = np.argsort(((x[:, None] - x) ** 2).sum(axis=2), axis=1, kind="stable")[:, :6]
+    assert found == dict(enumerate(plain.tolist()))
+
+
 def test_points_meet_few_pivots_in_bounded_pieces(monkeypatch):
     pieces, squares = [], neighbours.rough_squares
     monkeypatch.setattr(neighbours, "_PIECE_CELLS", 640)
