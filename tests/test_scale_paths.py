@@ -485,3 +485,32 @@ def test_a_wide_table_is_compiled(spark):
     typed = coerce(raw, [FieldSpec(f"c{i}", "double") for i in range(60)])
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # HotSpot interprets longer methods
     assert [list(r) for r in typed.orderBy("c0").collect()] == [[float(i)] * 60 for i in range(10)]
+
+
+def test_points_are_compared_with_few_runs_of_a_block(monkeypatch):
+    """Boxes of runs rule out most of a block that a ball does not, and the neighbours are exact."""
+    rng = np.random.default_rng(21)
+    x = rng.random((6_000, 3))
+    halves, cells, shortlist = [np.arange(0, 6_000, 2), np.arange(1, 6_000, 2)], [], neighbours.Search._shortlist
+    runs = [neighbours.Cuts(x[at], neighbours._BOX_ROWS).leaf(x[at]) for at in halves]
+    order = [np.argsort(run, kind="stable") for run in runs]
+    blocks = [(x[at[o]], pa.array([[i] for i in at[o]]), at[o], x[at].mean(axis=0), 2.0, run[o]) for at, o, run in zip(halves, order, runs, strict=True)]
+    search = neighbours.Search(blocks[0][0], 7, blocks[0][5])
+    search.meet(*blocks[0])
+    monkeypatch.setattr(neighbours.Search, "_shortlist", lambda self, at, right, *a: (cells.append(len(at) * right.shape[1]), shortlist(self, at, right, *a))[1])
+    search.meet(*blocks[1])
+    assert sum(cells) < 0.3 * 3_000 * 3_000
+    rows, distance, found = search.result()
+    squares = ((blocks[0][0][:, None, :] - x[None]) ** 2).sum(axis=2)
+    assert np.allclose(np.sqrt(np.sort(squares, axis=1)[:, :7]).ravel(), distance)
+    assert (found.to_numpy().reshape(-1, 7) == np.argsort(squares, axis=1, kind="stable")[:, :7]).all()
+
+
+@pytest.mark.parametrize("values", [[0.0], [0.0, 1.0], [-2.0, 0.5, 0.5, 0.5, 0.5, 1e300]])
+def test_cuts_part_points_but_not_equal_ones(values):
+    x = np.asarray(values)[np.random.default_rng(22).integers(0, len(values), (500, 2))]
+    leaf = neighbours.Cuts(x, 20).leaf(x)
+    kinds = {tuple(point): set(leaf[(x == point).all(axis=1)]) for point in np.unique(x, axis=0)}
+    assert all(len(leaves) == 1 for leaves in kinds.values())
+    assert len(set(leaf)) == len({leaf for leaves in kinds.values() for leaf in leaves}) and len(set(leaf)) >= min(len(kinds), 2)
+    assert (neighbours.Cuts(x[:0], 20).leaf(x) == 0).all()
