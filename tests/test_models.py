@@ -289,3 +289,42 @@ def test_least_values_of_wide_rows():
         found = O._least(values, 20)
         assert all(len(set(row)) == 20 for row in found.tolist())
         assert (np.sort(np.take_along_axis(values, found, axis=1)) == np.sort(values, axis=1)[:, :20]).all()
+
+
+def test_trees_fitted_together_are_those_fitted_alone(spark):
+    """Over values that are few enough to be split anywhere, MLlib's trees; every row of a part is counted."""
+    rng = np.random.default_rng(3)
+    a, b, c = rng.integers(0, 40, 3_000), rng.integers(0, 2, 3_000), rng.integers(0, 7, 3_000) / 4
+    label = np.where(a + rng.normal(size=3_000) < 15, "x", np.where(b > 0, "y", np.where(c > 1, "z", "x")))
+    rows = spark.createDataFrame(
+        [(str(v), float(i), int(j), float(k), n % 3 != 0) for n, (v, i, j, k) in enumerate(zip(label, a, b, c))],
+        "class string, a double, b int, c double, some boolean")
+    splits = M.candidate_splits(rows, ["a", "b", "c"])
+    assert splits["b"] == [0.5] and len(splits["a"]) == 39
+    coded = M.code_features(rows, splits).withColumn("all", F.lit(True))
+    found = M.fit_trees(coded, "class", splits, ["all", "some"], ["x", "y", "z"])
+    for tree, part in zip(found, [rows, rows.filter("some")]):
+        alone = M.fit_tree(part, "class", ["a", "b", "c"])
+        assert tree.nodes[0].rows == part.count() and len(tree.nodes) > 5
+        assert [r[1:4] + r[5:] for r in tree.rules()] == [r[1:4] + r[5:] for r in alone.rules()]
+        guess = coded.select(M.over_codes(tree, splits).predict().alias("p")).groupBy("p").count().collect()
+        assert sorted(guess) == sorted(rows.select(tree.predict().alias("p")).groupBy("p").count().collect())
+
+
+def test_thresholds_of_many_values_are_quantiles_of_all_rows(spark):
+    rows = spark.range(100_000).select(F.sqrt("id").alias("v"))
+    splits = M.candidate_splits(rows, ["v"])["v"]
+    assert len(splits) == 255
+    assert np.allclose(splits, np.quantile(np.sqrt(np.arange(100_000)), np.arange(1, 256) / 256))
+    assert rows.limit(0).count() == 0 and M.candidate_splits(rows.limit(0), ["v"]) == {"v": []}
+
+
+def test_classification_is_fitted_on_all_rows(spark, folder, monkeypatch):
+    """The root of each tree holds all training rows, whatever their number."""
+    monkeypatch.setattr("veinwork.operators.sampling.SAMPLE_ROWS", 100)
+    trees, fit = [], M.fit_trees
+    monkeypatch.setattr(M, "fit_trees", lambda *a, **o: trees.extend(fit(*a, **o)) or trees)
+    result = S.classify(stops(spark, folder), STOP_KEYS, min_class_rows=500)
+    assert [t.nodes[0].rows for t in trees] == [4200, *[6000 - r["n"] for r in result["folds"].orderBy("fold").collect()]]
+    assert result["rules"].first()["rows"] == 4200
+    assert sum(r["n"] for r in result["confusion"].collect()) == 1800
