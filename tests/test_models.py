@@ -328,3 +328,46 @@ def test_classification_is_fitted_on_all_rows(spark, folder, monkeypatch):
     assert [t.nodes[0].rows for t in trees] == [4200, *[6000 - r["n"] for r in result["folds"].orderBy("fold").collect()]]
     assert result["rules"].first()["rows"] == 4200
     assert sum(r["n"] for r in result["confusion"].collect()) == 1800
+
+
+def test_scores_of_all_labelings_take_two_passes(spark, monkeypatch):
+    """As each labeling by itself, also with clusters without rows or of one row."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3)) + rng.integers(0, 3, (300, 1)) * 4
+    codes = np.stack([rng.integers(0, 4, 300), np.where(np.arange(300) == 7, 5, rng.integers(1, 3, 300)), np.zeros(300, int)], axis=1)
+    rows = durable(spark.createDataFrame(
+        [(i, [float(v) for v in p], *map(int, c)) for i, (p, c) in enumerate(zip(x, codes))], "id long, x array<double>, a int, b int, c int"))
+    alone = {n: (C.linear_silhouette(rows, "x", n), C.davies_bouldin_value(rows, "x", n)) for n in "abc"}
+    passes, mapped = [], type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, *a, **o: (passes.append(1), mapped(self, *a, **o))[1])
+    found = C.linear_scores(rows, "x", {"a": 4, "b": 7, "c": 1})
+    assert len(passes) == 2
+    assert found["c"] == alone["c"] == (None, None)
+    assert all(np.allclose(found[n], alone[n], rtol=1e-9) for n in "ab")
+    assert C.linear_scores(rows.limit(0), "x", {"a": 4}) == {"a": (None, None)}
+
+
+def test_a_pair_of_groups_is_compared_once(spark, monkeypatch):
+    """Both groups of a pair get their sums from one task, and the silhouette is the exact one."""
+    monkeypatch.setattr(C, "_blocks", lambda total, parallel: 4)
+    monkeypatch.setattr(C, "COLUMNS", 16)
+    monkeypatch.setattr(C, "CACHED_CELLS", 100)
+    rng = np.random.default_rng(6)
+    x, labels = rng.normal(size=(150, 3)), rng.integers(0, 3, 150)
+    x[:20] = x[0]
+    sent, sums = spark.sparkContext.accumulator(0), C._cluster_sums
+
+    def counted(offsets, width):
+        inner = sums(offsets, width)
+        return lambda visitors, block: (sent.add(0 if visitors.empty or block.empty else 1), inner(visitors, block))[1]
+
+    monkeypatch.setattr(C, "_cluster_sums", counted)
+    rows = spark.createDataFrame([(i, [float(v) for v in p], int(c)) for i, (p, c) in enumerate(zip(x, labels))], "id long, x array<double>, c int")
+    found = C.silhouette_rows(rows, "id", "x", ["c"]).toPandas().set_index("id").sort_index()["silhouette"]
+    assert sent.value == 10  # pairs of four groups, each with itself too
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    means = np.stack([d[:, labels == c].mean(axis=1) for c in range(3)], axis=1)
+    n = np.bincount(labels)[labels]
+    own = means[np.arange(150), labels] * n / (n - 1)
+    means[np.arange(150), labels] = np.inf
+    assert np.allclose(found, (means.min(axis=1) - own) / np.maximum(own, means.min(axis=1)), atol=1e-6)
