@@ -371,3 +371,18 @@ def test_a_pair_of_groups_is_compared_once(spark, monkeypatch):
     own = means[np.arange(150), labels] * n / (n - 1)
     means[np.arange(150), labels] = np.inf
     assert np.allclose(found, (means.min(axis=1) - own) / np.maximum(own, means.min(axis=1)), atol=1e-6)
+
+
+def test_a_preparation_leaves_one_copy_of_the_rows(spark, folder, monkeypatch):
+    import os
+
+    from veinwork.operators import encoding as E
+
+    kept = []
+    for module in (S, E):
+        monkeypatch.setattr(module, "durable", lambda df: kept.append(durable(df)) or kept[-1])
+    result = S.prepare(stops(spark, folder))
+    left = [table.columns for table in kept if os.path.exists(table.stored_at.removeprefix("file:"))]
+    assert len(left) == 2 and "split" in left[0] and left[1] == ["column", "value", "code"]
+    assert result["constructed"].count() == result["encoded"].count() == sum(r["n"] for r in result["distribution"].collect()) > 0
+    assert result["imbalance"].count() == 1 and result["replaced"].count() > 0
